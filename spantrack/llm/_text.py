@@ -16,7 +16,7 @@ U = np.uint64
 SLICE_BYTES = 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_BASE, _WORD_BASE, _CHECK_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
+_BASE = 0x9E3779B97F4A7C15
 _TABLE = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 _powers: dict[int, np.ndarray] = {}
 
@@ -59,9 +59,17 @@ class Words:
     first: np.ndarray
     last: np.ndarray
     row: int
+    bounds: np.ndarray
 
     def hashes(self) -> np.ndarray:
-        return spans_hash(_TABLE[self.data], self.starts, self.ends, _BASE)
+        """A hash of each word, a stretch of the bytes at a time."""
+        out, at = np.empty(len(self.starts), U), 0
+        while at < len(out):
+            to = max(at + 1, int(np.searchsorted(self.starts, self.starts[at] + SLICE_BYTES)))
+            begin, end = self.starts[at], self.ends[to - 1]
+            out[at:to] = spans_hash(_TABLE[self.data[begin:end]], self.starts[at:to] - begin, self.ends[at:to] - begin, _BASE)
+            at = to
+        return out
 
     def of(self) -> np.ndarray:
         """The text of each word, counted from 0."""
@@ -93,7 +101,7 @@ def _cut(data: np.ndarray, bounds: np.ndarray, row: int) -> Words:
     both = inner[solid[inner] & solid[inner + 1]]
     begins[both] = stops[both] = True
     starts, ends = np.flatnonzero(begins), np.flatnonzero(stops)
-    return Words(data, starts, ends, np.searchsorted(starts, bounds[:-1]), np.searchsorted(starts, bounds[1:]), row)
+    return Words(data, starts, ends, np.searchsorted(starts, bounds[:-1]), np.searchsorted(starts, bounds[1:]), row, bounds[:-1])
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:

@@ -120,7 +120,9 @@ def order_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: i
             columns = [pa.array([m.n_words for m in found], pa.int64()), *[pa.array([int(r.rejects(m)) for m in found], pa.int64()) for r in rules]]
             yield pa.RecordBatch.from_arrays(columns, ["n_words", *[r.name for r in rules]])
 
-    sample = docs.select(F.col("text").cast("string"), F.xxhash64("doc_id", "text").alias("h")).orderBy("h", "text").limit(sample_rows).select("text")
+    hashed = docs.select(F.col("text").cast("string"), F.xxhash64("doc_id", "text").alias("h"))
+    least = hashed.select("h").orderBy("h").limit(sample_rows)
+    sample = hashed.join(F.broadcast(least), "h", "left_semi").select("text")  # sample_rows hashes at most
     counts = sample.mapInArrow(trial, ", ".join(f"`{x}` long" for x in ["n_words", *[r.name for r in rules]])).groupBy().sum().first()
     words = max(counts["sum(n_words)"] or 0, 1)
     return tuple(sorted(rules, key=lambda r: (-(counts[f"sum({r.name})"] or 0) / (r.work * words), r.work)))

@@ -5,26 +5,114 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from spantrack.llm import mixing, quality, simhash
+from spantrack.llm import bpe, chat, lines, mixing, quality, secrets, simhash, substrings, topk, toxicity
 from spantrack.llm._spark import table
 
+#: The conversation that op5 adds, whose texts hold the template's own markers.
+MARKED = -7, r"\### Assistant: </turn> ok"
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.classify(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
 
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = bpe.decode(bpe.encode(docs))
+    n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
+    return out.select("doc_id", n_tokens, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.range(2).select(F.lit(MARKED[0]).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(MARKED[1]).alias("text"))
+    out = chat.read_back(chat.formatted(chat.turns_of_rows(rows.unionByName(own))))
+    said = F.array_join(F.transform("read_turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
+    return out.select(
+        "conv_id", F.size("read_turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"), F.length("read_loss").cast("long").alias("loss_chars"),
+        F.sha2("read_loss", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"), "fingerprint",
+    )
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secrets.scan(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    base = F.filter("spans", lambda s: s["kind"] != "crf")
+    return out.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = lines.dedup_lines(docs, removed="n_removed")
+    return out.select("doc_id", "n_removed", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents")).drop("n_lines")
 
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removed(table(spark, sf_dir, "documents"), texts=False)
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+QUERIES = (op1_toxicity, op2_mix, op3_bpe, op4_topk, op5_chat, op6_secrets, op7_lines, op8_quality, op9_substrings, op10_simhash)
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_mix, op8_quality, op10_simhash)}
+    return {f.__name__: f for f in (*QUERIES, pipeline)}
+
+
+# Vectors of finite components only; sizes and scores are exact integers.
+TOP_K = """
+WITH q AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+           FROM embeddings
+           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+             CAST(list_sum(list_transform(list_zip(a.v, b.v), p -> p[1] * p[2])) AS BIGINT) AS score
+      FROM q a JOIN q b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+# Windows of two lines with a word; all but the first of equal windows go.
+LINES = """
+WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS at FROM d),
+w AS (SELECT doc_id, line, at, lead(line) OVER o AS next, lead(at) OVER o AS next_at
+      FROM l WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') WINDOW o AS (PARTITION BY doc_id ORDER BY at)),
+r AS (SELECT *, row_number() OVER (PARTITION BY line, next ORDER BY doc_id, at) AS n FROM w WHERE next_at IS NOT NULL),
+gone AS (SELECT doc_id, at FROM r WHERE n > 1 UNION SELECT doc_id, next_at FROM r WHERE n > 1),
+k AS (SELECT l.doc_id, string_agg(CASE WHEN g.at IS NULL THEN l.line END, chr(10) ORDER BY l.at) AS kept, count(g.at) AS n
+      FROM l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.at = g.at GROUP BY l.doc_id)
+SELECT d.doc_id, CAST(coalesce(k.n, 0) AS BIGINT) AS n_removed,
+       CAST(length(CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.kept, '') END) AS BIGINT) AS kept_chars,
+       sha256(CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.kept, '') END) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_topk": TOP_K, "op7_lines": LINES}
