@@ -1,20 +1,23 @@
 """Removal of passages that documents share, by repeated-phrase automata.
 
-A passage counts from 13 words. Of every window of 13 consecutive words one phrase
-of 4 words, the one of least hash, stands for it; equal windows have equal
-phrases, so that a window can only recur where its phrase occurs in two different
-texts. Recurring windows are confirmed among those by their own hash, together
-with the smallest doc_id that has them. Documents are dealt to shards of about
-2 MB; each shard compiles the confirmed passages that occur in it, one copy each,
-into Aho-Corasick automata over its words, and every document of the shard is
-streamed through to locate every occurrence. Exact copies of a text are settled
-by the text's digest and take part only as their first copy.
+A passage counts from 13 words. Documents are dealt once to shards of about 2 MB,
+and all that is compared between documents is a row per shard, so that a passage
+found in any number of documents costs a shard one row.
+
+Of every window of 13 consecutive words one phrase of 4 words, the one of least
+hash, stands for it; equal windows have equal phrases, so that a window can only
+recur where its phrase occurs in two different texts. Among the windows of such
+phrases the recurring ones are confirmed by their own hash, together with the
+smallest doc_id that has them. Each shard then compiles the confirmed passages that
+occur in it, one copy each, into Aho-Corasick automata over its words, and every
+document of the shard is streamed through to locate every occurrence. Exact copies
+of a text are settled by the text's digest and take part only as their first copy.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import re
 from itertools import compress
 
 import ahocorasick
@@ -29,8 +32,8 @@ from spantrack.llm._text import U, Words, mix, sliding_min, spans_hash, words_of
 WINDOW, PHRASE = 13, 4
 SPAN = WINDOW - PHRASE + 1
 SHARD_BYTES = 2 << 20
-#: Passages in one automaton; a shard with more compiles several, one after the other.
-AUTOMATON_PASSAGES = 50_000
+#: Passages in one automaton (a shard with more compiles several, one after the other), and letters of an alphabet.
+AUTOMATON_PASSAGES, LETTERS = 20_000, 40
 _FACTORS = (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
 _WINDOW_BASE, _CHECK_BASE = 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -63,45 +66,62 @@ class _Slice:
         return np.flatnonzero(self.valid & (sliding_min(some, SPAN) == self.least))
 
 
-def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(rid, text_id, text) to (phrase, rid, text_id, at)."""
-    for batch in batches:
-        ids, texts = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        for words in words_of(batch.column(2)):
-            part = _Slice(words)
-            if part.empty:
-                continue
+def _phrases(docs: pa.Table) -> pa.Table:
+    """A shard's phrases, each with the least and the greatest text_id that has it."""
+    phrase, text_id = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    texts = docs.column("text_id").to_numpy()
+    for words in words_of(docs.column("text")):
+        part = _Slice(words)
+        if not part.empty:
             at = part.standing()
-            row = part.doc[at]
-            columns = [part.phrase[at].view(np.int64), ids[words.row + row], texts[words.row + row], (at - words.first[row]).astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["phrase", "rid", "text_id", "at"])
-
-
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(rid, doc_id, shard, text, flags) to (key, check, shard, doc_id, rid, at)."""
-    for batch in batches:
-        rid, doc_id, shard = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2))
-        flags = batch.column(4)
-        bounds, flat = flags.offsets.to_numpy(), flags.values.to_numpy(zero_copy_only=False)
-        for words in words_of(batch.column(3)):
-            part = _Slice(words)
-            if part.empty:
-                continue
-            rows = range(words.row, words.row + len(words.first))
-            flagged = np.concatenate([flat[bounds[r] : bounds[r + 1]] + words.first[r - words.row] for r in rows]).astype(np.int64)
-            at = part.windows(flagged)
-            row = part.doc[at]
-            key = spans_hash(part.hashes, at, at + WINDOW, _WINDOW_BASE).view(np.int64)
-            check = (spans_hash(part.hashes, at, at + WINDOW, _CHECK_BASE) >> U(33)).astype(np.int32)
-            columns = [key, check, shard[words.row + row], doc_id[words.row + row], rid[words.row + row], (at - words.first[row]).astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["key", "check", "shard", "doc_id", "rid", "at"])
-
-
-def _flags(base: DataFrame) -> DataFrame:
-    """(rid, flags): of each text that isn't a later copy, the words at which phrases of two or more texts begin."""
-    phrases = base.select("rid", F.xxhash64("text").alias("text_id"), "text").mapInArrow(_phrases, "phrase long, rid long, text_id long, at int")
-    shared = phrases.groupBy("phrase").agg(F.min("text_id").alias("low"), F.max("text_id").alias("high")).where("low < high").select("phrase")
-    return phrases.drop("text_id").join(shared, "phrase").groupBy("rid").agg(F.collect_set("at").alias("flags"))
+            phrase.append(part.phrase[at])
+            text_id.append(texts[words.row + part.doc[at]])
+    phrase, text_id = np.concatenate(phrase).view(np.int64), np.concatenate(text_id)
+    first, last = _ends(phrase, text_id)
+    order = np.argsort(first)  # rows of one text together, which packs well
+    first, last = first[order], last[order]
+    shard = np.full(len(first), docs.column("shard")[0].as_py())
+    return pa.table({"phrase": phrase[first], "shard": shard, "low": text_id[first], "high": text_id[last]})
+
+
+def _ends(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the first and last row of each group; the last key orders rows within the groups of the others."""
+    order = np.lexsort(keys[::-1])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for k in keys[:-1]:
+        new[1:] |= k[order[1:]] != k[order[:-1]]
+    starts = np.flatnonzero(new)
+    return order[starts], order[np.append(starts[1:], len(order))[: len(starts)] - 1]
+
+
+def _windows(docs: pa.Table, flags: pa.Table) -> pa.Table:
+    """A shard's windows whose phrase is flagged, each with the smallest and greatest doc_id and a place in the former."""
+    value, copied = flags.column("value").to_numpy(), flags.column("first").is_valid().to_numpy(zero_copy_only=False)
+    phrases, copies = np.sort(value[~copied]), value[copied]
+    rids = docs.column("rid").to_numpy()
+    part_of = docs.column("doc_id").is_valid().to_numpy(zero_copy_only=False) & ~np.isin(rids, copies)
+    ids = docs.column("doc_id").fill_null(0).to_numpy()
+    none = np.zeros(0, np.int64)
+    found = [(none, none, none, none)]
+    for words in words_of(docs.column("text")) if len(phrases) else ():
+        part = _Slice(words)
+        if part.empty:
+            continue
+        own = part.phrase.view(np.int64)
+        near = np.minimum(np.searchsorted(phrases, own), len(phrases) - 1)
+        at = part.windows(np.flatnonzero(phrases[near] == own))
+        at = at[part_of[words.row + part.doc[at]]]
+        row = part.doc[at]
+        key = spans_hash(part.hashes, at, at + WINDOW, _WINDOW_BASE).view(np.int64)
+        check = (spans_hash(part.hashes, at, at + WINDOW, _CHECK_BASE) >> U(33)).astype(np.int64)
+        found.append((key, check, words.row + row, at - words.first[row]))
+    key, check, row, at = (np.concatenate(x) for x in zip(*found, strict=True))
+    first, last = _ends(key, check, ids[row])
+    order = np.argsort(first)
+    first, last = first[order], last[order]
+    columns = {"key": key[first], "check": check[first].astype(np.int32), "rid": rids[row[first]], "at": at[first].astype(np.int32), "own_first": ids[row[first]], "own_last": ids[row[last]]}
+    return pa.table(columns)
 
 
 def _copies(base: DataFrame) -> DataFrame:
@@ -111,16 +131,35 @@ def _copies(base: DataFrame) -> DataFrame:
     return texts.join(firsts, "digest").where("doc_id > first").groupBy("rid").agg(F.min("first").alias("first"))
 
 
-def _passages(base: DataFrame, copies: DataFrame) -> DataFrame:
+def _flags(base: DataFrame) -> DataFrame:
+    """(shard, value, first): phrases that occur in two different texts, for each shard that has them."""
+    phrases = base.groupBy("shard").applyInArrow(_phrases, "phrase long, shard long, low long, high long")
+    own = Window.partitionBy("phrase")  # a row per shard at most
+    seen = phrases.select("phrase", "shard", F.min("low").over(own).alias("low"), F.max("high").over(own).alias("high"))
+    return seen.where("low < high").select("shard", F.col("phrase").alias("value"), F.lit(None).cast("long").alias("first"))
+
+
+def _passages(base: DataFrame, flags: DataFrame, shards: int) -> DataFrame:
     """(shard, rid, at, first): recurring windows, once for each shard, with the smallest doc_id that has them."""
-    flags = cut(_flags(base).join(copies, "rid", "left_anti"))
-    windows = base.where("doc_id IS NOT NULL").join(flags, "rid").select("rid", "doc_id", "shard", "text", "flags")
-    found = windows.mapInArrow(_windows, "key long, check int, shard long, doc_id long, rid long, at int")
-    by_shard = found.groupBy("key", "check", "shard").agg(
-        F.min("doc_id").alias("own_first"), F.max("doc_id").alias("own_last"), F.min_by("rid", "doc_id").alias("rid"), F.min_by("at", "doc_id").alias("at")
-    )
+    out = "key long, check int, rid long, at int, own_first long, own_last long"
+    windows = base.groupBy("shard").cogroup(flags.groupBy("shard")).applyInArrow(_windows, out)
     first = F.min("own_first").over(Window.partitionBy("key", "check"))  # a row per shard at most
-    return by_shard.withColumn("first", first).where("first < own_last").select("shard", "rid", "at", "first")
+    return windows.withColumn("first", first).where("first < own_last").select(F.pmod("rid", F.lit(shards)).alias("shard"), "rid", "at", "first")
+
+
+_known_run = re.compile(b"\\x01{%d,}" % WINDOW)
+
+
+def _codes(words: set[bytes]) -> tuple[dict[bytes, str], int]:
+    """Words as strings of one width over small alphabets, one alphabet for each place.
+
+    The automaton looks through a node's children one by one, so that a letter of
+    its own for every word would make its root slow.
+    """
+    width = 1
+    while LETTERS**width < len(words):
+        width += 1
+    return {x: "".join([chr(1 + p * LETTERS + n // LETTERS**p % LETTERS) for p in range(width)]) for n, x in enumerate(sorted(words))}, width
 
 
 def _located(docs: pa.Table, passages: pa.Table, texts: bool) -> pa.Table:
@@ -132,21 +171,20 @@ def _located(docs: pa.Table, passages: pa.Table, texts: bool) -> pa.Table:
     rows = dict(zip(rids, range(len(rids)), strict=True))
     found = [x for x in zip(*(passages.column(c).to_pylist() for c in ("rid", "at", "first")), strict=True) if x[1] >= 0 or whole.add(x[0])]
     for begin in range(0, len(found), AUTOMATON_PASSAGES):
-        letters: dict[bytes, str] = {}
+        batch = [(words[rows[rid]][at : at + WINDOW], first) for rid, at, first in found[begin : begin + AUTOMATON_PASSAGES]]
+        codes, width = _codes({x for passage, _ in batch for x in passage})
         automaton = ahocorasick.Automaton()
-        for rid, at, first in found[begin : begin + AUTOMATON_PASSAGES]:
-            passage = words[rows[rid]][at : at + WINDOW]
-            for word in passage:
-                if word not in letters:
-                    letters[word] = chr(n if (n := len(letters) + 1) < 0xD800 else n + 0x800)  # past the surrogates
-            automaton.add_word("".join([letters[x] for x in passage]), first)
+        for passage, first in batch:
+            automaton.add_word("".join([codes[x] for x in passage]), first)
         automaton.make_automaton()
         for own, doc_id, mark in zip(words, doc_ids, marks, strict=True):
             if doc_id is None:
                 continue
-            for end, first in automaton.iter("".join([letters.get(x, "\0") for x in own])):
-                if first < doc_id:
-                    mark[end - WINDOW + 1 : end + 1] = b"\1" * WINDOW
+            for run in _known_run.finditer(bytes(map(codes.__contains__, own))):  # no passage holds an unknown word
+                a, b = run.span()
+                for end, first in automaton.iter("".join([codes[x] for x in own[a:b]])):
+                    if first < doc_id:
+                        mark[(at := a + end // width - WINDOW + 1) : at + WINDOW] = b"\1" * WINDOW
     out = {"doc_id": doc_ids, "n_words": [len(x) for x in words], "n_removed": [], "kept_sha256": [], "kept": []}
     for own, mark, rid in zip(words, marks, rids, strict=True):
         if rid in whole and len(own) >= WINDOW:
@@ -171,12 +209,13 @@ def removed(docs: DataFrame, texts: bool = True, shard_bytes: int = SHARD_BYTES)
     """
     python_ready(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    base = docs.select(F.col("doc_id").cast("long"), text.alias("text")).withColumn("rid", F.xxhash64("doc_id", "text"))
+    base = docs.select(F.col("doc_id").cast("long"), text.alias("text")).withColumns({"rid": F.xxhash64("doc_id", "text"), "text_id": F.xxhash64("text")})
     shards = max(1, -(-(base.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // shard_bytes))
     base = base.withColumn("shard", F.pmod("rid", F.lit(shards)))
-    copies = cut(_copies(base))
-    passages = cut(_passages(base, copies.select("rid")))
-    whole = copies.select(F.pmod("rid", F.lit(shards)).alias("shard"), "rid", F.lit(-1).alias("at"), "first")
+    copies = cut(_copies(base)).withColumn("shard", F.pmod("rid", F.lit(shards)))
+    flags = _flags(base).unionByName(copies.select("shard", F.col("rid").alias("value"), "first"))
+    passages = _passages(base, flags, shards).unionByName(copies.select("shard", "rid", F.lit(-1).alias("at"), "first"))
+    # one plan from here: its three passes over the shards read one and the same shuffle of the texts
     out = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
-    result = base.groupBy("shard").cogroup(passages.unionByName(whole).groupBy("shard")).applyInArrow(lambda a, b: _located(a, b, texts), out)
+    result = base.groupBy("shard").cogroup(passages.groupBy("shard")).applyInArrow(lambda a, b: _located(a, b, texts), out)
     return result if texts else result.drop("kept")
