@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 from spantrack.llm._spark import python_ready
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-#: Bytes in a leaf of the tree; pieces and pairs remembered by a worker.
-LEAF_BYTES, PIECES, PAIRS = 16, 150_000, 300_000
+#: Bytes in a leaf of the tree; pieces, leaves with windows, and pairs that a worker remembers.
+LEAF_BYTES, PIECES, PARTS, PAIRS = 5, 300_000, 200_000, 300_000
 #: Tokens that decoding concatenates at a leaf.
 LEAF_TOKENS = 4096
 
@@ -40,12 +41,22 @@ class Encoder:
         self.tokens = {i: x for x, i in self.ranks.items()}
         self.find = regex.compile(pattern).findall
         self.pieces: dict[str, bytes] = {}
+        self.parts: dict[bytes, tuple[int, ...]] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
 
-    def merged(self, data: bytes) -> list[int]:
+    def merged(self, data: bytes) -> tuple[int, ...]:
+        """The encoding of a leaf or a window, by merging; short ones are remembered."""
+        known = self.parts.get(data)
+        if known is None:
+            known = tuple(self._merged(data) if len(data) <= 64 else self._merged_long(data))
+            if len(data) <= 64:
+                if len(self.parts) >= PARTS:
+                    self.parts.clear()
+                self.parts[data] = known
+        return known
+
+    def _merged(self, data: bytes) -> list[int]:
         """Merge the pair of least rank, leftmost first, until none is left."""
-        if len(data) > 4 * LEAF_BYTES:
-            return self._merged_long(data)
         ranks, parts = self.ranks, [data[i : i + 1] for i in range(len(data))]
         while len(parts) > 1:
             near = [ranks.get(a + b, 1 << 40) for a, b in zip(parts, parts[1:], strict=False)]
@@ -90,11 +101,11 @@ class Encoder:
         if known is None:
             if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self.merged(self.tokens[left] + self.tokens[right]) == [left, right]
+            known = self.pairs[left, right] = self.merged(self.tokens[left] + self.tokens[right]) == (left, right)
         return known
 
-    def join(self, left: list[int], right: list[int]) -> list[int]:
-        """The encoding of the two sides' bytes together; associative, with [] as its unit."""
+    def join(self, left: tuple[int, ...], right: tuple[int, ...]) -> tuple[int, ...]:
+        """The encoding of the two sides' bytes together; associative, with () as its unit."""
         if not left or not right:
             return left or right
         if self.stable(left[-1], right[0]):
@@ -109,7 +120,7 @@ class Encoder:
             a = a if left_holds else min(2 * a, len(left))
             b = b if right_holds else min(2 * b, len(right))
 
-    def tree(self, data: bytes) -> list[int]:
+    def tree(self, data: bytes) -> tuple[int, ...]:
         """Encode halves and join them."""
         if len(data) <= LEAF_BYTES:
             return self.merged(data)
@@ -118,20 +129,20 @@ class Encoder:
 
     def piece(self, piece: str) -> bytes:
         """A piece's ids as little-endian unsigned 32-bit integers; a piece that is a token is that token."""
-        known = self.pieces.get(piece)
-        if known is None:
-            data = piece.encode("utf-8", "replace")
-            rank = self.ranks.get(data)
-            known = np.array(self.tree(data) if rank is None else [rank], "<u4").tobytes()
-            if len(self.pieces) >= PIECES:
-                self.pieces.clear()
-            if len(piece) <= 64:
-                self.pieces[piece] = known
-        return known
+        data = piece.encode("utf-8", "replace")
+        rank = self.ranks.get(data)
+        ids = self.tree(data) if rank is None else (rank,)
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        if len(self.pieces) >= PIECES:
+            self.pieces.clear()
+        if len(piece) <= 64:
+            self.pieces[piece] = packed
+        return packed
 
     def encode(self, text: str) -> bytes:
         """The ids of a text; pieces never merge, so that joining them is concatenation."""
-        return b"".join(map(self.piece, self.find(text)))
+        known = self.pieces.get
+        return b"".join([known(x) or self.piece(x) for x in self.find(text)])
 
     def decode(self, ids: list[int]) -> bytes:
         if len(ids) <= LEAF_TOKENS:
