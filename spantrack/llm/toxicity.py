@@ -10,7 +10,9 @@ the sample's most frequent languages, the last is toxic as a whole.
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,18 +24,35 @@ from pyspark.sql import functions as F
 from spantrack.llm._spark import cut, python_ready
 
 #: Bounds of training: labelled documents, features, categories before the last; folds and steps.
-SAMPLE_ROWS, FEATURES, LANGUAGES, FOLDS, STEPS, RATE, PENALTY = 10_000, 384, 8, 5, 120, 0.3, 2.0
+SAMPLE_ROWS, FEATURES, LANGUAGES, FOLDS, STEPS, RATE, PENALTY = 10_000, 384, 8, 5, 200, 0.3, 0.5
 #: Beginnings of words that are features besides the words themselves, in letters.
 BEGINNINGS = (4, 5, 6)
+#: Occurrences in a text at which a term is one more feature, and words for each of two or more to make it a dense one.
+LEVELS, DENSE_WORDS = (1, 2, 3), 300
 #: Documents a feature must occur in, and how many times as often among the toxic ones.
 LEAST_DOCS, LEAST_LIFT = 3, 2.0
 _letters = re.compile(r"[^\W\d_]+").findall
 
 
-def terms(text: str) -> set[str]:
-    """Words in lower case and their beginnings, the latter ending in ``*``."""
-    words = set(_letters(text.lower()))
-    return words | {f"{w[:n]}*" for w in words for n in BEGINNINGS if len(w) > n}
+def counted(text: str) -> Counter[str]:
+    """Words in lower case and their beginnings, the latter ending in ``*``, with how often they occur."""
+    out = Counter(_letters(text.lower()))
+    for word, n in list(out.items()):
+        for size in BEGINNINGS:
+            if len(word) > size:
+                out[f"{word[:size]}*"] += n
+    return out
+
+
+def levels(count: int, words: int) -> list[str]:
+    """The levels that a term reaches with so many occurrences among so many words; 0 stands for dense."""
+    return [str(n) for n in LEVELS if count >= n] + ["0"] * (count >= 2 and count * DENSE_WORDS >= words)
+
+
+def terms(text: str) -> list[str]:
+    """The features of a text: each of its terms under every level that it reaches."""
+    words = len(_letters(text))
+    return [f"{x}{n}" for x, c in counted(text).items() for n in levels(c, words)]
 
 
 @dataclass
@@ -53,12 +72,16 @@ class Chain:
         return out
 
     def rows(self, texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), len(self.features)), np.float32)
-        longest = max(BEGINNINGS)
+        out, known = np.zeros((len(texts), len(self.features)), np.float32), {x.rstrip("0123456789") for x in self.features}
         for i, text in enumerate(texts):
-            for word in set(_letters(text.lower())):
-                for term in (word, *(f"{word[:n]}*" for n in BEGINNINGS if longest >= n < len(word))):
-                    at = self.features.get(term)
+            seen, words = Counter(), _letters(text.lower())
+            for word, n in Counter(words).items():
+                for term in (word, f"{word[:4]}*", f"{word[:5]}*", f"{word[:6]}*"):
+                    if term in known and len(term) <= len(word):
+                        seen[term] += n
+            for term, c in seen.items():
+                for n in levels(c, len(words)):
+                    at = self.features.get(f"{term}{n}")
                     if at is not None:
                         out[i, at] = 1
         return out
@@ -133,11 +156,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> C
     total, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not 0 < toxic < total:
         return None
-    counted = sample.select("text", "toxic").mapInArrow(_terms, "term string, toxic int").groupBy("term").agg(F.sum("toxic").alias("t"), F.count("*").alias("n"))
+    by_term = sample.select("text", "toxic").mapInArrow(_terms, "term string, toxic int").groupBy("term").agg(F.sum("toxic").alias("t"), F.count("*").alias("n"))
     rate = toxic / total
     part = lambda k, n, p: k * F.log((k + 0.5) / (n * p + 0.5))
     gain = part(F.col("t"), F.col("n"), F.lit(rate)) + part(F.col("n") - F.col("t"), F.col("n"), F.lit(1 - rate))
-    telling = counted.where((F.col("n") >= LEAST_DOCS) & (F.col("t") > LEAST_LIFT * rate * F.col("n"))).withColumn("gain", gain)
+    found = cut(by_term.where((F.col("n") >= LEAST_DOCS) & (F.col("t") > LEAST_LIFT * rate * F.col("n"))).withColumn("gain", gain))
+    chance = math.log(max(found.count(), 1))  # the best of so many terms gains about this much by chance
+    telling = found.where(F.col("gain") >= chance)
     chosen = [r["term"] for r in telling.orderBy(F.col("gain").desc(), "term").limit(FEATURES).collect()]
     features = {x: i for i, x in enumerate(chosen)}
     spoken = [r["lang"] for r in sample.where("lang IS NOT NULL").groupBy("lang").agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).where("t >= 10").orderBy(F.col("n").desc(), "lang").limit(LANGUAGES).collect()]
@@ -149,13 +174,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> C
             at = [np.flatnonzero(x).astype(np.int32) for x in blank.rows([x.as_py() or "" for x in batch.column(1)])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(at, pa.list_(pa.int32())), batch.column(2), batch.column(3)], ["doc_id", "at", "lang", "toxic"])
 
-    found = sample.select("doc_id", "text", "lang", "toxic").mapInArrow(vectors, "doc_id long, at array<int>, lang string, toxic int").orderBy("doc_id").toArrow().to_pylist()
-    rows = np.zeros((len(found), len(features)), np.float32)
-    for i, r in enumerate(found):
+    sampled = sample.select("doc_id", "text", "lang", "toxic").mapInArrow(vectors, "doc_id long, at array<int>, lang string, toxic int").orderBy("doc_id").toArrow().to_pylist()
+    rows = np.zeros((len(sampled), len(features)), np.float32)
+    for i, r in enumerate(sampled):
         rows[i, r["at"]] = 1
-    verdict = np.array([r["toxic"] for r in found], float)
-    targets = np.column_stack([*[verdict * np.array([r["lang"] == x for r in found]) for x in spoken], verdict])
-    return train(rows, targets, np.arange(len(found)) % FOLDS, features, categories)
+    verdict = np.array([r["toxic"] for r in sampled], float)
+    targets = np.column_stack([*[verdict * np.array([r["lang"] == x for r in sampled]) for x in spoken], verdict])
+    return train(rows, targets, np.arange(len(sampled)) % FOLDS, features, categories)
 
 
 def classify(docs: DataFrame, chain: Chain | None) -> DataFrame:
