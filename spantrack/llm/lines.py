@@ -35,7 +35,8 @@ def _positions(base: DataFrame) -> DataFrame:
     names = base.select("rid", "doc_id", F.transform(words, lambda x: F.struct(F.xxhash64(x).alias("h"), F.hash(x).alias("c"))).alias("names")).dropDuplicates(["rid"])
     lines = cut(names.select("rid", "doc_id", F.posexplode("names").alias("seq", "name")).select("rid", "doc_id", "seq", "name.h", "name.c"))
     repeated = lines.groupBy("h", "c").agg(F.count("*").alias("n")).where("n > 1")
-    return cut(lines.join(ranked(repeated, [F.col("h"), F.col("c")], "rank", "n"), ["h", "c"]).select("rid", "doc_id", "seq", "rank"))
+    names = cut(ranked(repeated, [F.col("h"), F.col("c")], "rank", "n"))  # both sides of the join are read afresh, so that Spark can split a hot name
+    return cut(lines.join(names, ["h", "c"]).select("rid", "doc_id", "seq", "rank"))
 
 
 def _doubled(positions: DataFrame, step: int) -> DataFrame:
@@ -43,7 +44,7 @@ def _doubled(positions: DataFrame, step: int) -> DataFrame:
     ahead = positions.select("rid", (F.col("seq") - step).alias("seq"), F.col("rank").alias("next"))
     pairs = cut(positions.join(ahead, ["rid", "seq"]))
     repeated = pairs.groupBy("rank", "next").agg(F.count("*").alias("n")).where("n > 1")
-    named = ranked(repeated, [F.col("rank"), F.col("next")], "longer", "n")
+    named = cut(ranked(repeated, [F.col("rank"), F.col("next")], "longer", "n"))
     return cut(pairs.join(named, ["rank", "next"]).select("rid", "doc_id", "seq", F.col("longer").alias("rank")))
 
 
@@ -54,7 +55,7 @@ def later_windows(base: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
         step = min(length, min_lines - length)
         positions, length = _doubled(positions, step), length + step
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "rid", "seq")
-    firsts = positions.groupBy("rank").agg(F.min(place).alias("first"))
+    firsts = cut(positions.groupBy("rank").agg(F.min(place).alias("first")))
     return positions.join(firsts, "rank").where(place > F.col("first")).select("rid", "doc_id", "seq", F.col("first.doc_id").alias("first_doc_id"), F.col("first.seq").alias("first_seq"))
 
 
