@@ -127,7 +127,7 @@ def _windows(docs: pa.Table, flags: pa.Table) -> pa.Table:
 def _copies(base: DataFrame) -> DataFrame:
     """(rid, first): documents whose whole text is also that of a smaller doc_id."""
     texts = base.select("rid", "doc_id", F.md5("text").alias("digest"))
-    firsts = texts.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("digest", "first")
+    firsts = cut(texts.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("digest", "first"))
     return texts.join(firsts, "digest").where("doc_id > first").groupBy("rid").agg(F.min("first").alias("first"))
 
 
