@@ -225,7 +225,7 @@ REGIONS = f"""contigs AS (SELECT unnest({_list(views.CONTIGS)}) AS c, {views.CON
  given AS (SELECT unnest({_list(views.REGIONS)}) AS region),
  split AS (SELECT region, regexp_extract(region, '^(?:chr)?([IVX]+|[0-9]+)(?::([0-9]+)-([0-9]+))?$', ['name', 'a', 'b']) AS m FROM given),
  named AS (SELECT region, CASE WHEN m.name = '' OR (m.name NOT SIMILAR TO '[0-9]+' AND NOT list_contains({_list(views.MAIN)}, m.name)) THEN NULL
-   WHEN m.name SIMILAR TO '[0-9]+' THEN coalesce({_list(views.MAIN)}[CAST(m.name AS INTEGER)], m.name) ELSE m.name END AS chrom, m.a, m.b FROM split),
+   WHEN m.name SIMILAR TO '[0-9]+' THEN coalesce({_list(views.MAIN)}[TRY_CAST(m.name AS INTEGER)], m.name) ELSE m.name END AS chrom, m.a, m.b FROM split),
  sized AS (SELECT region, chrom, chrom_len, CASE WHEN a = '' AND chrom IS NOT NULL THEN 1 ELSE TRY_CAST(a AS BIGINT) END AS start, CASE WHEN a = '' AND chrom IS NOT NULL THEN chrom_len ELSE TRY_CAST(b AS BIGINT) END AS stop
   FROM named LEFT JOIN contigs ON chrom = c),
  regions AS (SELECT *, CASE WHEN chrom IS NULL THEN 'format' WHEN chrom_len IS NULL THEN 'contig' WHEN start IS NULL OR stop IS NULL OR start < 1 THEN 'start'
@@ -379,9 +379,9 @@ SHEET = f"""parts AS (SELECT p_partkey AS k, {_list(views.STATES)}[p_partkey % 5
  mids AS (SELECT *, t[2:len(t) - 1] AS mid FROM toks),
  rests AS (SELECT *, CASE WHEN mid[1] = 'WT' OR lower(mid[1]) LIKE '%-ko' THEN mid[2:] ELSE mid END AS rest FROM mids),
  found AS (SELECT *, CASE WHEN len(rest) < len(mid) THEN mid[1] ELSE 'N/A' END AS genotype,
-   list_filter(rest, x -> x IN ('G1', 'G2M', 'log', 'Q')) AS st, list_filter(rest, x -> regexp_full_match(x, 'H[1-4][A-Za-z0-9]*|[A-Za-z0-9]+-flag|Hmo1|Hho1')) AS fa FROM rests),
+   list_filter(rest, lambda x: x IN ('G1', 'G2M', 'log', 'Q')) AS st, list_filter(rest, lambda x: regexp_full_match(x, 'H[1-4][A-Za-z0-9]*|[A-Za-z0-9]+-flag|Hmo1|Hho1')) AS fa FROM rests),
  parsed AS (SELECT sample_id, path, t[1] AS assay, genotype, coalesce(st[1], 'N/A') AS state,
-   coalesce(CASE WHEN len(st) > 0 AND len(fa) > 0 THEN list_filter(rest, x -> x <> st[1] AND x <> fa[1])[1] ELSE rest[3] END, 'N/A') AS treatment,
+   coalesce(CASE WHEN len(st) > 0 AND len(fa) > 0 THEN list_filter(rest, lambda x: x <> st[1] AND x <> fa[1])[1] ELSE rest[3] END, 'N/A') AS treatment,
    fa[1] AS factor, t[len(t)] AS strain, CASE WHEN len(fa) = 0 THEN 'no factor' END AS error FROM found)"""
 
 
@@ -544,7 +544,7 @@ def dq_numbers(spark, sf_dir):
     return factors.number_problems(table, "sample", ("dep",), ("mass",))
 
 
-@query("""SELECT p_partkey AS sample, unnest(list_filter([CASE WHEN p_partkey % 4 = 0 THEN 'mass_ip must be above 0' END, CASE WHEN p_size % 7 = 0 THEN 'dep_in must be above 0' END, CASE WHEN p_size >= 30 THEN 'vol_all must be above vol_in' END], x -> x IS NOT NULL)) AS problem FROM part""")
+@query("""SELECT p_partkey AS sample, unnest(list_filter([CASE WHEN p_partkey % 4 = 0 THEN 'mass_ip must be above 0' END, CASE WHEN p_size % 7 = 0 THEN 'dep_in must be above 0' END, CASE WHEN p_size >= 30 THEN 'vol_all must be above vol_in' END], lambda x: x IS NOT NULL)) AS problem FROM part""")
 def dq_alpha_inputs(spark, sf_dir):
     k, size = F.col("p_partkey"), F.col("p_size")
     ones = [F.lit(1.0).alias(c) for c in ("mass_in", "dep_ip", "len_ip", "len_in")]

@@ -1,6 +1,7 @@
 """Every core query against its SQL at the smallest scale, as the driver does it."""
 
 import duckdb
+import pandas as pd
 import pytest
 
 from spantrack import queries
@@ -19,7 +20,7 @@ def db():
 
 def rows(frame):
     frame = frame[sorted(frame.columns)].astype(object)
-    return sorted((tuple("null" if x is None or x != x else round(float(x), 9) if isinstance(x, float) else x for x in r) for r in frame.itertuples(index=False)), key=str)
+    return sorted((tuple("null" if pd.isna(x) else round(float(x), 9) if isinstance(x, float) else x for x in r) for r in frame.itertuples(index=False)), key=str)
 
 
 @pytest.mark.parametrize("name", list(queries.queries()))
