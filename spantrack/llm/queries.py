@@ -60,7 +60,7 @@ def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judged(table(spark, sf_dir, "documents")).drop("n_lines")
+    return quality.judged(table(spark, sf_dir, "documents")).drop("n_lines", "rejected_by")
 
 
 def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,13 +100,13 @@ FROM s QUALIFY rank <= 5
 # Windows of two lines with a word; all but the first of equal windows go.
 LINES = """
 WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
-l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS at FROM d),
-w AS (SELECT doc_id, line, at, lead(line) OVER o AS next, lead(at) OVER o AS next_at
-      FROM l WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') WINDOW o AS (PARTITION BY doc_id ORDER BY at)),
-r AS (SELECT *, row_number() OVER (PARTITION BY line, next ORDER BY doc_id, at) AS n FROM w WHERE next_at IS NOT NULL),
-gone AS (SELECT doc_id, at FROM r WHERE n > 1 UNION SELECT doc_id, next_at FROM r WHERE n > 1),
-k AS (SELECT l.doc_id, string_agg(CASE WHEN g.at IS NULL THEN l.line END, chr(10) ORDER BY l.at) AS kept, count(g.at) AS n
-      FROM l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.at = g.at GROUP BY l.doc_id)
+l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS ln FROM d),
+w AS (SELECT doc_id, line, ln, lead(line) OVER o AS nxt, lead(ln) OVER o AS next_ln
+      FROM l WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') WINDOW o AS (PARTITION BY doc_id ORDER BY ln)),
+r AS (SELECT *, row_number() OVER (PARTITION BY line, nxt ORDER BY doc_id, ln) AS n FROM w WHERE next_ln IS NOT NULL),
+gone AS (SELECT doc_id, ln FROM r WHERE n > 1 UNION SELECT doc_id, next_ln FROM r WHERE n > 1),
+k AS (SELECT l.doc_id, string_agg(CASE WHEN g.ln IS NULL THEN l.line END, chr(10) ORDER BY l.ln) AS kept, count(g.ln) AS n
+      FROM l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.ln = g.ln GROUP BY l.doc_id)
 SELECT d.doc_id, CAST(coalesce(k.n, 0) AS BIGINT) AS n_removed,
        CAST(length(CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.kept, '') END) AS BIGINT) AS kept_chars,
        sha256(CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.kept, '') END) AS kept_sha256
@@ -114,5 +114,46 @@ FROM d LEFT JOIN k ON d.doc_id = k.doc_id
 """
 
 
+# The turns' texts, and the template's length: markers, and a backslash before each backslash, # and / after <.
+CHAT = rf"""
+WITH c AS (SELECT conv_id, turn, role, text FROM conversations
+           UNION ALL SELECT {MARKED[0]}, 0, 'user', '{MARKED[1]}' UNION ALL SELECT {MARKED[0]}, 1, 'assistant', '{MARKED[1]}'),
+t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum({len(chat.BEGIN) + 1 + len(chat.END)} + length(role) + length(text) + length(regexp_replace(text, '[^\\#]', '', 'g'))
+                + (length(text) - length(replace(text, '</', ''))) // 2) AS BIGINT) AS formatted_chars,
+       '{chat.fingerprint("OBJECT<turns: ARRAY<OBJECT<role: _, text: _>>>")}' AS fingerprint
+FROM t GROUP BY conv_id
+"""
+
+WORDS = r"""d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+e AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM d)"""
+
+QUALITY = rf"""
+WITH {WORDS},
+t AS (SELECT doc_id, i, string_agg(word, ' ') OVER o AS k, count(*) OVER o AS n FROM e WINDOW o AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING)),
+r AS (SELECT doc_id, i, n = 3 AND count(*) FILTER (WHERE n = 3) OVER (PARTITION BY doc_id, k) > 1 AS hit FROM t),
+v AS (SELECT doc_id, bool_or(hit) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS hit FROM r),
+n AS (SELECT doc_id, count(*) FILTER (WHERE hit) AS n_repeat_words FROM v GROUP BY doc_id),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d),
+g AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+m AS (SELECT d.doc_id, len(w) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+      coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines FROM d LEFT JOIN n USING (doc_id) LEFT JOIN g USING (doc_id))
+SELECT * EXCLUDE (n_lines), n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > word_chars OR 2 * n_dup_lines > n_lines OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept FROM m
+"""
+
+PASSAGES = rf"""
+WITH {WORDS},
+t AS (SELECT doc_id, i, word, string_agg(word, ' ') OVER o AS k, count(*) OVER o AS n FROM e WINDOW o AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)),
+f AS (SELECT doc_id, i, word, n = 13 AND min(doc_id) FILTER (WHERE n = 13) OVER (PARTITION BY k) < doc_id AS hit FROM t),
+v AS (SELECT doc_id, i, word, bool_or(hit) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone FROM f),
+k AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept FROM v GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_topk": TOP_K, "op7_lines": LINES}
+    return {"op4_topk": TOP_K, "op5_chat": CHAT, "op7_lines": LINES, "op8_quality": QUALITY, "op9_substrings": PASSAGES}
