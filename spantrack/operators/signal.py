@@ -1,13 +1,13 @@
 """Binned signal of fragments.
 
 A fragment adds its weight to every base that it covers; a bin's value is the sum
-over its bases. Bases are never made into rows: a fragment becomes one row for
-each bin it touches, with the number of bases in it.
+over its bases. A fragment becomes one row for each bin it touches, with the number
+of bases in it, and for coverage base by base only its two ends are rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 METHODS = ("unadj", "frag", "norm")
@@ -53,8 +53,21 @@ def scaled(track: DataFrame, factors: DataFrame, factor: str = "factor") -> Data
 
 
 def coverage(frags: DataFrame, closed_end: bool = True) -> DataFrame:
-    """Per-base coverage: unadjusted signal in bins of one base."""
-    return bin_signal(frags, 1, "unadj", closed_end)
+    """Per-base coverage, the unadjusted signal in bins of one base, from the places where it changes.
+
+    A fragment gives two rows for each tile of 4096 bases that it touches, whatever
+    its length; equal places are summed before the shuffle, and a running sum within
+    each tile gives the depth up to the next change.
+    """
+    tile, last = 4096, F.col("frg_end") if closed_end else F.col("frg_end") - 1
+    cut = frags.select("sample", "chrom", "frg_start", last.alias("last")).withColumn("tile", F.explode(F.sequence(F.floor(F.col("frg_start") / tile), F.floor(F.col("last") / tile))))
+    begin, end = F.greatest("frg_start", F.col("tile") * tile), F.least("last", F.col("tile") * tile + (tile - 1)) + 1
+    changes = F.explode(F.array(F.struct(begin.alias("at"), F.lit(1).alias("by")), F.struct(end.alias("at"), F.lit(-1).alias("by"))))
+    steps = cut.select("sample", "chrom", "tile", changes.alias("c")).groupBy("sample", "chrom", "tile", "c.at").agg(F.sum("c.by").alias("by"))
+    along = Window.partitionBy("sample", "chrom", "tile").orderBy("at")
+    runs = steps.select("sample", "chrom", "at", F.sum("by").over(along).alias("depth"), F.lead("at").over(along).alias("next")).where("depth > 0")
+    bases = runs.select("sample", "chrom", F.explode(F.sequence("at", F.col("next") - 1)).alias("bin_start"), F.col("depth").cast("double").alias("signal"))
+    return bases.select("sample", "chrom", "bin_start", (F.col("bin_start") + 1).alias("bin_end"), "signal")
 
 
 def in_region(track: DataFrame, regions: DataFrame) -> DataFrame:

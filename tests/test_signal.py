@@ -29,6 +29,14 @@ def test_against_bases(spark, width, method):
         assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
 
 
+def test_coverage_is_signal_base_by_base(spark):
+    rows, table = frags(spark, 150, 4)
+    far = table.unionByName(spark.createDataFrame([("a", "I", 4000, 13000, 9000), ("b", "II", 4096, 8192, 5), ("b", "II", 4095, 4096, 5)], FRAGS))
+    for closed in (True, False):
+        both = signal.coverage(far, closed).withColumnRenamed("signal", "x").join(signal.bin_signal(far, 1, "unadj", closed), ["sample", "chrom", "bin_start", "bin_end"], "full_outer")
+        assert both.count() > 9000 and both.where("NOT x <=> signal").count() == 0
+
+
 def test_bins_refine_and_unity(spark):
     rows, table = frags(spark)
     fine = signal.bin_signal(table, 5, "frag").withColumn("bin_start", F.col("bin_start") - F.col("bin_start") % 10).groupBy("sample", "chrom", "bin_start").agg(F.sum("signal").alias("x"))
