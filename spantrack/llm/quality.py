@@ -97,7 +97,7 @@ BASE = (
 #: Symbol noise, repeated lines and words of no plausible length come on top.
 RULES = (
     *BASE,
-    Rule("symbols", 1.5, lambda m: 10 * m.n_symbols > m.word_chars),
+    Rule("symbols", 1.5, lambda m: 20 * m.n_symbols > m.word_chars),
     Rule("repeated_lines", 2.0, lambda m: 2 * m.n_dup_lines > m.n_lines),
     Rule("word_length", 1.2, lambda m: not 2 * m.n_words <= m.word_chars <= 20 * m.n_words),
 )

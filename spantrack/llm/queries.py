@@ -142,7 +142,7 @@ g AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_d
 m AS (SELECT d.doc_id, len(w) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
       coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines FROM d LEFT JOIN n USING (doc_id) LEFT JOIN g USING (doc_id))
 SELECT * EXCLUDE (n_lines), n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > word_chars OR 2 * n_dup_lines > n_lines OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept FROM m
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 20 * n_symbols > word_chars OR 2 * n_dup_lines > n_lines OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept FROM m
 """
 
 PASSAGES = rf"""
