@@ -28,7 +28,7 @@ from spantrack.llm._spark import python_ready
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Bytes in a leaf of the tree; pieces, leaves with windows, and pairs that a worker remembers.
-LEAF_BYTES, PIECES, PARTS, PAIRS = 5, 300_000, 200_000, 300_000
+LEAF_BYTES, PIECES, PARTS, PAIRS = 5, 200_000, 150_000, 200_000
 #: Tokens that decoding concatenates at a leaf.
 LEAF_TOKENS = 4096
 
@@ -42,7 +42,7 @@ class Encoder:
         self.find = regex.compile(pattern).findall
         self.pieces: dict[str, bytes] = {}
         self.parts: dict[bytes, tuple[int, ...]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
 
     def merged(self, data: bytes) -> tuple[int, ...]:
         """The encoding of a leaf or a window, by merging; short ones are remembered."""
@@ -97,11 +97,11 @@ class Encoder:
 
     def stable(self, left: int, right: int) -> bool:
         """Whether the two tokens stay apart next to each other."""
-        known = self.pairs.get((left, right))
+        known = self.pairs.get(left << 32 | right)
         if known is None:
             if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self.merged(self.tokens[left] + self.tokens[right]) == (left, right)
+            known = self.pairs[left << 32 | right] = self.merged(self.tokens[left] + self.tokens[right]) == (left, right)
         return known
 
     def join(self, left: tuple[int, ...], right: tuple[int, ...]) -> tuple[int, ...]:
@@ -150,12 +150,16 @@ class Encoder:
         middle = len(ids) // 2
         return self.decode(ids[:middle]) + self.decode(ids[middle:])
 
+    def unpacked(self, ids: bytes) -> bytes:
+        """Decode packed ids."""
+        return self.decode(np.frombuffer(ids, "<u4").tolist())
+
 
 _encoders: dict[tuple[bytes, str], Encoder] = {}
 
 
 def encoder(content: bytes, pattern: str = public_tokenizers.PATTERN) -> Encoder:
-    """One encoder for each vocabulary in a worker, with what it remembers."""
+    """One encoder for each vocabulary in a worker."""
     if (content, pattern) not in _encoders:
         _encoders[content, pattern] = Encoder(content, pattern)
     return _encoders[content, pattern]
@@ -167,37 +171,45 @@ def _content(df: DataFrame, path: str):
         return df.sparkSession.sparkContext.broadcast(file.read())
 
 
-def encode(docs: DataFrame, path: str = VOCABULARY, pattern: str = public_tokenizers.PATTERN, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, path: str = VOCABULARY, pattern: str = public_tokenizers.PATTERN, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """``docs`` with column ``ids``: the text's token ids as little-endian unsigned 32-bit integers.
 
+    ``decoded`` names a column for the bytes that these ids stand for, decoded in the
+    same pass, so that a worker holds the vocabulary once.
+
     Null and empty texts have no tokens; strings of special tokens are ordinary
     text; repeated rows are encoded alike; an empty table gives no rows; a column
     of the name ``ids`` is replaced.
     """
     python_ready(docs.sparkSession)
-    content = _content(docs, path)
-    docs = docs.withColumn(ids, F.col(text).cast("string"))
-    schema = docs.withColumn(ids, F.lit(b"")).schema
+    added = [ids, *([decoded] if decoded else [])]
+    content, docs = _content(docs, path), docs.drop(*added)
+    schema = docs.withColumns({c: F.lit(b"") for c in added}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(content.value, pattern)
         for batch in batches:
-            at = batch.schema.get_field_index(ids)
-            yield batch.set_column(at, ids, pa.array([own.encode(x.as_py() or "") for x in batch.column(at)], pa.binary()))
+            texts = batch.column(text).cast(pa.string())
+            found = [own.encode(x.as_py() or "") for x in texts]
+            columns = [found, *([[own.unpacked(x) for x in found]] if decoded else [])]
+            yield _with(batch, dict(zip(added, columns, strict=True)))
 
     return docs.mapInArrow(run, schema)
 
 
+def _with(batch: pa.RecordBatch, added: dict[str, list[bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(x, pa.binary()) for x in added.values()]], [*batch.schema.names, *added])
+
+
 def decode(encoded: DataFrame, path: str = VOCABULARY, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``encoded`` with column ``out``: the bytes that its ids stand for; null ids give no bytes."""
     python_ready(encoded.sparkSession)
-    content = _content(encoded, path)
-    encoded = encoded.withColumn(out, F.col(ids).cast("binary"))
+    content, encoded = _content(encoded, path), encoded.drop(out)
+    schema = encoded.withColumn(out, F.lit(b"")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(content.value)
         for batch in batches:
-            at = batch.schema.get_field_index(out)
-            yield batch.set_column(at, out, pa.array([own.decode(np.frombuffer(x.as_py() or b"", "<u4").tolist()) for x in batch.column(at)], pa.binary()))
+            yield _with(batch, {out: [own.unpacked(x.as_py() or b"") for x in batch.column(ids)]})
 
-    return encoded.mapInArrow(run, encoded.schema)
+    return encoded.mapInArrow(run, schema)

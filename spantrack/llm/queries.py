@@ -25,7 +25,7 @@ def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = bpe.decode(bpe.encode(docs))
+    out = bpe.encode(docs, decoded="decoded")
     n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
     return out.select("doc_id", n_tokens, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

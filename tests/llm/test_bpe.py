@@ -51,6 +51,7 @@ def test_documents(spark, library):
     out = bpe.decode(bpe.encode(docs))
     assert out.columns == [*docs.columns, "ids", "decoded"]
     got = out.collect()
+    assert sorted(got) == sorted(bpe.encode(docs, decoded="decoded").collect())
     assert sorted((r.doc_id, np.frombuffer(r.ids, "<u4").tolist()) for r in got) == sorted((r[0], library.encode_ordinary(r[1] or "")) for r in rows)
     assert all(bytes(r.decoded) == (r.text or "").encode() for r in got)
     assert bpe.decode(bpe.encode(frame(spark, []))).count() == 0
