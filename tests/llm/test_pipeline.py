@@ -11,7 +11,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 def brute(rows):
     """(doc_id, text, source) of what the first three stages keep."""
     good = [r for r in rows if not any(rule.rejects(quality.Measures((r[1] or "").encode())) for rule in quality.RULES)]
-    left = [(i, x) for i, x in test_lines.brute(good, 2) if x.encode().split()]
+    left = [(max(i, 0), x) for i, x in test_lines.brute(good, 2) if x.encode().split()]  # brute writes doc_id 0 as -1
     roots = test_simhash.brute_components({i: test_simhash.brute_fingerprint(x) for i, x in left})
     source = {r[0]: r[3] for r in rows}
     return {i: (x, source[i]) for i, x in left if roots[i] == i}
