@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from spantrack.llm._spark import cut, ranked
 
 MIN_LINES = 2
+#: Words that make one repeated line enough where lone lines count; as many as a passage of ``substrings`` has.
+LONE_WORDS = 13
 WORD = r"[^\x20\x09-\x0D]"
 
 
@@ -29,14 +31,16 @@ def _base(docs: DataFrame) -> DataFrame:
     return docs.select(F.xxhash64(F.col("doc_id").cast("long"), text).alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.split(text, "\n", -1).alias("lines"))
 
 
-def _positions(base: DataFrame) -> DataFrame:
-    """(rid, doc_id, seq, rank) of each line with a word that isn't the only one of its kind; rank sorts the names."""
+def _positions(base: DataFrame, lone_words: int | None = None) -> DataFrame:
+    """(rid, doc_id, seq, rank, long) of each line with a word that isn't the only one of its kind; rank sorts the names, long lines have ``lone_words``."""
+    space = r"[\x20\x09-\x0D]"
+    long = lambda x: x.rlike(rf"^{space}*+(?:{WORD}++{space}++){{{lone_words - 1}}}{WORD}") if lone_words else F.lit(False)
     words = F.filter("lines", lambda x: x.rlike(WORD))
-    names = base.select("rid", "doc_id", F.transform(words, lambda x: F.struct(F.xxhash64(x).alias("h"), F.hash(x).alias("c"))).alias("names")).dropDuplicates(["rid"])
-    lines = cut(names.select("rid", "doc_id", F.posexplode("names").alias("seq", "name")).select("rid", "doc_id", "seq", "name.h", "name.c"))
+    names = base.select("rid", "doc_id", F.transform(words, lambda x: F.struct(F.xxhash64(x).alias("h"), F.hash(x).alias("c"), long(x).alias("long"))).alias("names")).dropDuplicates(["rid"])
+    lines = cut(names.select("rid", "doc_id", F.posexplode("names").alias("seq", "name")).select("rid", "doc_id", "seq", "name.h", "name.c", "name.long"))
     repeated = lines.groupBy("h", "c").agg(F.count("*").alias("n")).where("n > 1")
     names = cut(ranked(repeated, [F.col("h"), F.col("c")], "rank", "n"))  # both sides of the join are read afresh, so that Spark can split a hot name
-    return cut(lines.join(names, ["h", "c"]).select("rid", "doc_id", "seq", "rank"))
+    return cut(lines.join(names, ["h", "c"]).select("rid", "doc_id", "seq", "rank", "long"))
 
 
 def _doubled(positions: DataFrame, step: int) -> DataFrame:
@@ -48,29 +52,37 @@ def _doubled(positions: DataFrame, step: int) -> DataFrame:
     return cut(pairs.join(named, ["rank", "next"]).select("rid", "doc_id", "seq", F.col("longer").alias("rank")))
 
 
-def later_windows(base: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """(rid, doc_id, seq, first_doc_id, first_seq): where a window of ``min_lines`` repeats an earlier one."""
-    positions, length = _positions(base), 1
+def _later(positions: DataFrame, n: int) -> DataFrame:
+    """(rid, doc_id, seq, n, first_doc_id, first_seq) of all places of a rank but the first; n is the window's length."""
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "rid", "seq")
+    firsts = cut(positions.groupBy("rank").agg(F.min(place).alias("first")))
+    return positions.join(firsts, "rank").where(place > F.col("first")).select("rid", "doc_id", "seq", F.lit(n).alias("n"), F.col("first.doc_id").alias("first_doc_id"), F.col("first.seq").alias("first_seq"))
+
+
+def later_windows(base: DataFrame, min_lines: int = MIN_LINES, lone_words: int | None = None) -> DataFrame:
+    """(rid, doc_id, seq, n, first_doc_id, first_seq): where a window of ``min_lines``, or a line of ``lone_words`` or more, repeats an earlier one."""
+    positions, length = _positions(base, lone_words), 1
+    lone = _later(positions.where("long"), 1) if lone_words else None
     while length < min_lines:
         step = min(length, min_lines - length)
         positions, length = _doubled(positions, step), length + step
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "rid", "seq")
-    firsts = cut(positions.groupBy("rank").agg(F.min(place).alias("first")))
-    return positions.join(firsts, "rank").where(place > F.col("first")).select("rid", "doc_id", "seq", F.col("first.doc_id").alias("first_doc_id"), F.col("first.seq").alias("first_seq"))
+    windows = _later(positions, min_lines)
+    return windows.union(lone) if lone_words else windows
 
 
-def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, lone_words: int | None = None) -> DataFrame:
     """(doc_id, first_line, n_lines): the maximal runs that go, counted over lines with a word from 0."""
     from pyspark.sql import Window
 
-    covered = later_windows(_base(docs), min_lines).select("rid", "doc_id", F.explode(F.sequence("seq", F.col("seq") + (min_lines - 1))).alias("seq")).distinct()
+    covered = later_windows(_base(docs), min_lines, lone_words).select("rid", "doc_id", F.explode(F.sequence("seq", F.expr("seq + n - 1"))).alias("seq")).distinct()
     run = F.col("seq") - F.row_number().over(Window.partitionBy("rid").orderBy("seq"))
     return covered.withColumn("run", run).groupBy("rid", "doc_id", "run").agg(F.min("seq").alias("first_line"), F.count("*").alias("n_lines")).select("doc_id", "first_line", "n_lines")
 
 
-def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, removed: str | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, removed: str | None = None, lone_words: int | None = None) -> DataFrame:
     """``docs`` with the later copies of repeated runs of ``min_lines`` or more lines deleted from text.
 
+    With ``lone_words``, one line of that many words or more is a run as well.
     Lines without a word take no part and stay; a null text stays null. Documents
     of null doc_id come after all others. Repeated rows of one doc_id and text are
     one document and come out alike. Other columns pass through, whatever their
@@ -78,14 +90,14 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, removed: str | None
     """
     columns = docs.columns
     base = _base(docs)
-    starts = later_windows(base, min_lines).groupBy("rid").agg(F.collect_set("seq").alias("_starts")).withColumnRenamed("rid", "_rid")
+    starts = later_windows(base, min_lines, lone_words).groupBy("rid").agg(F.collect_set(F.struct("seq", "n")).alias("_starts")).withColumnRenamed("rid", "_rid")
     text = F.col("text").cast("string")
     packed = docs.select(F.struct(*[F.lit(None).cast("string").alias(c) if c == "text" else F.col(c) for c in columns]).alias("_row"), F.xxhash64(F.col("doc_id").cast("long"), text).alias("_rid2"), F.split(text, "\n", -1).alias("_lines"))
     joined = packed.join(starts, packed._rid2 == starts._rid, "left")
     every = F.sequence(F.lit(0), F.size("_lines") - 1)
     worded = F.filter(F.transform("_lines", lambda x, i: F.when(x.rlike(WORD), i)), lambda i: i.isNotNull())
     marked = joined.withColumn("_worded", F.when(F.col("_starts").isNotNull(), worded))
-    gone = F.array_distinct(F.flatten(F.transform("_starts", lambda s: F.slice("_worded", s + 1, min_lines))))
+    gone = F.array_distinct(F.flatten(F.transform("_starts", lambda s: F.slice("_worded", s["seq"] + 1, s["n"]))))
     kept = F.transform(F.array_except(every, F.col("_gone")), lambda i: F.get(F.col("_lines"), i))
     text = F.when(F.col("_gone").isNull(), F.array_join("_lines", "\n")).otherwise(F.array_join(kept, "\n"))
     out = marked.withColumn("_gone", gone).select(*[text.alias(c) if c == "text" else F.col("_row").getField(c).alias(c) for c in columns], *([F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias(removed)] if removed else []))

@@ -1,3 +1,4 @@
+import corpus_pipeline
 from spantrack.llm import lines
 from tests.llm.docs import documents, frame
 
@@ -44,6 +45,18 @@ def test_runs(spark):
     assert {r.doc_id: r.text for r in lines.dedup_lines(docs).collect()} == {1: rows[0][1], 2: "p\n\nq", 3: "", 4: "z"}
 
 
+def test_lone_long_lines(spark):
+    """The stage takes a line of 13 words or more as a run of its own, wherever it stands; a shorter one needs a neighbour."""
+    long, short, pair = " ".join(f"w{i}" for i in range(13)), " ".join(f"v{i}" for i in range(12)), "p\nq"
+    spaced = "  " + long.replace(" ", " \t") + " "
+    rows = [(1, f"a\n{long}\nb\n{short}\nc"), (2, f"d\n{long}\ne\n\n{short}\nf\n{pair}"), (3, f"{spaced}\ng\n{long}\nh\n{spaced}"), (4, f"i\n{long} w13\n{pair}"), (5, f"{'x' * 50000}\n{long}")]
+    docs = frame(spark, [(*r, *[None] * 7) for r in rows])
+    want = {1: rows[0][1], 2: f"d\ne\n\n{short}\nf\n{pair}", 3: f"{spaced}\ng\nh", 4: f"i\n{long} w13", 5: "x" * 50000}
+    assert {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, "").collect()} == want
+    got = {tuple(r) for r in lines.repeated_runs(docs, lone_words=13).collect()}
+    assert got == {(2, 1, 1), (3, 2, 1), (3, 4, 1), (4, 2, 2), (5, 1, 1)}
+
+
 def test_empty(spark):
     assert lines.dedup_lines(frame(spark, [])).count() == 0
     assert lines.dedup_lines(frame(spark, [(None, None, *[None] * 7), (None, "a\nb", *[None] * 7)])).count() == 2
