@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import zipfile
 from collections.abc import Sequence
@@ -11,8 +10,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Rows per Arrow batch handed to Python: texts can be long, so batches stay small.
-ARROW_ROWS = 1000
+#: Rows and bytes of an Arrow batch handed to Python, the same for all operators: texts, trees and blocks can be large.
+ARROW_ROWS, ARROW_BYTES = 1000, 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +24,7 @@ _shipped: set[str] = set()
 def python_ready(spark: SparkSession) -> None:
     """Before Python runs on executors: send them this package, and keep Arrow batches of long texts small."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
@@ -37,22 +37,34 @@ def python_ready(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: ``spark.checkpoint.dir``, or on a local master a new one of our own.
 
-    The folder is the session's ``spark.checkpoint.dir``; a folder of our own is
-    set only where that is unset (tests). The collector runs afterwards, so that
-    Spark can drop shuffle files of the lineage that has been cut off.
+    On a cluster without that setting it raises: a folder of one machine would lose data.
     """
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if shared is None:
+        if not (context.master or "").startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        shared = tempfile.mkdtemp(prefix="spark-")
+    return shared
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it from there."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-"))
-    out = df.checkpoint(eager=True)
-    del df
-    gc.collect()
-    context._jvm.System.gc()
-    return out
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint(eager=True)
+
+
+def free_name(name: str, taken: Sequence[str]) -> str:
+    """``name``, with as many underscores in front as set it apart from ``taken`` (whatever the case)."""
+    used = {x.lower() for x in taken}
+    while name.lower() in used:
+        name = f"_{name}"
+    return name
 
 
 def partitions(spark: SparkSession) -> int:

@@ -111,24 +111,27 @@ def take(docs: DataFrame, **options) -> DataFrame:
 
     Where only some words are left to take, one more row holds the text up to the
     last of them. Repeated rows of one doc_id, source and text share what they take
-    as evenly as whole copies allow. Documents that are not taken go.
+    as evenly as whole copies allow. Documents that are not taken go, among them
+    those of null and empty text. Null sources are one source; an empty table gives
+    no rows; other columns pass through, whatever their names.
     """
     columns = docs.columns
     text = F.col("text").cast("string")
+    others = F.struct(*[F.lit(None).cast("string").alias(c) if c == "text" else F.col(c) for c in columns])
+    packed = docs.select(others.alias("_other"), text.alias("_text"), F.col("doc_id").cast("long").alias("_id"), F.col("source").cast("string").alias("_from"), F.xxhash64(text).alias("_hash"))
     found = (
         mixed(docs, **options).groupBy("doc_id", "source", "text_hash")
-        .agg(F.sum("taken").alias("_taken"), F.max("size").alias("_size"), F.count("*").alias("_rows"))
-        .where("_taken > 0").withColumnsRenamed({"doc_id": "_doc_id", "source": "_source", "text_hash": "_text_hash"})
+        .agg(F.sum("taken").alias("_taken"), F.max("size").alias("_size"), F.count("*").alias("_rows")).where("_taken > 0")
     )
-    keys = [F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")), F.col("source").cast("string").eqNullSafe(F.col("_source")), F.xxhash64(text) == F.col("_text_hash")]
-    joined = docs.join(found, keys)
-    same = Window.partitionBy("_doc_id", "_source", "_text_hash").orderBy("_text_hash")
-    row, whole, rest = F.row_number().over(same), F.floor(F.col("_taken") / F.col("_size")), F.col("_taken") % F.col("_size")
+    keys = [F.col("_id").eqNullSafe(F.col("doc_id")), F.col("_from").eqNullSafe(F.col("source")), F.col("_hash") == F.col("text_hash")]
+    same = Window.partitionBy("_id", "_from", "_hash").orderBy("_hash")  # repeated rows of one document
+    joined = packed.join(found, keys).withColumn("_row", F.row_number().over(same))
+    whole, rest = F.floor(F.col("_taken") / F.col("_size")), F.col("_taken") % F.col("_size")
     copies = F.floor(whole / F.col("_rows")) + F.when(F.col("_row") <= whole % F.col("_rows"), 1).otherwise(0)
     cut_here = F.when((F.col("_row") == F.col("_rows")) & (rest > 0), rest)
-    words = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    words = F.regexp_extract_all("_text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     full = F.array_repeat(F.lit(-1).cast("long"), copies.cast("int"))
     parts = F.when(cut_here.isNotNull(), F.concat(full, F.array(cut_here))).otherwise(full)
-    spread = joined.withColumn("_row", row).withColumn("_part", F.explode(parts))
-    kept = F.when(F.col("_part") < 0, text).otherwise(F.array_join(F.slice(words, F.lit(1), F.col("_part").cast("int")), ""))
-    return spread.withColumn("text", kept).select(*columns)
+    spread = joined.withColumn("_part", F.explode(parts))
+    kept = F.when(F.col("_part") < 0, F.col("_text")).otherwise(F.array_join(F.slice(words, F.lit(1), F.col("_part").cast("int")), ""))
+    return spread.select(*[kept.alias(c) if c == "text" else F.col("_other").getField(c).alias(c) for c in columns])

@@ -168,7 +168,6 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, tree_rows: int = TREE
     """
     spark = vectors.sparkSession
     python_ready(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")  # rows that hold whole trees
     rows = quantized(vectors).dropDuplicates(["vec_id"])
     first = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
     rows = cut(rows.withColumn("n", first))  # of equal vectors the k + 1 smallest ids are all that can be returned
