@@ -47,3 +47,29 @@ def test_order_changes_nothing_but_the_first_rule(spark):
 def test_empty_table(spark):
     assert quality.judged(frame(spark, [])).count() == 0
     assert quality.keep_good(frame(spark, [])).count() == 0
+
+
+def test_order_follows_measured_cost(spark):
+    """Two rules reject the same documents; the one whose measure takes longer goes last, whichever comes first."""
+    slow = quality.Rule("slow", lambda m: m.n_words < sum(1 for _ in range(2000)) - 1950 and m.n_repeat_words >= 0)
+    docs = frame(spark, documents() + junk())
+    cheap = quality.Rule("cheap", lambda m: m.n_words < 50)
+    for rules in ((slow, cheap), (cheap, slow)):
+        assert [r.name for r in quality.order_rules(docs, rules)] == ["cheap", "slow"]
+    found = quality.trials(docs, (slow, cheap))
+    assert found["slow"][0] == found["cheap"][0] > 0
+    assert set(found["slow"][1]) == {"words", "n_words", "n_repeat_words"} and set(found["cheap"][1]) == {"words", "n_words"}
+
+
+def test_measures_of_an_earlier_rule_cost_nothing(spark, monkeypatch):
+    found = {"a": (10, {"words": 100}), "b": (9, {"lines": 95}), "c": (5, {"words": 100, "n_words": 1})}
+    monkeypatch.setattr(quality, "trials", lambda *_: found)
+    rules = tuple(quality.Rule(x, lambda m: False) for x in "cba")
+    assert [r.name for r in quality.order_rules(None, rules)] == ["a", "c", "b"]
+
+
+def test_verdict_short_circuits(spark):
+    m = quality.Timed(b"too short", spent := {})
+    assert quality.RULES[0].rejects(m) and set(spent) == {"words", "n_words"}
+    out = quality.judged(frame(spark, documents()), measures=())
+    assert out.columns == ["doc_id", "base_failed", "rejected_by", "kept"]
