@@ -25,6 +25,12 @@ def depths(alignments: DataFrame, layout: str = "paired") -> DataFrame:
     return alignments.groupBy("sample").agg(F.count_if(ok).alias("depth"), F.avg(F.when(ok & (F.col("tlen") > 0), F.col("tlen"))).alias("length"))
 
 
+def depth_errors(figures: DataFrame) -> DataFrame:
+    """One row (sample, problem) for each sample of ``depths`` whose factor can't be made: nothing counted, or no positive template length."""
+    found = [F.when(F.col("depth") == 0, "no countable alignments"), F.when(F.col("length").isNull(), "no positive template length")]
+    return figures.select("sample", F.explode(F.array_compact(F.array(*found))).alias("problem"))
+
+
 def six_digits(x: Column) -> Column:
     """A positive number with 6 significant digits, as awk prints it."""
     scale = F.pow(F.lit(10.0), F.lit(5) - F.floor(F.log10(x)))

@@ -9,8 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spantrack.operators.small import local
+
 # Bits of the flag, flags that are counted, contigs of the two organisms.
 PAIRED, PROPER, UNMAPPED, REVERSE, SECONDARY, DUPLICATE, SUPPLEMENTARY = 0x1, 0x2, 0x4, 0x10, 0x100, 0x400, 0x800
+READ_1, READ_2 = 0x40, 0x80
 COUNTED = {"paired": (99, 1123, 163, 1187), "single": (0, 1024, 16, 1040)}
 SPIKE, SPIKE_EXTRA = ("SP_I", "SP_II", "SP_III"), {"tg": "SP_II_TG", "mtr": "SP_MTR", "mito": "SP_Mito"}
 
@@ -63,7 +66,8 @@ def fragments(alignments: DataFrame, contigs: DataFrame, length: int | Column |
     A pair's fragment starts at its anchor and is as long as the template; a single
     read's starts at its 5' end and is as long as its aligned part. ``length``
     replaces both: a number or a column of the alignments (null: not replaced).
-    ``contigs`` (chrom, chrom_len) drops records on other contigs.
+    ``contigs`` (chrom, chrom_len) drops records on other contigs; the list is small,
+    so that alignments stay where they are.
     """
     if isinstance(length, int) and length <= 0:
         raise ValueError("a fragment length must be above 0")
@@ -74,7 +78,7 @@ def fragments(alignments: DataFrame, contigs: DataFrame, length: int | Column |
     begin = F.when(~pair & has(REVERSE), right - size).otherwise(F.col("pos"))
     kept = alignments.where(usable(**filters)).where(~pair | anchors()).withColumn("frg_len", size.cast("int")).where("frg_len > 0")
     strand = F.when(has(REVERSE), "-").otherwise("+")
-    placed = kept.withColumn("_start", begin).join(contigs.select("chrom", "chrom_len"), "chrom")
+    placed = kept.withColumn("_start", begin).join(local(contigs.select("chrom", "chrom_len")), "chrom")
     bounds = placed.withColumns({"frg_start": F.greatest("_start", F.lit(0)).cast("long"), "frg_end": F.least(F.col("_start") + F.col("frg_len"), "chrom_len").cast("long"), "strand": strand})
     return bounds.where("frg_end > frg_start").select("sample", "chrom", "frg_start", "frg_end", "frg_len", "strand", "qname", "mapq", "flag")
 
@@ -94,28 +98,42 @@ def join_mates(records: DataFrame) -> DataFrame:
 
 
 def fix_mates(records: DataFrame) -> DataFrame:
-    """Records with mate_chrom, mate_pos and signed tlen filled from the other record of their name.
+    """Records with mate_chrom, mate_pos and signed tlen filled from the other primary record of their name.
 
-    The two are told apart by position, then flag. A record without a mate has nulls
-    and tlen 0; so have mates on two contigs as to tlen.
+    The two primary records are told apart by position, then flag. A secondary or
+    supplementary record gets what the primary record of its own read gets. A name
+    without two primary records has nulls and tlen 0; mates on two contigs have tlen 0.
     """
-    pair = Window.partitionBy("sample", "qname").orderBy("pos", "flag")
-    other = lambda c: F.coalesce(F.lead(c).over(pair), F.lag(c).over(pair))
-    seen = records.withColumns({"mate_chrom": other("chrom"), "mate_pos": other("pos"), "_mate_end": other(F.col("pos") + F.col("aln_len")), "_first": F.row_number().over(pair) == 1})
-    span = F.greatest(F.col("pos") + F.col("aln_len"), "_mate_end") - F.least("pos", "mate_pos")
-    tlen = F.when(F.col("mate_chrom") == F.col("chrom"), F.when(F.col("_first"), span).otherwise(-span)).otherwise(0)
-    return seen.withColumn("tlen", F.coalesce(tlen, F.lit(0)).cast("int")).drop("_mate_end", "_first")
-
-
-def mark_duplicates(frags: DataFrame) -> DataFrame:
-    """Fragments with 0x400 in flag for all but the best of equal places: best mapping quality, then name.
-
-    The best is found by an aggregate with partial sums and joined back, so that a
-    place with very many fragments isn't sorted in one task.
+    name = Window.partitionBy("sample", "qname")
+    primary = ~has(SECONDARY) & ~has(SUPPLEMENTARY)
+    place = F.struct("pos", "flag", "chrom", (F.col("pos") + F.col("aln_len")).alias("end"))
+    ends = records.withColumns({"_a": F.min(F.when(primary, place)).over(name), "_b": F.max(F.when(primary, place)).over(name), "_n": F.count_if(primary).over(name)})
+    read = lambda flag: flag.bitwiseAND(F.lit(READ_1 | READ_2))
+    first = F.when(primary, place == F.col("_a")).otherwise((read(F.col("flag")) == read(F.col("_a.flag"))) | (read(F.col("flag")) != read(F.col("_b.flag"))))
+    mated = ends.withColumns({"_first": first, "_mate": F.when(F.col("_n") > 1, F.when(first, F.col("_b")).otherwise(F.col("_a")))})
+    span = F.greatest("_a.end", "_b.end") - F.least("_a.pos", "_b.pos")
+    tlen = F.when((F.col("_n") > 1) & (F.col("_a.chrom") == F.col("_b.chrom")), F.when(F.col("_first"), span).otherwise(-span))
+    filled = {"mate_chrom": F.col("_mate.chrom"), "mate_pos": F.col("_mate.pos"), "tlen": F.coalesce(tlen, F.lit(0)).cast("int")}
+    return mated.withColumns(filled).drop("_a", "_b", "_n", "_first", "_mate")
+
+
+def mark_duplicates(frags: DataFrame, marked: DataFrame | None = None) -> DataFrame:
+    """Fragments with 0x400 in flag for all but the best of equal places: best mapping quality (null is the worst), then name, then flag.
+
+    Rows alike in all of these are one record. Samples of ``marked`` (sample), whose
+    files' headers say that duplicates have been marked, stay as they are. The best is
+    found by an aggregate with partial sums and joined back, so that a place with very
+    many fragments isn't sorted in one task.
     """
     place = ["sample", "chrom", "frg_start", "frg_end", "strand"]
-    best = frags.groupBy(*place).agg(F.min(F.struct((-F.col("mapq")).alias("m"), F.col("qname").alias("q")))["q"].alias("best"))
-    return frags.join(best, place).withColumn("flag", F.when(F.col("qname") == F.col("best"), F.col("flag")).otherwise(F.col("flag").bitwiseOR(F.lit(DUPLICATE)))).drop("best")
+    rank = F.struct((-F.coalesce("mapq", F.lit(-1))).alias("m"), F.col("qname").alias("q"), F.col("flag").alias("f"))
+    best = frags.groupBy(*place).agg(F.min(rank).alias("best"))
+    joined = frags.join(best, place)
+    if marked is not None:
+        joined = joined.join(local(marked.select("sample").distinct().withColumn("_done", F.lit(True))), "sample", "left")
+    done = F.coalesce("_done", F.lit(False)) if marked is not None else F.lit(False)
+    flag = F.when(done | (rank == F.col("best")), F.col("flag")).otherwise(F.col("flag").bitwiseOR(F.lit(DUPLICATE)))
+    return joined.withColumn("flag", flag).drop("best", "_done")
 
 
 def layouts(alignments: DataFrame) -> DataFrame:
@@ -124,8 +142,22 @@ def layouts(alignments: DataFrame) -> DataFrame:
 
 
 def queryname_order(alignments: DataFrame) -> DataFrame:
-    """Records of a name together and sorted, within partitions by sample and name."""
-    return alignments.repartition("sample", "qname").sortWithinPartitions("sample", "qname", "flag")
+    """Records of a name together and sorted, within partitions by sample and range of names, which stand in order."""
+    return alignments.repartitionByRange("sample", "qname").sortWithinPartitions("sample", "qname", "flag")
+
+
+def numbered_by_name(alignments: DataFrame, name: str = "place", prefix: int = 3) -> DataFrame:
+    """``alignments`` with ``name``: each record's number, from 1, in its sample's order by name, then flag.
+
+    Records are counted by the first ``prefix`` characters of their names; only those
+    counts are summed up along a sample, and records are numbered within them.
+    """
+    keys = ["sample", "_prefix"]
+    split = alignments.withColumn("_prefix", F.substring("qname", 1, prefix))
+    along = Window.partitionBy("sample").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    before = split.groupBy(*keys).agg(F.count("*").alias("_n")).select(*keys, F.coalesce(F.sum("_n").over(along), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy(*keys).orderBy("qname", "flag"))
+    return split.withColumn("_row", within).join(before, keys).withColumn(name, (F.col("_before") + F.col("_row")).cast("long")).drop("_prefix", "_row", "_before")
 
 
 def coordinate_order(alignments: DataFrame) -> DataFrame:

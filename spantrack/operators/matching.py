@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spantrack.functions.scalars import parse_sample_name
@@ -19,19 +19,23 @@ def match_measurements(samples: DataFrame, measurements: DataFrame, key: str = "
     Names are compared trimmed and in lower case. A row matches by strain, by factor
     or its abbreviation, and by genotype and state unless the sample has N/A; a
     second pass swaps factor and state. Samples without a match are left out.
+
+    A row of measurements stands under every full key that can ask for it, with and
+    without genotype and state, and only the first row of a key goes on, so that
+    matching is a join by equality and costs rows, not pairs.
     """
     norm = lambda c: F.lower(F.trim(F.coalesce(F.col(c), F.lit(""))))
-    rows = measurements if "factor_abbrev" in measurements.columns else measurements.withColumn("factor_abbrev", F.lit(None).cast("string"))
-    right = rows.select("row_no", *[norm(c).alias(f"_m_{c}") for c in ("factor", "factor_abbrev", "strain", "genotype", "state")])
-    left = samples.select(key, *[norm(c).alias(f"_s_{c}") for c in ("factor", "strain", "genotype", "state")])
-    any_genotype, any_state = F.col("_s_genotype") == "n/a", F.col("_s_state") == "n/a"
-
-    def matches(factor: str, state: str):
-        by_factor = (F.col(factor) == F.col("_m_factor")) | F.coalesce(F.col(factor) == F.col("_m_factor_abbrev"), F.lit(False))
-        return by_factor & (any_genotype | (F.col("_s_genotype") == F.col("_m_genotype"))) & (any_state | (F.col(state) == F.col("_m_state")))
-
-    rank = F.when(matches("_s_factor", "_s_state"), 1).when(matches("_s_state", "_s_factor"), 2)
-    met = left.join(right, F.col("_s_strain") == F.col("_m_strain")).withColumn("match_pass", rank).where("match_pass IS NOT NULL")
+    known = "factor_abbrev" in measurements.columns
+    names = F.array_distinct(F.array(norm("factor"), *([F.when(norm("factor_abbrev") != "", norm("factor_abbrev"))] if known else [])))
+    shapes = F.array(*[F.struct(F.when(F.lit(g), norm("genotype")).alias("g"), F.when(F.lit(s), norm("state")).alias("s")) for g in (True, False) for s in (True, False)])
+    spread = measurements.select("row_no", norm("strain").alias("_strain"), F.explode(F.array_compact(names)).alias("_name"), shapes.alias("shapes")).select("row_no", "_strain", "_name", F.explode("shapes").alias("x"))
+    full = [F.col("_strain"), F.col("_name"), F.col("x.g").isNull().alias("_any_g"), F.coalesce("x.g", F.lit("")).alias("_g"), F.col("x.s").isNull().alias("_any_s"), F.coalesce("x.s", F.lit("")).alias("_s")]
+    firsts = spread.groupBy(*full).agg(F.min("row_no").alias("row_no"))
+    any_g, any_s = norm("genotype") == "n/a", norm("state") == "n/a"
+    ways = F.array(*[F.struct(F.lit(i).alias("match_pass"), norm(a).alias("name"), F.when(any_s, "").otherwise(norm(b)).alias("s")) for i, a, b in ((1, "factor", "state"), (2, "state", "factor"))])
+    asked = samples.select(key, norm("strain").alias("_strain"), any_g.alias("_any_g"), F.when(any_g, "").otherwise(norm("genotype")).alias("_g"), any_s.alias("_any_s"), F.explode(ways).alias("w"))
+    asked = asked.select(key, "_strain", "_any_g", "_g", "_any_s", "w.match_pass", F.col("w.name").alias("_name"), F.col("w.s").alias("_s"))
+    met = asked.join(firsts, ["_strain", "_name", "_any_g", "_g", "_any_s", "_s"])
     first = met.groupBy(key).agg(F.min(F.struct("match_pass", "row_no")).alias("_f")).select(key, "_f.*")
     taken = [c for c in measurements.columns if c not in samples.columns]
     return samples.join(first, key).join(measurements.select(*taken), "row_no")
@@ -96,7 +100,3 @@ def select_samples(samples: DataFrame, include: tuple[str, ...] = (), exclude: t
 def _literal(text: str) -> str:
     return "".join(c if c.isalnum() or c == "_" else f"\\{c}" for c in text)
 
-
-def first_rows(table: DataFrame, key: str, order: str) -> DataFrame:
-    """The row of least ``order`` for each key."""
-    return table.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(order))).where("_n = 1").drop("_n")

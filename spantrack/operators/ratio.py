@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spantrack.operators.fragments import totals
+from spantrack.operators.signal import bins, weight
+from spantrack.operators.small import local
+
 NAN, NEG_INF = float("nan"), float("-inf")
 
 
@@ -35,21 +39,45 @@ def ratio(ip: Column, control: Column, floor: Column | None = None, log2: bool =
 
 def pair_tracks(track: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The IP and the input tracks of a table, each with ``pair``: the sample's name without its assay."""
-    named = track.withColumn("pair", F.regexp_replace("sample", "^(IP|in)_", ""))
+    named = track.withColumn("pair", pair_name())
     return named.where(F.col("sample").startswith("IP_")), named.where(F.col("sample").startswith("in_"))
 
 
-def ratio_track(track: DataFrame, floors: DataFrame | None = None, factors: DataFrame | None = None, log2: bool = False) -> DataFrame:
-    """(pair, chrom, bin_start, bin_end, value) of every IP track over its input; floors (pair, floor), factors (pair, factor)."""
-    both = merge(*pair_tracks(track))
-    if floors is not None:
-        both = both.join(floors.select("pair", "floor"), "pair", "left")
-    if factors is not None:
-        both = both.join(factors.select("pair", "factor"), "pair", "left")
-    value = ratio(F.col("ip"), F.col("control"), None if floors is None else F.col("floor"), log2, None if factors is None else F.col("factor"))
+def pair_name(sample: str = "sample") -> Column:
+    return F.regexp_replace(sample, "^(IP|in)_", "")
+
+
+def paired_signal(frags: DataFrame, width: int = 10, method: str = "norm", closed_end: bool = True) -> DataFrame:
+    """(pair, chrom, bin_start, bin_end, ip, control): the two signals of every pair side by side, from one pass over the fragments.
+
+    The bins of either track are there, a missing side as 0.0: what a full outer merge
+    of the two tracks gives, by one shuffle on (pair, chrom, bin_start).
+    """
+    side = lambda name: F.sum(F.when(F.col("sample").startswith(f"{name}_"), weight(method)).otherwise(0.0))
+    spread = bins(frags.where("sample LIKE 'IP\\_%' OR sample LIKE 'in\\_%'"), width, closed_end).withColumn("pair", pair_name())
+    both = spread.groupBy("pair", "chrom", "bin_start").agg(side("IP").alias("ip"), side("in").alias("control"))
+    if method == "norm":
+        count = lambda name: F.max(F.when(F.col("sample").startswith(f"{name}_"), F.col("frg_tot")))
+        counts = totals(frags).withColumn("pair", pair_name()).groupBy("pair").agg(count("IP").alias("_ip"), count("in").alias("_in"))
+        over = lambda x, n: F.when(F.col(n).isNull(), 0.0).otherwise(F.col(x) / F.col(n))
+        both = both.join(local(counts), "pair").withColumns({"ip": over("ip", "_ip"), "control": over("control", "_in")})
+    return both.select("pair", "chrom", "bin_start", (F.col("bin_start") + width).alias("bin_end"), "ip", "control")
+
+
+def ratio_of(both: DataFrame, figures: DataFrame | None = None, log2: bool = False) -> DataFrame:
+    """(pair, chrom, bin_start, bin_end, value) of merged tracks (ip, control); ``figures`` (pair, with floor or factor or both), a row per pair."""
+    has = lambda c: figures is not None and c in figures.columns
+    if figures is not None:
+        both = both.join(local(figures.select("pair", *[c for c in ("floor", "factor") if has(c)])), "pair", "left")
+    value = ratio(F.col("ip"), F.col("control"), F.col("floor") if has("floor") else None, log2, F.col("factor") if has("factor") else None)
     return both.select("pair", "chrom", "bin_start", "bin_end", value.alias("value"))
 
 
+def ratio_track(track: DataFrame, figures: DataFrame | None = None, log2: bool = False) -> DataFrame:
+    """(pair, chrom, bin_start, bin_end, value) of every IP track of a table over its input, as ``ratio_of``."""
+    return ratio_of(merge(*pair_tracks(track)), figures, log2)
+
+
 def finite(track: DataFrame, value: str = "value") -> DataFrame:
     """Rows for browsers: neither -inf nor NaN."""
     return track.where(~F.isnan(value) & (F.col(value) != NEG_INF))
@@ -70,6 +98,6 @@ def width_mismatch(a: DataFrame, b: DataFrame, by: str = "pair") -> DataFrame:
 
 def unpaired(samples: DataFrame) -> DataFrame:
     """(sample, missing): IP samples without an input and inputs without an IP."""
-    names = samples.select("sample").distinct().withColumn("pair", F.regexp_replace("sample", "^(IP|in)_", ""))
+    names = samples.select("sample").distinct().withColumn("pair", pair_name())
     ip, control = names.where("sample LIKE 'IP\\_%'"), names.where("sample LIKE 'in\\_%'")
     return ip.join(control, "pair", "left_anti").select("sample", F.lit("in").alias("missing")).unionByName(control.join(ip, "pair", "left_anti").select("sample", F.lit("IP").alias("missing")))

@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spantrack.operators.fragments import totals
+from spantrack.operators.small import local
+
 METHODS = ("unadj", "frag", "norm")
 
 
@@ -28,19 +31,23 @@ def bins(frags: DataFrame, width: int, closed_end: bool = True) -> DataFrame:
     return spread.select("sample", "chrom", "bin_start", bases.alias("bases"), "frg_len")
 
 
+def weight(method: str) -> Column:
+    """What a fragment adds to a bin, before normalising."""
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}")
+    return F.col("bases").cast("double") if method == "unadj" else F.col("bases") / F.col("frg_len")
+
+
 def bin_signal(frags: DataFrame, width: int = 10, method: str = "norm", closed_end: bool = True) -> DataFrame:
     """(sample, chrom, bin_start, bin_end, signal), sparse: bins that no fragment touches are absent.
 
     unadj: each base counts 1; frag: 1 / frg_len; norm: that over the sample's number
-    of fragments, divided once per bin. One shuffle for the sums.
+    of fragments, divided once per bin. One shuffle for the sums; the fragments are
+    counted first, a row per sample.
     """
-    if method not in METHODS:
-        raise ValueError(f"method must be one of {METHODS}")
-    weight = F.col("bases").cast("double") if method == "unadj" else F.col("bases") / F.col("frg_len")
-    track = bins(frags, width, closed_end).groupBy("sample", "chrom", "bin_start").agg(F.sum(weight).alias("signal"))
+    track = bins(frags, width, closed_end).groupBy("sample", "chrom", "bin_start").agg(F.sum(weight(method)).alias("signal"))
     if method == "norm":
-        count = frags.groupBy("sample").agg(F.count("*").alias("frg_tot"))
-        track = track.join(count, "sample").withColumn("signal", F.col("signal") / F.col("frg_tot"))
+        track = track.join(local(totals(frags)), "sample").withColumn("signal", F.col("signal") / F.col("frg_tot"))
     return track.select("sample", "chrom", "bin_start", (F.col("bin_start") + width).alias("bin_end"), "signal")
 
 
@@ -48,7 +55,7 @@ def scaled(track: DataFrame, factors: DataFrame, factor: str = "factor") -> Data
     """``track`` times each sample's factor; samples without one (or null) stay; a factor of 0 or less is an error."""
     value = F.col("_factor")
     checked = F.when(value.isNull(), F.lit(1.0)).when(value > 0, value).otherwise(F.raise_error("a scaling factor must be above 0").cast("double"))
-    joined = track.join(factors.select("sample", F.col(factor).cast("double").alias("_factor")), "sample", "left")
+    joined = track.join(local(factors.select("sample", F.col(factor).cast("double").alias("_factor"))), "sample", "left")
     return joined.withColumn("signal", F.col("signal") * checked).drop("_factor")
 
 
@@ -113,7 +120,7 @@ def parse_regions(regions: DataFrame, contigs: DataFrame) -> DataFrame:
     names = F.array(*[F.lit(x) for x in ROMAN])
     chrom = F.coalesce(F.get(names, part(1).try_cast("int") - 1), part(1))
     split = regions.withColumns({"chrom": chrom, "start": part(2).try_cast("long"), "end": part(3).try_cast("long")})
-    known = split.join(contigs.select(F.col("chrom").alias("_c"), "chrom_len"), F.col("chrom") == F.col("_c"), "left")
+    known = split.join(local(contigs.select(F.col("chrom").alias("_c"), "chrom_len")), F.col("chrom") == F.col("_c"), "left")
     whole = F.col("start").isNull() & part(2).isNull()
     known = known.withColumns({"start": F.when(whole, F.lit(1).cast("long")).otherwise(F.col("start")), "end": F.when(whole, F.col("chrom_len")).otherwise(F.col("end"))})
     error = (

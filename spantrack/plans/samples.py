@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 
 from spantrack.operators import factors
 from spantrack.operators.fragments import fragments, on_main
-from spantrack.operators.ratio import ratio_track
-from spantrack.operators.signal import bin_signal
+from spantrack.operators.ratio import pair_name, paired_signal, ratio_of
 
 
 def pair_figures(alignments: DataFrame, layout: str = "paired") -> DataFrame:
     """(pair, dep_ip, len_ip, dep_in, len_in) of every IP and its input, from one pass over the alignments."""
-    own = factors.depths(alignments, layout).withColumn("pair", F.regexp_replace("sample", "^(IP|in)_", ""))
+    own = factors.depths(alignments, layout).withColumn("pair", pair_name())
     side = lambda name, c: F.max(F.when(F.col("sample").startswith(f"{name}_"), F.col(c)))
     return own.groupBy("pair").agg(side("IP", "depth").alias("dep_ip"), side("IP", "length").alias("len_ip"), side("in", "depth").alias("dep_in"), side("in", "length").alias("len_in")).where("dep_ip IS NOT NULL AND dep_in IS NOT NULL")
 
@@ -30,7 +29,7 @@ def alpha_table(alignments: DataFrame, measurements: DataFrame, equation: str =
 
 def spike_table(alignments: DataFrame, layout: str = "paired") -> DataFrame:
     """The 23 columns of the spike-in table, with pair in front."""
-    counts = factors.organism_counts(alignments, layout).withColumn("pair", F.regexp_replace("sample", "^(IP|in)_", ""))
+    counts = factors.organism_counts(alignments, layout).withColumn("pair", pair_name())
     side = lambda name, c: F.max(F.when(F.col("sample").startswith(f"{name}_"), F.col(c)))
     wide = counts.groupBy("pair").agg(side("IP", "main").alias("num_mp"), side("IP", "spike").alias("num_sp"), side("in", "main").alias("num_mn"), side("in", "spike").alias("num_sn"))
     wide = wide.where("num_mp IS NOT NULL AND num_mn IS NOT NULL")
@@ -40,10 +39,13 @@ def spike_table(alignments: DataFrame, layout: str = "paired") -> DataFrame:
 
 
 def scaled_ratio(alignments: DataFrame, contigs: DataFrame, table: DataFrame, factor: str, width: int = 30, log2: bool = False) -> DataFrame:
-    """The flagship: normalised tracks of all samples, each IP over its input's floor, times its sample's factor."""
-    track = bin_signal(fragments(alignments.where(on_main()), contigs), width, "norm")
-    chosen = table.select("pair", F.col(factor).alias("factor"), F.col(f"dm_nm_{width}").alias("floor"))
-    return ratio_track(track, chosen, chosen, log2)
+    """The flagship: normalised tracks of all samples, each IP over its input's floor, times its sample's factor.
+
+    Factors, floors and numbers of fragments are a row per pair; the tracks themselves
+    are one pass over the alignments with one shuffle.
+    """
+    both = paired_signal(fragments(alignments.where(on_main()), contigs), width, "norm")
+    return ratio_of(both, table.select("pair", F.col(factor).alias("factor"), F.col(f"dm_nm_{width}").alias("floor")), log2)
 
 
 def siq_signal(alignments: DataFrame, contigs: DataFrame, measurements: DataFrame, width: int = 30) -> DataFrame:

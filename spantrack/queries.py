@@ -1,10 +1,12 @@
 """Queries over the driver's tables, one per operator or small group, each with its SQL.
 
-The SQL is another formulation, not a translation: signals are summed base by base.
+The SQL is another formulation, not a translation: the bins that a fragment touches
+are listed by number, ratios come from a full outer join of two tracks.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 from spantrack.functions.scalars import fixed, roman_number
 from spantrack.operators import factors, fragments, genome, matching, ratio, signal
 from spantrack.plans import samples as plans
-from spantrack.sources import views
+from spantrack.sources import folders, readers, views, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
@@ -56,12 +58,12 @@ FRAG_COLUMNS = "sample, qname, chrom, frg_start, frg_end, frg_len, strand"
 
 
 def _track(width: int, method: str, frags: str = FRAGS, end: str = "frg_end") -> str:
-    value = {"unadj": "CAST(count(*) AS DOUBLE)", "frag": "sum(1.0 / CAST(frg_len AS DOUBLE))", "norm": "sum(1.0 / CAST(frg_len AS DOUBLE)) / any_value(n)"}[method]
+    value = {"unadj": "CAST(sum(bases) AS DOUBLE)", "frag": "sum(bases / CAST(frg_len AS DOUBLE))", "norm": "sum(bases / CAST(frg_len AS DOUBLE)) / any_value(n)"}[method]
     return f"""{frags},
  n AS (SELECT sample, count(*) AS n FROM frags GROUP BY sample),
- base AS (SELECT sample, chrom, frg_len, unnest(generate_series(frg_start, {end})) AS p FROM frags),
- track AS (SELECT sample, chrom, p // {width} * {width} AS bin_start, p // {width} * {width} + {width} AS bin_end, {value} AS signal
-  FROM base JOIN n USING (sample) GROUP BY sample, chrom, p // {width})"""
+ touched AS (SELECT sample, chrom, frg_len, frg_start AS s, {end} AS e, unnest(generate_series(frg_start // {width}, ({end}) // {width})) AS k FROM frags),
+ pieces AS (SELECT sample, chrom, frg_len, k, least(e, k * {width} + {width - 1}) - greatest(s, k * {width}) + 1 AS bases FROM touched),
+ track AS MATERIALIZED (SELECT sample, chrom, k * {width} AS bin_start, k * {width} + {width} AS bin_end, {value} AS signal FROM pieces JOIN n USING (sample) GROUP BY sample, chrom, k)"""
 
 
 def _aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,9 +118,9 @@ def frag_mate_join(spark, sf_dir):
     return fragments.join_mates(views.mates(spark, sf_dir))
 
 
-@query(f"""WITH {MATES} SELECT a.sample, a.qname, a.flag, a.pos, b.chrom AS mate_chrom, b.pos AS mate_pos,
- CAST(CASE WHEN a.flag = 99 THEN greatest(a.pos, b.pos) + 50 - least(a.pos, b.pos) ELSE least(a.pos, b.pos) - greatest(a.pos, b.pos) - 50 END AS INTEGER) AS tlen
- FROM mates a JOIN mates b ON a.sample = b.sample AND a.qname = b.qname AND a.flag <> b.flag""")
+# Both records of a lineitem are known from its row, so that nothing has to be joined.
+@query(f"""WITH {RAW} SELECT assay || '_' || grp AS sample, qname, 99 AS flag, pos, chrom AS mate_chrom, pos + tlen - 50 AS mate_pos, CAST(greatest(pos, pos + tlen - 50) + 50 - least(pos, pos + tlen - 50) AS INTEGER) AS tlen FROM raw
+ UNION ALL SELECT assay || '_' || grp, qname, 147, pos + tlen - 50, chrom, pos, CAST(least(pos, pos + tlen - 50) - greatest(pos, pos + tlen - 50) - 50 AS INTEGER) FROM raw""")
 def frag_fixmate(spark, sf_dir):
     return fragments.fix_mates(views.mates(spark, sf_dir)).select("sample", "qname", "flag", "pos", "mate_chrom", "mate_pos", "tlen")
 
@@ -147,6 +149,15 @@ def frag_len_mean(spark, sf_dir):
     return factors.depths(_aligned(spark, sf_dir)).withColumn("length", F.round("length", 6))
 
 
+@query(f"""WITH {ALN}, t AS (SELECT sample || '_' || chrom AS sample, CASE WHEN chrom LIKE 'SP%' THEN 0 ELSE tlen END AS tlen, CASE WHEN chrom = 'SP_III' THEN 0 ELSE flag END AS flag FROM aln),
+ d AS (SELECT sample, count(*) FILTER (WHERE {COUNTED}) AS depth, avg(tlen) FILTER (WHERE {COUNTED} AND tlen > 0) AS length FROM t GROUP BY sample)
+ SELECT sample, 'no countable alignments' AS problem FROM d WHERE depth = 0 UNION ALL SELECT sample, 'no positive template length' FROM d WHERE length IS NULL""")
+def dq_depths(spark, sf_dir):
+    spike = F.col("chrom").startswith("SP")
+    split = _aligned(spark, sf_dir).select(F.concat_ws("_", "sample", "chrom").alias("sample"), F.when(spike, 0).otherwise(F.col("tlen")).alias("tlen"), F.when(F.col("chrom") == "SP_III", 0).otherwise(F.col("flag")).alias("flag"))
+    return factors.depth_errors(factors.depths(split))
+
+
 @query(f"WITH {FRAGS} SELECT sample, count(*) AS n, round(avg(frg_len), 6) AS mean_length FROM frags GROUP BY sample")
 def bed_len_mean(spark, sf_dir):
     return factors.bed_lengths(_fragments(spark, sf_dir)).withColumn("mean_length", F.round("mean_length", 6))
@@ -255,34 +266,43 @@ DEPTHS = f"d AS (SELECT grp AS pair, count(*) FILTER (WHERE {COUNTED} AND assay
 
 
 def _ratio(value: str, digits: int = 6) -> str:
-    return f"SELECT {PLACE}, CASE WHEN r IS NULL THEN 'nan' WHEN r = 0 AND is_log THEN 'neginf' ELSE 'finite' END AS kind, round({value}, {digits}) AS value FROM q"
+    return f"SELECT {PLACE}, round({value}, {digits}) AS value, CASE WHEN r IS NULL THEN 'nan' WHEN r = 0 AND is_log THEN 'neginf' ELSE 'finite' END AS kind FROM q"
+
+
+def _ratio_of(spark: SparkSession, sf_dir: str, width: int, method: str, figures: DataFrame | None = None, log2: bool = False) -> DataFrame:
+    return ratio.ratio_of(ratio.paired_signal(_fragments(spark, sf_dir), width, method), figures, log2)
 
 
 @query(f"WITH {_track(10, 'unadj')}, {BOTH}, q AS (SELECT *, FALSE AS is_log, CASE WHEN control <> 0 THEN ip / control END AS r FROM merged) {_ratio('r')}")
 def ratio_plain(spark, sf_dir):
-    return ratio.with_kind(ratio.ratio_track(_track_of(spark, sf_dir, 10, "unadj"))).withColumn("value", F.round("value", 6))
+    return ratio.with_kind(_ratio_of(spark, sf_dir, 10, "unadj")).withColumn("value", F.round("value", 6))
 
 
 @query(f"WITH {_track(10, 'norm')}, {BOTH}, q AS (SELECT *, FALSE AS is_log, ip / greatest(control, 10.0 / 12157095) AS r FROM merged) {_ratio('r')}")
 def ratio_floor(spark, sf_dir):
     floors = _figures(spark, sf_dir).select("pair", factors.floor_value(F.col("dep_in"), 10, mode="norm").alias("floor"))
-    return ratio.with_kind(ratio.ratio_track(_track_of(spark, sf_dir, 10, "norm"), floors)).withColumn("value", F.round("value", 6))
+    return ratio.with_kind(_ratio_of(spark, sf_dir, 10, "norm", floors)).withColumn("value", F.round("value", 6))
 
 
 @query(f"WITH {_track(20, 'unadj')}, {BOTH}, q AS (SELECT *, TRUE AS is_log, CASE WHEN control <> 0 THEN ip / control END AS r FROM merged) {_ratio('CASE WHEN r > 0 THEN log2(r) END')}")
 def ratio_log2(spark, sf_dir):
-    return ratio.with_kind(ratio.ratio_track(_track_of(spark, sf_dir, 20, "unadj"), log2=True)).withColumn("value", F.round("value", 6))
+    return ratio.with_kind(_ratio_of(spark, sf_dir, 20, "unadj", log2=True)).withColumn("value", F.round("value", 6))
 
 
 @query(f"WITH {_track(20, 'frag')}, {BOTH} SELECT {PLACE}, round(log2(ip / control), 6) AS value FROM merged WHERE control <> 0 AND ip > 0")
 def ratio_track(spark, sf_dir):
-    return ratio.finite(ratio.ratio_track(_track_of(spark, sf_dir, 20, "frag"), log2=True)).withColumn("value", F.round("value", 6))
+    return ratio.finite(_ratio_of(spark, sf_dir, 20, "frag", log2=True)).withColumn("value", F.round("value", 6))
 
 
 @query(f"WITH {_track(30, 'norm')}, {BOTH}, {DEPTHS}, q AS (SELECT merged.*, TRUE AS is_log, dep_ip / dep_in AS f, CASE WHEN control <> 0 THEN ip / control END AS r FROM merged JOIN d USING (pair)) {_ratio('CASE WHEN r > 0 THEN log2(r) * f END')}")
 def ratio_scaled(spark, sf_dir):
     chosen = _figures(spark, sf_dir).select("pair", (F.col("dep_ip") / F.col("dep_in")).alias("factor"))
-    return ratio.with_kind(ratio.ratio_track(_track_of(spark, sf_dir, 30, "norm"), None, chosen, True)).withColumn("value", F.round("value", 6))
+    return ratio.with_kind(_ratio_of(spark, sf_dir, 30, "norm", chosen, True)).withColumn("value", F.round("value", 6))
+
+
+@query(f"WITH {_track(50, 'unadj')}, {BOTH} SELECT {PLACE}, ip, control FROM merged")
+def track_merge(spark, sf_dir):
+    return ratio.merge(*ratio.pair_tracks(_track_of(spark, sf_dir, 50, "unadj")))
 
 
 def _figures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -371,6 +391,15 @@ def spike_signal(spark, sf_dir):
     return plans.spike_signal(_aligned(spark, sf_dir), views.contigs(spark)).withColumn("value", F.round("value", 6))
 
 
+@query(f"WITH {_track(30, 'norm', MAIN_ONLY)}, {SPIKED} SELECT {TRACK}, round(signal * {SPIKE} * 1e6, 4) AS signal FROM track JOIN s ON sample = 'IP_' || pair")
+def spike_signal_plain(spark, sf_dir):
+    """RAT6 without an input track: each IP's normalised signal times its spike-in factor."""
+    aligned = _aligned(spark, sf_dir).where(fragments.on_main() & F.col("sample").startswith("IP_"))
+    track = signal.bin_signal(fragments.fragments(aligned, views.contigs(spark)), 30, "norm")
+    chosen = plans.spike_table(_aligned(spark, sf_dir)).select(F.concat(F.lit("IP_"), "pair").alias("sample"), F.col("spike").alias("factor"))
+    return signal.scaled(track, chosen).withColumn("signal", F.round(F.col("signal") * 1e6, 4))
+
+
 # Samples and measurements.
 
 SHEET = f"""parts AS (SELECT p_partkey AS k, {_list(views.STATES)}[p_partkey % 5 + 1] AS state, {_list(views.FACTORS)}[p_partkey % 6 + 1] AS factor, {_list(views.GENOTYPES)}[p_partkey % 3 + 1] AS genotype FROM part),
@@ -390,7 +419,7 @@ def sample_name_parse(spark, sf_dir):
     return matching.parsed(views.sample_sheet(spark, sf_dir))
 
 
-MEASURES = f"""rows AS (SELECT k AS row_no, CASE WHEN k % 3 = 0 THEN lower(state) ELSE factor END AS factor, CASE WHEN k % 3 = 0 THEN factor ELSE state END AS state, ['WT', 'hho1-KO', 'other'][k % 3 + 1] AS genotype, ' y' || (k % 9) AS strain FROM parts WHERE k % 11 < 8),
+MEASURES = f"""rows AS (SELECT k AS row_no, CASE WHEN k % 3 = 0 THEN lower(state) ELSE factor END AS factor, CASE WHEN k % 3 = 0 THEN factor ELSE state END AS state, ['WT', 'hho1-KO', 'other'][k % 3 + 1] AS genotype, CASE WHEN k % 11 < 8 THEN ' y' ELSE ' z' END || (k % 9) AS strain FROM parts),
  met AS (SELECT sample_id, row_no, CASE WHEN lower(p.factor) = lower(r.factor) AND (p.state = 'N/A' OR lower(p.state) = lower(r.state)) THEN 1 ELSE 2 END AS match_pass
   FROM parsed p JOIN rows r ON trim(r.strain) = p.strain AND (p.genotype = 'N/A' OR lower(p.genotype) = lower(r.genotype))
    AND ((lower(p.factor) = lower(r.factor) AND (p.state = 'N/A' OR lower(p.state) = lower(r.state))) OR (lower(p.state) = lower(r.factor) AND (p.state = 'N/A' OR lower(p.factor) = lower(r.state)))) WHERE error IS NULL),
@@ -495,13 +524,8 @@ def genome_concat(spark, sf_dir):
 @query(f"""WITH {_track(30, 'unadj')} SELECT sample, chrom, bin_start, CAST(list_position({_list(views.MAIN)}, chrom) AS INTEGER) AS roman,
  row_number() OVER (PARTITION BY sample ORDER BY coalesce(list_position({_list(views.MAIN)}, chrom), 99), chrom, bin_start) AS place FROM track""")
 def genome_sort(spark, sf_dir):
-    from pyspark.sql import Window
-
-    from spantrack.functions.scalars import genome_order
-
-    track = _track_of(spark, sf_dir, 30, "unadj")
-    place = F.row_number().over(Window.partitionBy("sample").orderBy(*genome_order(F.col("chrom"), F.col("bin_start"))))
-    return track.select("sample", "chrom", "bin_start", roman_number(F.col("chrom")).alias("roman"), place.cast("long").alias("place"))
+    track = genome.numbered(_track_of(spark, sf_dir, 30, "unadj"))
+    return track.select("sample", "chrom", "bin_start", roman_number(F.col("chrom")).alias("roman"), "place")
 
 
 @query("SELECT s_name, s_nationkey FROM supplier")
@@ -516,6 +540,92 @@ def bedgraph_rows(spark, sf_dir):
     return rows.select("sample", "chrom", "bin_start", "bin_end", F.round(fixed(F.col("signal"), 18).cast("double") * 1e4).cast("long").alias("value"))
 
 
+# Files: what a writer has written, read back.
+
+
+def _written(spark: SparkSession, name: str) -> str:
+    return f"{folders.shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(f"WITH {ALN} SELECT sample, qname, flag, chrom, pos, CAST(pos + 50 AS BIGINT) AS ref_end, chrom AS mate_chrom, tlen, aln_len, mapq FROM aln")
+def sam_scan(spark, sf_dir):
+    writers.write_sam(_aligned(spark, sf_dir), views.contigs(spark), path := _written(spark, "sam"))
+    return readers.read_sam(spark, path)
+
+
+@query(f"SELECT unnest({_list(views.CONTIGS)}) AS chrom, CAST({views.CONTIG_LENGTH} AS BIGINT) AS chrom_len WHERE (SELECT count(*) FROM lineitem) > 0")
+def contig_scan(spark, sf_dir):
+    writers.write_sam(_aligned(spark, sf_dir), views.contigs(spark), path := _written(spark, "sam"))
+    return readers.read_contigs(spark, path)
+
+
+@query(f"WITH {FRAGS} SELECT sample, chrom, frg_start, frg_end, frg_len FROM frags")
+def bed_scan(spark, sf_dir):
+    writers.write_fragments(_fragments(spark, sf_dir), path := _written(spark, "bed"))
+    return readers.read_bed(spark, path)
+
+
+@query(f"WITH {_track(30, 'unadj')} SELECT sample, chrom || chr(9) || bin_start || chr(9) || bin_end || chr(9) || printf('%.24f', signal / 8) AS line FROM track")
+def bedgraph_text(spark, sf_dir):
+    track = _track_of(spark, sf_dir, 30, "unadj").withColumn("signal", F.col("signal") / 8)
+    writers.write_bedgraph(track, path := _written(spark, "bedgraph"))
+    return spark.read.text(path).select("sample", F.col("value").alias("line"))
+
+
+@query(f"WITH {_track(50, 'unadj')} SELECT {TRACK}, signal FROM track")
+def bedgraph_scan(spark, sf_dir):
+    writers.write_bedgraph(_track_of(spark, sf_dir, 50, "unadj"), path := _written(spark, "bedgraph"))
+    return readers.read_bedgraph(spark, path)
+
+
+@query(f"""WITH {_track(50, 'unadj')}, {BOTH}, q AS (SELECT *, CASE WHEN control <> 0 THEN ip / control END AS r FROM merged)
+ SELECT 'all' AS file, pair, chrom, bin_start, bin_end, CASE WHEN r IS NULL THEN 'nan' WHEN r = 0 THEN '-inf' ELSE 'number' END AS kind FROM q
+ UNION ALL SELECT 'companion', pair, chrom, bin_start, bin_end, 'number' FROM q WHERE r > 0""")
+def ratio_companion(spark, sf_dir):
+    path = _written(spark, "ratio")
+    writers.write_ratio(_ratio_of(spark, sf_dir, 50, "unadj", log2=True), f"{path}/all", f"{path}/companion")
+    value = F.col("value")
+    kind = F.when(F.isnan(value), "nan").when(value == ratio.NEG_INF, "-inf").otherwise("number")
+    read = lambda name: readers.read_bedgraph(spark, f"{path}/{name}", "value", "pair").select(F.lit(name).alias("file"), "pair", "chrom", "bin_start", "bin_end", kind.alias("kind"))
+    return read("all").unionByName(read("companion"))
+
+
+@query(f"""WITH {ALN}, {DEPTHS} SELECT 'IP_' || pair AS fil_ip, 'in_' || pair AS fil_in, '6nd' AS eqn, dep_ip::VARCHAR AS dep_ip, dep_in::VARCHAR AS dep_in FROM d""")
+def sample_table_text(spark, sf_dir):
+    writers.write_sample_table(plans.alpha_table(_aligned(spark, sf_dir), _measured(spark, sf_dir)), path := _written(spark, "table"), "alpha")
+    return spark.read.option("header", True).csv(path, sep="\t").select("fil_ip", "fil_in", "eqn", "dep_ip", "dep_in")
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS factor, CAST(p_size AS VARCHAR) AS vol_in, p_brand AS strain FROM part")
+def measurements_scan(spark, sf_dir):
+    table = views.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("factor"), F.col("p_size").alias("volume_in"), F.col("p_brand").alias("strain"))
+    table.write.option("header", True).csv(path := f"{_written(spark, 'measurements')}.csv")
+    return readers.read_measurements(spark, path).select("factor", "vol_in", "strain")
+
+
+@query("""SELECT page_id % 7 AS file, row_number() OVER (PARTITION BY page_id % 7 ORDER BY page_id) + 1 AS line_no, 'SRR' || page_id AS run_accession, url AS urls, 'n' || page_id AS custom_name FROM pages""")
+def manifest_scan(spark, sf_dir):
+    """Seven manifests, columns in another order than they are read."""
+    p = F.col("page_id")
+    line = F.concat_ws("\t", F.concat(F.lit("n"), p.cast("string")), "url", F.concat(F.lit("SRR"), p.cast("string")))
+    files = views.table(spark, sf_dir, "pages").groupBy((p % 7).alias("file")).agg(F.array_sort(F.collect_list(F.struct(p, line.alias("line")))).alias("rows"))
+    text = F.concat(F.lit("custom_name\tfastq_ftp\trun_accession\r\n"), F.array_join(F.transform("rows", lambda x: x["line"]), "\r\n"))
+    files.select("file", text.alias("value")).write.partitionBy("file").text(path := _written(spark, "manifests"))
+    return readers.read_manifest(spark, path, keep=("file",)).withColumn("file", F.col("file").cast("long"))
+
+
+@query(f"WITH {ALN} SELECT sample, qname, flag, CAST(row_number() OVER (PARTITION BY sample ORDER BY qname, flag) AS BIGINT) AS place FROM aln")
+def queryname_sort(spark, sf_dir):
+    return fragments.numbered_by_name(_aligned(spark, sf_dir)).select("sample", "qname", "flag", "place")
+
+
+@query(f"""WITH {ALN}, r AS (SELECT *, coalesce(list_position({_list(views.MAIN)}, chrom), 99) AS roman FROM aln)
+ SELECT sample, chrom, pos, CAST(rank() OVER (PARTITION BY sample ORDER BY roman, chrom, pos) AS BIGINT) AS place FROM r""")
+def coordinate_sort(spark, sf_dir):
+    places = _aligned(spark, sf_dir).select("sample", "chrom", F.col("pos").alias("bin_start"))
+    return genome.numbered(places, ties=True).select("sample", "chrom", F.col("bin_start").alias("pos"), "place")
+
+
 # Checks.
 
 

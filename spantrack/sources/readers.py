@@ -20,13 +20,11 @@ ALIASES = {
 }
 
 
-def _file() -> F.Column:
-    return F.element_at(F.split(F.input_file_name(), "/"), -1)
-
-
-def sample_of_file() -> F.Column:
-    """The file's name without folder and endings."""
-    return F.regexp_replace(_file(), r"\.(sam|bed|bedgraph|bg|txt|tsv)?(\.gz)?$", "")
+def sample_of_file(field: str = "sample") -> F.Column:
+    """The name in a folder ``field=name`` of the file's path, as the writers lay files out, else the file's name without folder and endings."""
+    path = F.input_file_name()
+    folder = F.url_decode(F.regexp_extract(path, rf"/{field}=([^/]+)/", 1))
+    return F.when(folder != "", folder).otherwise(F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.(sam|bed|bedgraph|bg|txt|tsv)?(\.gz)?$", ""))
 
 
 def read_sam(spark: SparkSession, path: str) -> DataFrame:
@@ -45,24 +43,30 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_contigs(spark: SparkSession, path: str) -> DataFrame:
-    """(chrom, chrom_len) of the header lines of SAM text."""
+    """(chrom, chrom_len) of the header lines of SAM text, each contig once."""
     lines = spark.read.text(path).where(F.col("value").startswith("@SQ"))
     return lines.select(F.regexp_extract("value", r"\tSN:([^\t]+)", 1).alias("chrom"), F.regexp_extract("value", r"\tLN:([0-9]+)", 1).try_cast("long").alias("chrom_len")).distinct()
 
 
+def read_marked(spark: SparkSession, path: str) -> DataFrame:
+    """(sample) of SAM text whose header says that duplicates have been marked."""
+    lines = spark.read.text(path).withColumn("sample", sample_of_file())
+    return lines.where(F.col("value").rlike("^@PG.*CL:samtools markdup")).select("sample").distinct()
+
+
 def read_bed(spark: SparkSession, path: str) -> DataFrame:
     """Fragments of BED text, plain or gzip, the sample by file name."""
     raw = spark.read.schema("chrom string, frg_start long, frg_end long, frg_len int").csv(path, sep="\t", comment="#")
-    return raw.select(sample_of_file().alias("sample"), "*")
+    return raw.select(sample_of_file().alias("sample"), "chrom", "frg_start", "frg_end", "frg_len")
 
 
-def read_bedgraph(spark: SparkSession, path: str, value: str = "signal") -> DataFrame:
+def read_bedgraph(spark: SparkSession, path: str, value: str = "signal", by: str = "sample") -> DataFrame:
     """A track of bedGraph text, plain or gzip, columns apart by any white space; track and browser lines are left out."""
     fields = F.split(F.trim("value"), r"\s+")
     at = lambda i: F.get(fields, F.lit(i))
     number = F.when(F.lower(at(3)) == "nan", float("nan")).when(F.lower(at(3)).isin("-inf", "-infinity"), float("-inf")).when(F.lower(at(3)).isin("inf", "infinity"), float("inf")).otherwise(at(3).try_cast("double"))
-    lines = spark.read.text(path).withColumn("sample", sample_of_file()).where((F.trim("value") != "") & ~F.col("value").rlike("^(track|browser|#)"))
-    return lines.select("sample", at(0).alias("chrom"), at(1).try_cast("long").alias("bin_start"), at(2).try_cast("long").alias("bin_end"), number.alias(value))
+    lines = spark.read.text(path).withColumn(by, sample_of_file(by)).where((F.trim("value") != "") & ~F.col("value").rlike("^(track|browser|#)"))
+    return lines.select(by, at(0).alias("chrom"), at(1).try_cast("long").alias("bin_start"), at(2).try_cast("long").alias("bin_end"), number.alias(value))
 
 
 def read_measurements(spark: SparkSession, path: str) -> DataFrame:
@@ -76,11 +80,19 @@ def read_measurements(spark: SparkSession, path: str) -> DataFrame:
     return clean.withColumn("row_no", F.monotonically_increasing_id())
 
 
-def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """(line_no, run_accession, urls, custom_name) of a download manifest, whatever the order of its columns."""
-    raw = spark.read.option("header", True).option("ignoreTrailingWhiteSpace", True).csv(path, sep="\t")
-    urls = [c for c in raw.columns if c in ("fastq_ftp", "fastq_https")]
-    if not urls or "run_accession" not in raw.columns:
-        raise ValueError("a manifest has run_accession and fastq_ftp or fastq_https")
-    numbered = raw.rdd.zipWithIndex().map(lambda x: (x[1] + 2, x[0]["run_accession"], x[0][urls[0]], x[0].asDict().get("custom_name")))
-    return spark.createDataFrame(numbered, "line_no long, run_accession string, urls string, custom_name string")
+def read_manifest(spark: SparkSession, path: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(line_no, run_accession, urls, custom_name) of download manifests, whatever the order of their columns.
+
+    A manifest is read as one row and its lines are numbered there, the header as 1;
+    each file has its own header. One without run_accession or URLs is an error.
+    ``keep`` names columns of folders ``column=value`` to keep in front.
+    """
+    whole = spark.read.text(path, wholetext=True)
+    rows = whole.select(*keep, F.posexplode(F.split(F.regexp_replace("value", "\r", ""), "\n")).alias("at", "line"), F.split(F.regexp_replace(F.substring_index("value", "\n", 1), "\r", ""), "\t").alias("header"))
+    fields = F.split("line", "\t")
+    place = lambda name: F.array_position("header", name)
+    field = lambda at: F.when(at > 0, F.get(fields, (at - 1).cast("int")))
+    urls = F.greatest(place("fastq_ftp"), place("fastq_https"))
+    known = F.when((urls > 0) & (place("run_accession") > 0), field(place("run_accession"))).otherwise(F.raise_error("a manifest has run_accession and fastq_ftp or fastq_https").cast("string"))
+    named = rows.where((F.col("at") > 0) & (F.trim("line") != ""))
+    return named.select(*keep, (F.col("at") + 1).cast("long").alias("line_no"), known.alias("run_accession"), field(urls).alias("urls"), F.trim(field(place("custom_name"))).alias("custom_name"))

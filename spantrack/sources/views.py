@@ -76,14 +76,14 @@ def sample_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Measurements per factor, state, genotype and strain, the first of each by p_partkey; every third swaps factor and state."""
+    """Measurements per factor, state, genotype and strain, the first of each by p_partkey; every third swaps factor and state, some are of strains that no sample has."""
     k = F.col("row_no")
-    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_no"), "p_retailprice", "p_size").where("row_no % 11 < 8")
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_no"), "p_retailprice", "p_size")
     state, factor = _pick(STATES, k % 5), _pick(FACTORS, k % 6)
     swap = k % 3 == 0
     return rows.select(
         "row_no", F.when(swap, F.lower(state)).otherwise(factor).alias("factor"), F.when(swap, factor).otherwise(state).alias("state"),
-        _pick(("WT", "hho1-KO", "other"), k % 3).alias("genotype"), F.concat(F.lit(" y"), (k % 9).cast("string")).alias("strain"),
+        _pick(("WT", "hho1-KO", "other"), k % 3).alias("genotype"), F.concat(F.when(k % 11 < 8, " y").otherwise(" z"), (k % 9).cast("string")).alias("strain"),
         F.lit(20.0).alias("vol_in"), F.lit(300.0).alias("vol_all"), F.col("p_retailprice").alias("mass_in"), (F.col("p_size") + 1.0).alias("mass_ip"),
     )
 

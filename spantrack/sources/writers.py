@@ -16,6 +16,21 @@ def _text(df: DataFrame, path: str, by: list[str], gzip: bool, header: bool = Fa
     writer.csv(path, sep="\t", compression="gzip" if gzip else "none", nullValue="", quote="")
 
 
+def write_sam(alignments: DataFrame, contigs: DataFrame, path: str, gzip: bool = False) -> None:
+    """Alignments as SAM text in one folder per sample, its part files without headers but for one file of contig lines.
+
+    The aligned part is written as one match; sequences and qualities are left out.
+    """
+    none = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("*"))
+    cigar = F.when(F.col("aln_len") > 0, F.concat(F.col("aln_len").cast("string"), F.lit("M"))).otherwise("*")
+    mate = F.when(F.col("mate_chrom") == F.col("chrom"), "=").otherwise(none("mate_chrom"))
+    fields = ["qname", F.col("flag").cast("string"), none("chrom"), (F.col("pos") + 1).cast("string"), F.coalesce(F.col("mapq").cast("string"), F.lit("0")), cigar, mate, F.lit("0"), F.col("tlen").cast("string"), F.lit("*"), F.lit("*")]
+    header = contigs.select(F.concat_ws("\t", F.lit("@SQ"), F.concat(F.lit("SN:"), "chrom"), F.concat(F.lit("LN:"), F.col("chrom_len").cast("string"))).alias("value"))
+    compression = "gzip" if gzip else "none"
+    header.coalesce(1).write.text(f"{path}/sample=header", compression=compression)
+    alignments.select("sample", F.concat_ws("\t", *fields).alias("value")).write.mode("append").partitionBy("sample").text(path, compression=compression)
+
+
 def write_bedgraph(track: DataFrame, path: str, value: str = "signal", by: str = "sample", digits: int = 24, gzip: bool = True) -> None:
     """One folder per ``by``, its rows in genome order over its part files, values with ``digits`` decimals."""
     ordered = track.orderBy(by, *genome_order(F.col("chrom"), F.col("bin_start")))

@@ -64,3 +64,8 @@ def test_numbers_and_lengths(spark):
     assert [f"{r.y:.6g}" for r in digits] == ["227.009", "0.000123457", "0"]
     bed = spark.createDataFrame([("s", 10), ("s", 20), ("t", None)], "sample string, frg_len int")
     assert {tuple(r) for r in factors.bed_lengths(bed).collect()} == {("s", 2, 15.0), ("t", 1, 0.0)}
+
+
+def test_depth_errors(spark):
+    figures = spark.createDataFrame([("a", 5, 100.0), ("b", 0, None), ("c", 3, None)], "sample string, depth long, length double")
+    assert sorted(map(tuple, factors.depth_errors(figures).collect())) == [("b", "no countable alignments"), ("b", "no positive template length"), ("c", "no positive template length")]

@@ -3,6 +3,7 @@ import gzip
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from spantrack.operators import factors
 from spantrack.plans import samples as plans
@@ -85,3 +86,25 @@ def test_stream(spark, tmp_path):
     want = bin_signal(fragments(aligned, contigs), 10, "norm").withColumnRenamed("signal", "want")
     both = tracks.track(spark, str(tmp_path / "out"), normalised=True).join(want, keys, "full_outer")
     assert both.where("want IS NULL OR signal IS NULL OR abs(want - signal) > 1e-12").count() == 0
+
+
+def test_samples_by_folder_and_marked_headers(spark, tmp_path):
+    d = "/root/testdata/sf0.001"
+    aligned = views.alignments(spark, d)
+    writers.write_sam(aligned, views.contigs(spark), str(tmp_path / "sam"), gzip=True)
+    back = readers.read_sam(spark, str(tmp_path / "sam"))
+    columns = ["sample", "qname", "flag", "chrom", "pos", "ref_end", "mate_chrom", "tlen", "aln_len", "mapq"]
+    assert back.exceptAll(aligned.select(*columns).withColumn("ref_end", F.col("ref_end").cast("long"))).count() == 0 and back.count() == aligned.count()
+    assert sorted(tuple(r) for r in readers.read_contigs(spark, str(tmp_path / "sam")).collect()) == sorted((c, views.CONTIG_LENGTH) for c in views.CONTIGS)
+    (tmp_path / "m.sam").write_text("@PG\tID:samtools\tCL:samtools markdup -t a b\nq\t0\tI\t1\t1\t5M\t*\t0\t0\t*\t*\n")
+    (tmp_path / "n.sam").write_text("@PG\tID:samtools\tCL:samtools sort a\nq\t0\tI\t1\t1\t5M\t*\t0\t0\t*\t*\n")
+    assert [r.sample for r in readers.read_marked(spark, str(tmp_path / "*.sam")).collect()] == ["m"]
+
+
+def test_manifests(spark, tmp_path):
+    (tmp_path / "a.tsv").write_bytes(b"run_accession\tfastq_ftp\r\nS1\tu\r\n\r\nS2\tv;w\r\n")
+    (tmp_path / "b.tsv").write_text("custom_name\tother\n")
+    assert [tuple(r) for r in readers.read_manifest(spark, str(tmp_path / "a.tsv")).collect()] == [(2, "S1", "u", None), (4, "S2", "v;w", None)]
+    (tmp_path / "b.tsv").write_text("custom_name\tother\nx\ty\n")
+    with pytest.raises(Exception, match="run_accession"):
+        readers.read_manifest(spark, str(tmp_path / "b.tsv")).collect()

@@ -49,3 +49,28 @@ def test_duplicates_and_layout(spark):
     marked = {r.qname: r.flag for r in f.mark_duplicates(f.fragments(aligned(spark, rows), contigs(spark))).collect()}
     assert marked == {"q0": 1024, "q1": 0, "q2": 1024, "q3": 16}
     assert f.layouts(aligned(spark, rows)).first().layout == "single"
+
+
+def test_third_record_of_a_name(spark):
+    rows = [("s", "a", 99, "I", 100, 50, 1), ("s", "a", 147, "I", 250, 50, 1), ("s", "a", 2147, "II", 150, 30, 1), ("s", "a", 2195, "I", 20, 30, 1), ("s", "d", 355, "I", 7, 50, 1)]
+    records = spark.createDataFrame(rows, "sample string, qname string, flag int, chrom string, pos long, aln_len int, mapq int")
+    fixed = {(r.qname, r.flag): (r.mate_chrom, r.mate_pos, r.tlen) for r in f.fix_mates(records).collect()}
+    assert fixed == {("a", 99): ("I", 250, 200), ("a", 147): ("I", 100, -200), ("a", 2147): ("I", 250, 200), ("a", 2195): ("I", 100, -200), ("d", 355): (None, None, 0)}
+
+
+def test_duplicates_of_null_quality_and_equal_names(spark):
+    rows = [(0, "I", 5, 40, None, 0, 35, q) for q in (None, 7)] + [(16, "I", 500, 540, None, 0, 40, None), (272, "I", 500, 540, None, 0, 40, None)]
+    table = aligned(spark, rows).replace({"q3": "q2"}, subset="qname")
+    frags = f.fragments(table, contigs(spark))
+    marked = {(r.qname, r.flag & ~1024): r.flag & 1024 for r in f.mark_duplicates(frags).collect()}
+    assert marked == {("q0", 0): 1024, ("q1", 0): 0, ("q2", 16): 0, ("q2", 272): 1024}
+    done = spark.createDataFrame([("s",)], "sample string")
+    assert {r.flag & 1024 for r in f.mark_duplicates(frags, done).collect()} == {0}
+
+
+def test_orders(spark):
+    rows = [("s", "b", 99, "II", 5), ("s", "a", 147, "X", 9), ("s", "a", 99, "IX", 9), ("t", "a", 0, "zz", 1), ("s", "c", 0, "II", 4)]
+    records = spark.createDataFrame(rows, "sample string, qname string, flag int, chrom string, pos long")
+    assert [(r.sample, r.qname, r.flag) for r in f.queryname_order(records).collect()] == [("s", "a", 99), ("s", "a", 147), ("s", "b", 99), ("s", "c", 0), ("t", "a", 0)]
+    assert [(r.sample, r.chrom, r.pos) for r in f.coordinate_order(records).collect()] == [("s", "II", 4), ("s", "II", 5), ("s", "IX", 9), ("s", "X", 9), ("t", "zz", 1)]
+    assert {(r.qname, r.flag): r.place for r in f.numbered_by_name(records).where("sample = 's'").collect()} == {("a", 99): 1, ("a", 147): 2, ("b", 99): 3, ("c", 0): 4}

@@ -70,7 +70,7 @@ def test_features(spark):
     rows = [("chrmt", "gene", "0", "Name=Y1;gene=A%20B%2C;x=5%;Name=Y2"), ("chrI", "ARS", "+", "ID=1;Name=n;Alias=ARS%281%29"), ("chrI", "CDS", "-", "Name=c;gene=G"), ("chrI", "snoRNA_gene", "-", "Name=c;gene=$1\\")]
     got = genome.readable_names(genome.clean_features(spark.createDataFrame(rows, columns))).collect()
     assert [(r.seqid, r.strand) for r in got][0] == ("Mito", ".")
-    assert [r.attributes for r in got] == ["Name=A B,;gene=A B,;x=5 percent;Name=Y2", "ID=1;Name=ARS(1);Alias=ARS(1)", "Name=c;gene=G", "Name=$1\;gene=$1\\"]
+    assert [r.attributes for r in got] == ["Name=A B,;gene=A B,;x=5 percent;Name=Y2", "ID=1;Name=ARS(1);Alias=ARS(1)", "Name=c;gene=G", "Name=$1\\;gene=$1\\"]
     lines = spark.createDataFrame([("f", 1, "a"), ("f", 2, "### x"), ("f", 3, "b"), ("g", 5, "c")], "file string, line_no long, line string")
     assert sorted(r.line for r in genome.before_marker(lines).collect()) == ["a", "c"]
 

@@ -38,3 +38,17 @@ def test_merge_and_reports(spark):
     assert ratio.width_mismatch(ip, control).count() == 0
     odd = control.withColumn("bin_end", F.col("bin_end") + 5)
     assert [tuple(r) for r in ratio.width_mismatch(ip, odd).collect()] == [("x", 10, 15)]
+
+
+def test_one_pass_is_the_merge_of_tracks(spark):
+    from spantrack.operators import signal
+
+    rows = [("IP_x", "I", 0, 25, 20), ("IP_x", "I", 12, 40, 30), ("in_x", "I", 30, 70, 40), ("IP_lone", "II", 5, 9, 4), ("in_only", "II", 5, 9, 4), ("other", "II", 5, 9, 4)]
+    frags = spark.createDataFrame(rows, "sample string, chrom string, frg_start long, frg_end long, frg_len int")
+    for method in signal.METHODS:
+        want = ratio.merge(*ratio.pair_tracks(signal.bin_signal(frags, 10, method)))
+        got = ratio.paired_signal(frags, 10, method)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
+    figures = spark.createDataFrame([("x", 0.5, 2.0)], "pair string, floor double, factor double")
+    values = {(r.pair, r.bin_start): r.value for r in ratio.ratio_of(ratio.paired_signal(frags, 10, "unadj"), figures).collect()}
+    assert values["x", 0] == 40.0 and math.isnan(values["lone", 0])
