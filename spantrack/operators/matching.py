@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spantrack.functions.scalars import parse_sample_name
+from spantrack.functions.scalars import parse_sample_names
 
 
 def parsed(samples: DataFrame, path: str = "path") -> DataFrame:
     """``samples`` with the parts of its name and an error column."""
-    return samples.withColumn("_n", parse_sample_name(F.col(path))).select(*samples.columns, "_n.*")
+    return parse_sample_names(samples, path)
 
 
 def match_measurements(samples: DataFrame, measurements: DataFrame, key: str = "sample") -> DataFrame:
@@ -32,13 +32,16 @@ def match_measurements(samples: DataFrame, measurements: DataFrame, key: str = "
     full = [F.col("_strain"), F.col("_name"), F.col("x.g").isNull().alias("_any_g"), F.coalesce("x.g", F.lit("")).alias("_g"), F.col("x.s").isNull().alias("_any_s"), F.coalesce("x.s", F.lit("")).alias("_s")]
     firsts = spread.groupBy(*full).agg(F.min("row_no").alias("row_no"))
     any_g, any_s = norm("genotype") == "n/a", norm("state") == "n/a"
-    ways = F.array(*[F.struct(F.lit(i).alias("match_pass"), norm(a).alias("name"), F.when(any_s, "").otherwise(norm(b)).alias("s")) for i, a, b in ((1, "factor", "state"), (2, "state", "factor"))])
-    asked = samples.select(key, norm("strain").alias("_strain"), any_g.alias("_any_g"), F.when(any_g, "").otherwise(norm("genotype")).alias("_g"), any_s.alias("_any_s"), F.explode(ways).alias("w"))
-    asked = asked.select(key, "_strain", "_any_g", "_g", "_any_s", "w.match_pass", F.col("w.name").alias("_name"), F.col("w.s").alias("_s"))
-    met = asked.join(firsts, ["_strain", "_name", "_any_g", "_g", "_any_s", "_s"])
-    first = met.groupBy(key).agg(F.min(F.struct("match_pass", "row_no")).alias("_f")).select(key, "_f.*")
+    own = {"_strain": norm("strain"), "_any_g": any_g, "_g": F.when(any_g, "").otherwise(norm("genotype")), "_any_s": any_s}
+    ways = {f"_{what}_{i}": x for i, (a, b) in enumerate((("factor", "state"), ("state", "factor")), 1) for what, x in (("name", norm(a)), ("s", F.when(any_s, "").otherwise(norm(b))))}
+    met = samples.withColumns(own | ways)
+    for i in (1, 2):
+        way = firsts.withColumnsRenamed({"_name": f"_name_{i}", "_s": f"_s_{i}", "row_no": f"_row_{i}"})
+        met = met.join(way, ["_strain", "_any_g", "_g", "_any_s", f"_name_{i}", f"_s_{i}"], "left")
+    match_pass = F.when(F.col("_row_1").isNotNull(), 1).when(F.col("_row_2").isNotNull(), 2)
+    first = met.withColumns({"match_pass": match_pass, "row_no": F.coalesce("_row_1", "_row_2")}).where("row_no IS NOT NULL").select(*samples.columns, "match_pass", "row_no")
     taken = [c for c in measurements.columns if c not in samples.columns]
-    return samples.join(first, key).join(measurements.select(*taken), "row_no")
+    return first.join(measurements.select(*taken), "row_no")
 
 
 def unmatched(samples: DataFrame, measurements: DataFrame, key: str = "sample") -> DataFrame:

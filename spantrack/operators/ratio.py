@@ -53,9 +53,10 @@ def paired_signal(frags: DataFrame, width: int = 10, method: str = "norm", close
     The bins of either track are there, a missing side as 0.0: what a full outer merge
     of the two tracks gives, by one shuffle on (pair, chrom, bin_start).
     """
-    side = lambda name: F.sum(F.when(F.col("sample").startswith(f"{name}_"), weight(method)).otherwise(0.0))
-    spread = bins(frags.where("sample LIKE 'IP\\_%' OR sample LIKE 'in\\_%'"), width, closed_end).withColumn("pair", pair_name())
-    both = spread.groupBy("pair", "chrom", "bin_start").agg(side("IP").alias("ip"), side("in").alias("control"))
+    side = lambda is_ip: F.sum(F.when(F.col("_ip") == is_ip, weight(method)).otherwise(0.0))
+    sides = frags.where("sample LIKE 'IP\\_%' OR sample LIKE 'in\\_%'").withColumns({"pair": F.substring("sample", 4, 1 << 30), "_ip": F.col("sample").startswith("IP_")})
+    spread = bins(sides, width, closed_end, ("pair", "_ip", "chrom"))
+    both = spread.groupBy("pair", "chrom", "bin_start").agg(side(True).alias("ip"), side(False).alias("control"))
     if method == "norm":
         count = lambda name: F.max(F.when(F.col("sample").startswith(f"{name}_"), F.col("frg_tot")))
         counts = totals(frags).withColumn("pair", pair_name()).groupBy("pair").agg(count("IP").alias("_ip"), count("in").alias("_in"))

@@ -16,8 +16,8 @@ from spantrack.operators.small import local
 METHODS = ("unadj", "frag", "norm")
 
 
-def bins(frags: DataFrame, width: int, closed_end: bool = True) -> DataFrame:
-    """(sample, chrom, bin_start, bases, frg_len): one row per fragment and bin.
+def bins(frags: DataFrame, width: int, closed_end: bool = True, keys: tuple[str, ...] = ("sample", "chrom")) -> DataFrame:
+    """(keys, bin_start, bases, frg_len): one row per fragment and bin.
 
     ``closed_end`` counts the base at frg_end too, as the reference tracks do; the
     documented half-open intervals are had without it.
@@ -26,9 +26,9 @@ def bins(frags: DataFrame, width: int, closed_end: bool = True) -> DataFrame:
         raise ValueError("a bin must be wider than 0")
     last = F.col("frg_end") if closed_end else F.col("frg_end") - 1
     floor = lambda x: x - F.pmod(x, F.lit(width))
-    spread = frags.select("sample", "chrom", "frg_start", last.alias("last"), "frg_len", F.explode(F.sequence(floor(F.col("frg_start")), floor(last), F.lit(width).cast("long"))).alias("bin_start"))
+    spread = frags.select(*keys, "frg_start", last.alias("last"), "frg_len", F.explode(F.sequence(floor(F.col("frg_start")), floor(last), F.lit(width).cast("long"))).alias("bin_start"))
     bases = F.least("last", F.col("bin_start") + (width - 1)) - F.greatest("frg_start", "bin_start") + 1
-    return spread.select("sample", "chrom", "bin_start", bases.alias("bases"), "frg_len")
+    return spread.select(*keys, "bin_start", bases.alias("bases"), "frg_len")
 
 
 def weight(method: str) -> Column:
