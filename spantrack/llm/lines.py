@@ -1,20 +1,24 @@
 """Removal of repeated line runs by a suffix array over line ids.
 
-Lines with a word are numbered within their document and named by hash; only
-names found twice or more go on. A suffix starts at each such line. Its rank, the
-number of suffixes that sort before all of its like, is found by distributed
-prefix doubling: the rank of twice the length comes from the pair of ranks at the
-line and at the line one length on, and pairs are counted before they are sorted,
-so that a line found a million times is one row of the sort. Doubling stops at
-``min_lines``: suffixes of equal rank are then exactly the intervals of the suffix
-array whose longest common prefix has ``min_lines`` lines or more, and the union
-of an interval's windows along a document is a maximal repeated run. In each
-interval the first place, by doc_id and line, stays; the lines of later ones go.
+Lines with a word are numbered within their document and named by hash; only names
+found twice or more go on. A suffix starts at each such line. Its rank, the number
+of suffixes that sort before all of its like, is found by distributed prefix
+doubling: the rank of twice the length comes from the pair of ranks at the line and
+at the line one length on, and pairs are counted before they are sorted, so that a
+line found a million times is one row of the sort. A suffix leaves when its rank is
+its own; doubling goes on until no rank is shared.
+
+At each length, suffixes of equal rank are the intervals of the suffix array whose
+longest common prefix has that many lines or more. The intervals of ``min_lines``
+decide what goes: in each the first place, by doc_id and line, stays, and the union
+of the others' windows along a document is its maximal repeated runs. Longer
+intervals lie within these, so that they delete nothing further; they say how long
+the runs are that a document shares.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spantrack.llm._spark import cut, ranked
@@ -59,38 +63,63 @@ def _later(positions: DataFrame, n: int) -> DataFrame:
     return positions.join(firsts, "rank").where(place > F.col("first")).select("rid", "doc_id", "seq", F.lit(n).alias("n"), F.col("first.doc_id").alias("first_doc_id"), F.col("first.seq").alias("first_seq"))
 
 
-def later_windows(base: DataFrame, min_lines: int = MIN_LINES, lone_words: int | None = None) -> DataFrame:
+def shared_ranks(base: DataFrame, min_lines: int = MIN_LINES, lone_words: int | None = None, every: bool = False) -> dict[int, DataFrame]:
+    """Length to (rid, doc_id, seq, rank) of the suffixes that share their rank at that length: 1, 2, 4 and so on up to ``min_lines``, or until none does with ``every``."""
+    ranks, length = {1: _positions(base, lone_words)}, 1
+    while length * 2 <= min_lines or every and not ranks[length].isEmpty():
+        ranks[length * 2] = _doubled(ranks[length], length)
+        length *= 2
+    if min_lines not in ranks:
+        step = 1 << (min_lines.bit_length() - 1)
+        ranks[min_lines] = _doubled(ranks[step], min_lines - step)
+    return ranks
+
+
+def later_windows(ranks: dict[int, DataFrame], min_lines: int = MIN_LINES, lone_words: int | None = None) -> DataFrame:
     """(rid, doc_id, seq, n, first_doc_id, first_seq): where a window of ``min_lines``, or a line of ``lone_words`` or more, repeats an earlier one."""
-    positions, length = _positions(base, lone_words), 1
-    lone = _later(positions.where("long"), 1) if lone_words else None
-    while length < min_lines:
-        step = min(length, min_lines - length)
-        positions, length = _doubled(positions, step), length + step
-    windows = _later(positions, min_lines)
-    return windows.union(lone) if lone_words else windows
+    windows = _later(ranks[min_lines], min_lines)
+    return windows.union(_later(ranks[1].where("long"), 1)) if lone_words else windows
+
+
+def longest_shared(ranks: dict[int, DataFrame]) -> DataFrame:
+    """(rid, shared): the greatest power of two such that a run of so many lines of the document stands at another place too."""
+    levels = [x.select("rid", F.lit(n).cast("long").alias("n")).distinct() for n, x in ranks.items() if n & (n - 1) == 0]
+    every = levels[0]
+    for x in levels[1:]:
+        every = every.union(x)
+    return every.groupBy("rid").agg(F.max("n").alias("shared"))
 
 
 def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, lone_words: int | None = None) -> DataFrame:
-    """(doc_id, first_line, n_lines): the maximal runs that go, counted over lines with a word from 0."""
-    from pyspark.sql import Window
+    """(doc_id, first_line, n_lines): the maximal runs that go, counted over lines with a word from 0.
 
-    covered = later_windows(_base(docs), min_lines, lone_words).select("rid", "doc_id", F.explode(F.sequence("seq", F.expr("seq + n - 1"))).alias("seq")).distinct()
+    Null and empty texts have no lines with a word; documents of null doc_id come
+    last; repeated rows of one doc_id and text are one document; an empty table gives
+    no rows; other columns are not read.
+    """
+    covered = later_windows(shared_ranks(_base(docs), min_lines, lone_words), min_lines, lone_words).select("rid", "doc_id", F.explode(F.sequence("seq", F.expr("seq + n - 1"))).alias("seq")).distinct()
     run = F.col("seq") - F.row_number().over(Window.partitionBy("rid").orderBy("seq"))
     return covered.withColumn("run", run).groupBy("rid", "doc_id", "run").agg(F.min("seq").alias("first_line"), F.count("*").alias("n_lines")).select("doc_id", "first_line", "n_lines")
 
 
-def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, removed: str | None = None, lone_words: int | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, removed: str | None = None, lone_words: int | None = None, shared: str | None = None) -> DataFrame:
     """``docs`` with the later copies of repeated runs of ``min_lines`` or more lines deleted from text.
 
     With ``lone_words``, one line of that many words or more is a run as well.
     Lines without a word take no part and stay; a null text stays null. Documents
     of null doc_id come after all others. Repeated rows of one doc_id and text are
     one document and come out alike. Other columns pass through, whatever their
-    names; ``removed`` names a column for the number of lines deleted.
+    names; ``removed`` names a column for the number of lines deleted, ``shared`` one
+    for the greatest power of two such that a run of so many of its lines stands at
+    another place too, in it or in another document (0: no line does).
     """
     columns = docs.columns
     base = _base(docs)
-    starts = later_windows(base, min_lines, lone_words).groupBy("rid").agg(F.collect_set(F.struct("seq", "n")).alias("_starts")).withColumnRenamed("rid", "_rid")
+    ranks = shared_ranks(base, min_lines, lone_words, every=shared is not None)
+    starts = later_windows(ranks, min_lines, lone_words).groupBy("rid").agg(F.collect_set(F.struct("seq", "n")).alias("_starts")).withColumnRenamed("rid", "_rid")
+    if shared:
+        longest = longest_shared(ranks).withColumnRenamed("rid", "_rid3")
+        starts = longest.join(starts, longest._rid3 == starts._rid, "left").select(F.col("_rid3").alias("_rid"), "_starts", "shared")
     text = F.col("text").cast("string")
     packed = docs.select(F.struct(*[F.lit(None).cast("string").alias(c) if c == "text" else F.col(c) for c in columns]).alias("_row"), F.xxhash64(F.col("doc_id").cast("long"), text).alias("_rid2"), F.split(text, "\n", -1).alias("_lines"))
     joined = packed.join(starts, packed._rid2 == starts._rid, "left")
@@ -100,5 +129,6 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, removed: str | None
     gone = F.array_distinct(F.flatten(F.transform("_starts", lambda s: F.slice("_worded", s["seq"] + 1, s["n"]))))
     kept = F.transform(F.array_except(every, F.col("_gone")), lambda i: F.get(F.col("_lines"), i))
     text = F.when(F.col("_gone").isNull(), F.array_join("_lines", "\n")).otherwise(F.array_join(kept, "\n"))
-    out = marked.withColumn("_gone", gone).select(*[text.alias(c) if c == "text" else F.col("_row").getField(c).alias(c) for c in columns], *([F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias(removed)] if removed else []))
-    return out
+    added = [F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias(removed)] if removed else []
+    added += [F.coalesce("shared", F.lit(0)).cast("long").alias(shared)] if shared else []
+    return marked.withColumn("_gone", gone).select(*[text.alias(c) if c == "text" else F.col("_row").getField(c).alias(c) for c in columns], *added)

@@ -55,8 +55,8 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = lines.dedup_lines(docs, removed="n_removed")
-    return out.select("doc_id", "n_removed", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
+    out = lines.dedup_lines(docs, removed="n_removed", shared="shared_lines")
+    return out.select("doc_id", "n_removed", "shared_lines", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,7 +97,7 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM s QUALIFY rank <= 5
 """
 
-# Windows of two lines with a word; all but the first of equal windows go.
+# Windows of two lines with a word; all but the first of equal windows go. Shared runs: lists of line hashes of 1, 2, 4, ... lines.
 LINES = """
 WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS ln FROM d),
@@ -106,11 +106,15 @@ w AS (SELECT doc_id, line, ln, lead(line) OVER o AS nxt, lead(ln) OVER o AS next
 r AS (SELECT *, row_number() OVER (PARTITION BY line, nxt ORDER BY doc_id, ln) AS n FROM w WHERE next_ln IS NOT NULL),
 gone AS (SELECT doc_id, ln FROM r WHERE n > 1 UNION SELECT doc_id, next_ln FROM r WHERE n > 1),
 k AS (SELECT l.doc_id, string_agg(CASE WHEN g.ln IS NULL THEN l.line END, chr(10) ORDER BY l.ln) AS kept, count(g.ln) AS n
-      FROM l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.ln = g.ln GROUP BY l.doc_id)
-SELECT d.doc_id, CAST(coalesce(k.n, 0) AS BIGINT) AS n_removed,
+      FROM l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.ln = g.ln GROUP BY l.doc_id),
+a AS (SELECT doc_id, array_agg(hash(line) ORDER BY ln) AS hs FROM w GROUP BY doc_id),
+x AS (SELECT doc_id, n, list_slice(hs, i + 1, i + n) AS run FROM (SELECT doc_id, hs, n, unnest(range(len(hs) - n + 1)) AS i FROM (SELECT doc_id, hs, unnest(list_transform(range(20), lambda e: CAST(pow(2, e) AS BIGINT))) AS n FROM a) WHERE n <= len(hs))),
+y AS (SELECT n, run FROM x GROUP BY n, run HAVING count(*) > 1),
+z AS (SELECT doc_id, max(n) AS shared_lines FROM x JOIN y USING (n, run) GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(k.n, 0) AS BIGINT) AS n_removed, CAST(coalesce(z.shared_lines, 0) AS BIGINT) AS shared_lines,
        CAST(length(CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.kept, '') END) AS BIGINT) AS kept_chars,
        sha256(CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.kept, '') END) AS kept_sha256
-FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id LEFT JOIN z ON d.doc_id = z.doc_id
 """
 
 

@@ -60,3 +60,30 @@ def test_lone_long_lines(spark):
 def test_empty(spark):
     assert lines.dedup_lines(frame(spark, [])).count() == 0
     assert lines.dedup_lines(frame(spark, [(None, None, *[None] * 7), (None, "a\nb", *[None] * 7)])).count() == 2
+
+
+def test_shared_runs_of_2_to_64_lines(spark):
+    """The longest run that stands elsewhere too, as a power of two, and later copies of runs of any length."""
+    import random
+
+    rng = random.Random(9)
+    texts = []
+    for n in (1, 2, 3, 5, 8, 13, 31, 32, 33, 64):
+        run = [f"run {n} line {i}" for i in range(n)]
+        own = lambda: [f"own {rng.random()}" for _ in range(rng.randint(0, 4))]
+        texts += ["\n".join([*own(), *run, *own()]) for _ in range(rng.randint(2, 4))]
+    texts += ["\n".join(["again", "and again"] * 20), "", None, "alone"]
+    rows = [(i, x, *[None] * 7) for i, x in enumerate(texts)]
+    names = {i: [x for x in (t or "").split("\n") if x.split()] for i, t in enumerate(texts)}
+    want = {}
+    for i, own in names.items():
+        want[i], n = 0, 1
+        while n <= len(own):
+            windows = [tuple(x[s : s + n]) for x in names.values() for s in range(len(x) - n + 1)]
+            counts = {w: windows.count(w) for w in {tuple(own[s : s + n]) for s in range(len(own) - n + 1)}}
+            want[i] = n if max(counts.values()) > 1 else want[i]
+            n *= 2
+    out = lines.dedup_lines(frame(spark, rows), removed="gone", shared="shared")
+    got = out.collect()
+    assert {r.doc_id: r.shared for r in got} == want and max(want.values()) == 64
+    assert sorted((r.doc_id or -1, r.text or "") for r in got) == brute(rows, 2)
