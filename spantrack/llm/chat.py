@@ -16,6 +16,7 @@ that no text can hold a marker and every text can be read back.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -62,10 +63,25 @@ def layout_of(kind: T.DataType) -> str:
     return "_"
 
 
+#: What mappings know: fields of a record, and of the items of its arrays.
+FIELDS = sorted({path for m in MAPPINGS for _, path in m.fields})
+ITEMS = {m.turns[0]: sorted(m.turns[1:]) for m in MAPPINGS if m.turns}
+
+
+def _known_layout(has: Callable[[str], Column], item_has: Callable[[str, str], Column]) -> Column:
+    """The layout of what mappings know, fields sorted; others are left out."""
+    parts = {name: F.when(has(name), f"{name}: _") for name in FIELDS}
+    for name, fields in ITEMS.items():
+        inner = F.array_join(F.array_compact(F.array(*[F.when(item_has(name, f), f"{f}: _") for f in fields])), ", ")
+        parts[name] = F.when(has(name), F.concat(F.lit(f"{name}: ARRAY<OBJECT<"), inner, F.lit(">>")))
+    return F.concat(F.lit("OBJECT<"), F.array_join(F.array_compact(F.array(*[parts[k] for k in sorted(parts)])), ", "), F.lit(">"))
+
+
 def _layout_column(record: Column) -> Column:
-    """The layout of each variant: its schema with leaves' types replaced."""
-    leaf = r"(?<=: |ARRAY<|^)(?!OBJECT<|ARRAY<)[A-Z][A-Z0-9_]*(\([0-9, ]*\))?(?=[,>]|$)"
-    return F.regexp_replace(F.schema_of_variant(record), leaf, "_")
+    """The layout of each variant: the nested paths that mappings know; null for what isn't an object."""
+    at = lambda name: F.try_variant_get(record, f"$.{name}", "variant")
+    inside = lambda name, field: F.schema_of_variant(at(name)).rlike(rf"^ARRAY<OBJECT<(.*, )?{field}: ")
+    return F.when(F.schema_of_variant(record).startswith("OBJECT<"), _known_layout(lambda n: at(n).isNotNull(), inside))
 
 
 def _role(role: Column) -> Column:
@@ -81,8 +97,11 @@ def _turns(role_text: Column) -> Column:
 def turns_of_json(records: DataFrame, record: str = "record") -> DataFrame:
     """``records`` with columns layout, fingerprint and turns, from a column of JSON texts.
 
-    Each row's fingerprint selects its mapping. Null, broken or unmapped records
-    have null turns; empty prompt fields (null or absent text) give no turn.
+    Each row's fingerprint, over the paths that mappings know, selects its mapping;
+    other fields neither matter nor get lost. Null, broken or unmapped records have
+    null turns; empty prompt fields (null or absent text) give no turn; repeated rows
+    come out alike; an empty table gives no rows. Columns of the names layout,
+    fingerprint and turns are replaced.
     """
     value = F.try_parse_json(F.col(record).cast("string"))
     layout = _layout_column(value)
@@ -109,13 +128,23 @@ def _quoted(name: str) -> str:
     return f"`{name}`"
 
 
+def _known_field(field: T.StructField) -> T.StructField:
+    """The field without those fields of its items that mappings don't know."""
+    kind = field.dataType
+    if field.name in ITEMS and isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+        kind = T.ArrayType(T.StructType([f for f in kind.elementType.fields if f.name in ITEMS[field.name]]))
+    return T.StructField(field.name, kind)
+
+
 def turns_of_columns(records: DataFrame, key: str) -> DataFrame:
-    """(key, fingerprint, turns) of a table whose other columns are one of the layouts, typed.
+    """(key, fingerprint, turns) of a table among whose other columns is one of the layouts, typed.
 
-    The fingerprint of the table's own field paths selects the mapping. Raises
-    ValueError for a layout without one.
+    The fingerprint of the table's own field paths, as far as mappings know them,
+    selects the mapping; other columns and fields are not read. Raises ValueError for
+    a layout without one. Null turns stay null, null fields of a prompt give no turn;
+    repeated rows come out alike; an empty table gives no rows.
     """
-    layout = layout_of(T.StructType([f for f in records.schema.fields if f.name != key]))
+    layout = layout_of(T.StructType([_known_field(f) for f in records.schema.fields if f.name != key and f.name in (*FIELDS, *ITEMS)]))
     found = next((m for m in MAPPINGS if fingerprint(m.layout) == fingerprint(layout)), None)
     if found is None:
         raise ValueError(f"no mapping for the layout {layout}")
@@ -150,7 +179,9 @@ def unescaped(text: Column) -> Column:
 def formatted(turns: DataFrame, loss_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
     """``turns`` with columns formatted and loss_mask, the (start, length) in code points of each text of ``loss_roles``.
 
-    Without turns the text and the mask are empty.
+    Without turns (null or none) the text and the mask are empty; empty texts are
+    turns; repeated rows come out alike; an empty table gives no rows; other columns
+    pass through, those of the names formatted and loss_mask are replaced.
     """
     parts = F.transform("turns", lambda x: F.struct(F.concat(F.lit(BEGIN), F.url_encode(x["role"]), F.lit("\n")).alias("head"), escaped(x["text"]).alias("body"), x["role"].isin(*loss_roles).alias("loss")))
     frame = turns.withColumn("_parts", F.coalesce(parts, F.array().cast("array<struct<head:string,body:string,loss:boolean>>")))
@@ -165,7 +196,12 @@ def formatted(turns: DataFrame, loss_roles: tuple[str, ...] = ("assistant",)) ->
 
 
 def read_back(frame: DataFrame) -> DataFrame:
-    """``frame`` with columns read_turns and read_loss, parsed from formatted and loss_mask alone."""
+    """``frame`` with columns read_turns and read_loss, parsed from formatted and loss_mask alone.
+
+    An empty text has no turns; null stays null; repeated rows come out alike; an
+    empty table gives no rows; other columns pass through, those of the names
+    read_turns and read_loss are replaced.
+    """
     blocks = F.filter(F.split("formatted", END, -1), lambda x: F.length(x) > 0)
     head = lambda x: F.substring_index(x, "\n", 1)
     turn = lambda x: F.struct(

@@ -26,12 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spantrack.llm._spark import cut, python_ready
+from spantrack.llm._spark import cut, partitions, python_ready
 from spantrack.llm._text import U, Words, mix, sliding_min, spans_hash, words_of
 
 WINDOW, PHRASE = 13, 4
 SPAN = WINDOW - PHRASE + 1
 SHARD_BYTES = 2 << 20
+#: Shards in a partition, on average: partitions grow with the texts, so that tasks don't.
+SHARDS_TOGETHER = 2
 #: Passages in one automaton (a shard with more compiles several, one after the other), and letters of an alphabet.
 AUTOMATON_PASSAGES, LETTERS = 20_000, 40
 _FACTORS = (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
@@ -212,7 +214,9 @@ def removed(docs: DataFrame, texts: bool = True, shard_bytes: int = SHARD_BYTES)
     base = docs.select(F.col("doc_id").cast("long"), text.alias("text")).withColumns({"rid": F.xxhash64("doc_id", "text"), "text_id": F.xxhash64("text")})
     shards = max(1, -(-(base.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // shard_bytes))
     base = base.withColumn("shard", F.pmod("rid", F.lit(shards)))
+    parts = max(-(-shards // SHARDS_TOGETHER), partitions(docs.sparkSession))
     copies = cut(_copies(base)).withColumn("shard", F.pmod("rid", F.lit(shards)))
+    base = base.repartition(parts, "shard")
     flags = _flags(base).unionByName(copies.select("shard", F.col("rid").alias("value"), "first"))
     passages = _passages(base, flags, shards).unionByName(copies.select("shard", "rid", F.lit(-1).alias("at"), "first"))
     # one plan from here: its three passes over the shards read one and the same shuffle of the texts

@@ -5,8 +5,8 @@ and a query q a zero; then |x' - q'|^2 = |q|^2 + M^2 - 2 <q, x>, so that the nea
 points are those of highest score and a metric tree can search for them. The root
 holds routing objects from a bounded sample. Every vector belongs to the nearest
 one's cell, large cells are dealt into trees of bounded size, and each tree is
-split into pages with a routing object, a covering radius, the page's distance to
-its parent and the members' distances to the page.
+split into nodes and these into pages, each with a routing object, a covering radius
+and its distance to the one above; members have their distance to their page.
 
 A query first searches the tree that it would itself lie in, which bounds its k-th
 score; then it visits, in blocks of queries, the trees whose covering radius can
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 
 from spantrack.llm._spark import cut, python_ready
 
-#: Rows of the sample for routing objects, their number; vectors in a tree and a page; queries in a block.
-SAMPLE_ROWS, ROUTES, TREE_ROWS, PAGE_ROWS, BLOCK_QUERIES = 2000, 48, 2048, 64, 256
+#: Rows of the sample for routing objects, their number; vectors in a tree, a node and a page; queries in a block.
+SAMPLE_ROWS, ROUTES, TREE_ROWS, NODE_ROWS, PAGE_ROWS, BLOCK_QUERIES = 2000, 48, 2048, 512, 64, 256
 
 
 def quantized(vectors: DataFrame) -> DataFrame:
@@ -72,9 +73,9 @@ def spread_out(points: np.ndarray, n: int) -> np.ndarray:
     return points[chosen]
 
 
-def _pages(points: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
-    """Split rows between two far points until each part fits a page; equal points are cut by count."""
-    if len(rows) <= PAGE_ROWS:
+def _parts(points: np.ndarray, rows: np.ndarray, most: int) -> list[np.ndarray]:
+    """Split rows between two far points until each part has ``most`` or fewer; equal points are cut by count."""
+    if len(rows) <= most:
         return [rows]
     own = points[rows]
     a = own[_distances(own, own[:1])[:, 0].argmax()][None]
@@ -83,21 +84,47 @@ def _pages(points: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
     side = far <= _distances(own, b)[:, 0]
     if side.all() or not side.any():
         side = np.arange(len(rows)) < len(rows) // 2
-    return [*_pages(points, rows[side]), *_pages(points, rows[~side])]
+    return [*_parts(points, rows[side], most), *_parts(points, rows[~side], most)]
+
+
+@dataclass
+class Level:
+    """Routing objects of one level, their covering radii, the place of the one above and the distance to it."""
+
+    centres: np.ndarray
+    radii: np.ndarray
+    above: np.ndarray
+    parents: np.ndarray
+
+
+def _level(points: np.ndarray, parts: list[np.ndarray], above: np.ndarray, over: np.ndarray) -> Level:
+    centres = np.stack([points[p].mean(axis=0) for p in parts])
+    radii = np.array([_distances(points[p], c[None]).max() for p, c in zip(parts, centres, strict=True)])
+    return Level(centres, radii, above, np.array([_distances(c[None], over[k][None])[0, 0] for c, k in zip(centres, above, strict=True)]))
 
 
 def build(ids: np.ndarray, rows: np.ndarray, route: np.ndarray, top: float) -> bytes:
-    """A tree of pages under the routing object ``route``."""
+    """A tree of nodes and pages under the routing object ``route``."""
     points = _lifted(rows, top)
-    pages = _pages(points, np.arange(len(rows)))
-    order = np.concatenate(pages)
-    bounds = np.concatenate([[0], np.cumsum([len(p) for p in pages])])
-    centres = np.stack([points[p].mean(axis=0) for p in pages])
-    members = np.concatenate([_distances(points[p], c[None])[:, 0] for p, c in zip(pages, centres, strict=True)])
-    radii = np.array([members[a:b].max() for a, b in zip(bounds, bounds[1:], strict=False)])
-    parents = _distances(centres, route[None])[:, 0]
+    nodes = _parts(points, np.arange(len(rows)), NODE_ROWS)
+    split = [_parts(points, n, PAGE_ROWS) for n in nodes]
+    pages = [p for n in split for p in n]
+    upper = _level(points, nodes, np.zeros(len(nodes), int), route[None])
+    lower = _level(points, pages, np.repeat(np.arange(len(nodes)), [len(n) for n in split]), upper.centres)
+    order, bounds = np.concatenate(pages), np.concatenate([[0], np.cumsum([len(p) for p in pages])])
+    members = np.concatenate([_distances(points[p], c[None])[:, 0] for p, c in zip(pages, lower.centres, strict=True)])
     kind = np.int32 if np.abs(rows).max(initial=0) < 2**31 else np.int64
-    return pickle.dumps((ids[order], rows[order].astype(kind), bounds, centres, members, radii, parents, route, top), protocol=5)
+    return pickle.dumps((ids[order], rows[order].astype(kind), bounds, members, [tuple(vars(x).values()) for x in (upper, lower)], route, top), protocol=5)
+
+
+def _below(queries: np.ndarray, level: Level, to_above: np.ndarray, within: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distances from queries to a level's routing objects, infinite where stored distances or the level above rule one out, and the least distance of anything below each."""
+    ahead = np.maximum(least[:, level.above], np.abs(to_above[:, level.above] - level.parents[None, :]) - level.radii[None, :])
+    out = np.full(ahead.shape, np.inf)
+    for k in np.flatnonzero((ahead <= within[:, None]).any(axis=0)):
+        some = ahead[:, k] <= within
+        out[some, k] = _distances(queries[some], level.centres[k : k + 1])[:, 0]
+    return out, np.maximum(ahead, out - level.radii[None, :])
 
 
 def search(tree: bytes, ids: np.ndarray, queries: np.ndarray, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -105,7 +132,8 @@ def search(tree: bytes, ids: np.ndarray, queries: np.ndarray, least: np.ndarray,
 
     Absent places hold the least 64-bit score. Bounds have a margin for rounding, scores are exact integers.
     """
-    own, rows, bounds, centres, members, radii, parents, route, top = pickle.loads(tree)
+    own, rows, bounds, members, levels, route, top = pickle.loads(tree)
+    upper, lower = (Level(*x) for x in levels)
     n, none = len(ids), np.iinfo(np.int64).min
     exact = float(np.abs(rows).max(initial=0)) * float(np.abs(queries).max(initial=0)) * rows.shape[1] < 2**53
     left, right = (rows.astype(float), queries.astype(float)) if exact else (rows.astype(np.int64), queries)
@@ -122,19 +150,16 @@ def search(tree: bytes, ids: np.ndarray, queries: np.ndarray, least: np.ndarray,
         return np.where(worst == none, np.inf, far)
 
     within = reach()
-    to_route = _distances(lifted, route[None])[:, 0]
-    ahead = np.abs(to_route[:, None] - parents[None, :]) - radii[None, :]
-    to_page = np.full(ahead.shape, np.inf)
-    for p in np.flatnonzero((ahead <= within[:, None]).any(axis=0)):
-        some = ahead[:, p] <= within
-        to_page[some, p] = _distances(lifted[some], centres[p : p + 1])[:, 0]
-    lower = to_page - radii[None, :]
-    order = np.argsort(lower, axis=1, kind="stable")
+    to_route = _distances(lifted, route[None])
+    to_node, least_node = _below(lifted, upper, to_route, within, np.zeros((n, 1)))
+    with np.errstate(invalid="ignore"):  # nodes that are ruled out
+        to_page, closest = _below(lifted, lower, to_node, within, least_node)
+    order = np.argsort(closest, axis=1, kind="stable")
     live = np.arange(n)
     for turn in range(order.shape[1]):
         within = reach()
         page = order[live, turn]
-        live, page = live[(keep := lower[live, page] <= within[live])], page[keep]
+        live, page = live[(keep := closest[live, page] <= within[live])], page[keep]
         if not len(live):
             break
         for p in np.unique(page):
@@ -162,19 +187,18 @@ def _nearest(points: np.ndarray, routes: np.ndarray) -> tuple[np.ndarray, np.nda
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50, tree_rows: int = TREE_ROWS, block_queries: int = BLOCK_QUERIES) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best of all other rows for each vec_id divisible by ``every``.
 
-    Ties go to the smaller vec_id. Rows are told apart by vec_id, repeated rows are
-    one; vectors of unequal lengths are compared over the shorter one. Nulls and
+    Ties go to the smaller vec_id. Rows are told apart by vec_id: of rows of one vec_id
+    the least vector, component by component, counts; vectors of unequal lengths are compared over the shorter one. Nulls and
     non-finite components take no part; an empty table gives no rows.
     """
     spark = vectors.sparkSession
     python_ready(spark)
-    rows = quantized(vectors).dropDuplicates(["vec_id"])
-    first = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
-    rows = cut(rows.withColumn("n", first))  # of equal vectors the k + 1 smallest ids are all that can be returned
+    rows = cut(quantized(vectors).groupBy("vec_id").agg(F.min("v").alias("v")))
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     facts = rows.agg(F.max(square).alias("top"), F.max(F.size("v")).alias("width"), F.count_if(F.col("vec_id") % every == 0).alias("queries")).first()
     top, width = facts["top"] or 0.0, max(facts["width"] or 0, 1)
-    indexed = rows.where(F.col("n") <= k + 1).drop("n")
+    # of equal vectors the k + 1 smallest ids are all that can be returned; Spark keeps no more of each before it shuffles them
+    indexed = rows.withColumn("n", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("n") <= k + 1).drop("n")
     sample = indexed.orderBy(F.xxhash64("vec_id")).limit(SAMPLE_ROWS).select("v").toArrow()
     routes = spread_out(_lifted(_matrix(sample.column("v"), width), top), ROUTES) if sample.num_rows else np.zeros((1, width + 1))
     sent = spark.sparkContext.broadcast(routes)  # ROUTES rows

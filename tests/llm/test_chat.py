@@ -54,3 +54,16 @@ def test_layouts_of_columns(spark):
     assert got[0].fingerprint == hashlib.sha256(b"OBJECT<prompt: _, response: _>").hexdigest()[:16]
     with pytest.raises(ValueError):
         chat.turns_of_columns(frame.withColumnRenamed("prompt", "question"), "id")
+
+
+def test_extra_fields_and_columns(spark):
+    """Fields that mappings don't know neither matter nor get lost."""
+    records = [{"prompt": "hi", "response": "yo", "id": 3, "meta": {"messages": 1}}, {"messages": [{"role": "user", "content": "hi", "name": "x"}, {"role": "gpt", "content": "yo", "weight": 1}], "model": "m"}]
+    frame = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(records)], "meta long, record string")
+    got = chat.turns_of_json(frame).orderBy("meta").collect()
+    assert [[tuple(x) for x in r.turns] for r in got] == [[("user", "hi"), ("assistant", "yo")]] * 2 and [r.record for r in got] == [json.dumps(r) for r in records]
+    assert got[0].layout == "OBJECT<prompt: _, response: _>" and got[1].layout == "OBJECT<messages: ARRAY<OBJECT<content: _, role: _>>>"
+    table = spark.createDataFrame([(1, "a", "b", "c", "d")], "id long, prompt string, response string, layout string, fingerprint string")
+    assert [tuple(x) for x in chat.turns_of_columns(table, "id").first().turns] == [("user", "a"), ("assistant", "b")]
+    items = spark.sql("SELECT 1 AS id, array(named_struct('from', 'human', 'value', 'hi', 'weight', 2)) AS conversations, 'x' AS source")
+    assert [tuple(x) for x in chat.turns_of_columns(items, "id").first().turns] == [("user", "hi")]

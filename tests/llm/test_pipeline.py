@@ -44,3 +44,15 @@ def test_no_documents(spark, tmp_path):
     for k, rows in enumerate(([], [(1, None, None, None, None)])):
         spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/{k}/documents.parquet")
         assert corpus_pipeline.run(spark, f"{tmp_path}/{k}").count() == 0
+
+
+def test_clashing_columns(spark, tmp_path):
+    """Columns that are named as the stages' own ones come out as they went in."""
+    names = ["ids", "decoded", "_row", "_part", "_taken", "n_tokens", "round_trip", "row", "fp", "_id"]
+    rows = [(*r[:5], *[f"{c} of {r[0]}" for c in names]) for r in documents(40, 12) if r[0] < 900]
+    docs = spark.createDataFrame(rows, SCHEMA + "".join(f", {c} string" for c in names))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.columns == [*docs.columns, "_n_tokens", "_ids", "_round_trip"]
+    got = out.collect()
+    assert got and all(r[c] == f"{c} of {r.doc_id}" for r in got for c in names) and all(r["_round_trip"] and len(r["_ids"]) == 4 * r["_n_tokens"] for r in got)

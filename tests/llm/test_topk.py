@@ -42,7 +42,7 @@ def test_few_rows_and_large_numbers(spark):
     assert run(spark, rows) == brute(rows)
 
 
-def test_best_first_skips_pages():
+def test_best_first_skips_pages(monkeypatch):
     import numpy as np
 
     rng = np.random.default_rng(3)
@@ -51,5 +51,30 @@ def test_best_first_skips_pages():
     lifted = topk._lifted(rows, top)
     tree = topk.build(np.arange(len(rows)), rows, lifted[0], top)
     q = rows[::97]
+    best = -np.sort(-(q @ rows.T), axis=1)[:, :5]
     scores, names = topk.search(tree, np.full(len(q), -1), q, np.full(len(q), np.iinfo(np.int64).min), 5)
-    assert (scores == -np.sort(-(q @ rows.T), axis=1)[:, :5]).all()
+    assert (scores == best).all()
+    counted = []
+    distances = topk._distances
+    monkeypatch.setattr(topk, "_distances", lambda a, b: counted.append(len(a) * len(b)) or distances(a, b))
+    scores, names = topk.search(tree, np.full(len(q), -1), q, best[:, -1], 5)  # with the bound that a query's own tree gives
+    assert (scores == best).all()
+    pages = len(topk.pickle.loads(tree)[2]) - 1
+    assert sum(counted) < 0.5 * len(q) * pages  # most pages are ruled out by stored distances
+
+
+def test_more_rows_than_the_sample_and_another_operator_between(spark):
+    """Several cells, rows that the sample of routes hasn't seen, and a plan that runs after other operators have been built."""
+    from spantrack.llm import quality
+
+    rng = random.Random(8)
+    rows = [(i, [rng.gauss(3 * (i % 9), 1) for _ in range(6)]) for i in range(topk.SAMPLE_ROWS + 500)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    plan = topk.top_k(frame, every=500, tree_rows=100)
+    quality.judged(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
+    assert sorted(map(tuple, plan.collect())) == brute(rows, every=500)
+
+
+def test_repeated_ids(spark):
+    rows = [(50, [1.0, 2.0]), (50, [1.0, -2.0]), (1, [5.0, 1.0]), (1, [4.0, 9.0]), (2, [0.5, 0.5])]
+    assert run(spark, rows) == brute([(50, [1.0, -2.0]), (1, [4.0, 9.0]), (2, [0.5, 0.5])])
