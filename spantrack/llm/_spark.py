@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Sequence
@@ -52,11 +53,20 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it from there."""
+    """Write ``df`` to the shared checkpoint folder and read it from there.
+
+    Spark drops the shuffle files of the lineage that has been cut off once the
+    driver's collectors have found it unreachable; that they do so now keeps the
+    disks of a long chain of cuts at the size of its largest step.
+    """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    del df
+    gc.collect()
+    context._jvm.System.gc()
+    return out
 
 
 def free_name(name: str, taken: Sequence[str]) -> str:
