@@ -77,6 +77,15 @@ def free_name(name: str, taken: Sequence[str]) -> str:
     return name
 
 
+#: Numbers of 64 bits that are broadcast at most: 16 MB.
+FEW_IDS = 2_000_000
+
+
+def only(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
+    """The rows of ``df`` whose ``on`` is in ``ids`` (one column of longs, checkpointed): without moving ``df`` where they are few, counted first, else by a shuffle of both."""
+    return df.join(F.broadcast(ids) if ids.count() <= FEW_IDS else ids, on, "left_semi")
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
