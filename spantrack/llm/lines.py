@@ -83,7 +83,7 @@ def later_windows(ranks: dict[int, DataFrame], min_lines: int = MIN_LINES, lone_
 
 def longest_shared(ranks: dict[int, DataFrame]) -> DataFrame:
     """(rid, shared): the greatest power of two such that a run of so many lines of the document stands at another place too."""
-    levels = [x.select("rid", F.lit(n).cast("long").alias("n")).distinct() for n, x in ranks.items() if n & (n - 1) == 0]
+    levels = [x.select("rid", F.lit(n).cast("long").alias("n")) for n, x in ranks.items() if n & (n - 1) == 0]
     every = levels[0]
     for x in levels[1:]:
         every = every.union(x)
