@@ -3,9 +3,9 @@
 A record's layout is the tree of its field names, written as Spark writes a
 variant's schema with the leaves' types left out. Its fingerprint, a hash of those
 nested paths, selects a declarative mapping from the layout to canonical turns
-(role, text): for a table of typed columns once from the table's schema, for JSON
-records row by row. Layouts without a mapping give no turns and keep their
-fingerprint, so that they can be counted.
+(role, text), row by row: for a table of typed columns from those that hold something
+in the row, for JSON records from their fields. Layouts without a mapping give no
+turns and keep their fingerprint, so that they can be counted.
 
 The template writes each turn as ``### role``, a line break, the text and
 ``</turn>`` with a line break. Role names are percent-encoded. In texts a
@@ -137,24 +137,38 @@ def _known_field(field: T.StructField) -> T.StructField:
 
 
 def turns_of_columns(records: DataFrame, key: str) -> DataFrame:
-    """(key, fingerprint, turns) of a table among whose other columns is one of the layouts, typed.
-
-    The fingerprint of the table's own field paths, as far as mappings know them,
-    selects the mapping; other columns and fields are not read. Raises ValueError for
-    a layout without one. Null turns stay null, null fields of a prompt give no turn;
-    repeated rows come out alike; an empty table gives no rows.
+    """(key, fingerprint, turns) of a table among whose other columns is one of the layouts, or several of them, typed.
+
+    Each row's fingerprint, over the paths of its fields that hold something and that
+    mappings know, selects its mapping; a row that has none takes that of all such
+    columns, if there is one, and has null turns else. Other columns and fields are
+    not read. Raises ValueError where the columns make up no layout at all. Null turns
+    stay null, null fields of a prompt give no turn; repeated rows come out alike; an
+    empty table gives no rows.
     """
-    layout = layout_of(T.StructType([_known_field(f) for f in records.schema.fields if f.name != key and f.name in (*FIELDS, *ITEMS)]))
-    found = next((m for m in MAPPINGS if fingerprint(m.layout) == fingerprint(layout)), None)
-    if found is None:
-        raise ValueError(f"no mapping for the layout {layout}")
-    if found.turns:
-        path, role, text = found.turns
-        turns = _renamed(F.col(path), role, text)
-    else:
-        items = F.array(*[F.struct(F.lit(role).alias("role"), F.col(path).cast("string").alias("text")) for role, path in found.fields])
-        turns = F.filter(items, lambda x: F.length(x["text"]) > 0)
-    return records.select(key, F.lit(fingerprint(layout)).alias("fingerprint"), _turns(turns).alias("turns"))
+    fields = {f.name: _known_field(f) for f in records.schema.fields if f.name != key and f.name in (*FIELDS, *ITEMS)}
+    kinds = {name: layout_of(T.StructType([f])) for name, f in fields.items()}
+    usable = [m for m in MAPPINGS if (kinds.get(m.turns[0]) == m.layout if m.turns else all(kinds.get(path) == f"OBJECT<{path}: _>" for _, path in m.fields))]
+    if not usable:
+        raise ValueError(f"no mapping for the layout {layout_of(records.schema)}")
+    read = {name for m in usable for name in ([m.turns[0]] if m.turns else [path for _, path in m.fields])}
+    has = lambda name: F.col(name).isNotNull() if name in read else F.lit(False)
+    item_has = lambda name, field: F.exists(name, lambda x: x[field].isNotNull()) if name in read else F.lit(False)
+    own, whole = F.substring(F.sha2(_known_layout(has, item_has), 256), 1, 16), fingerprint(layout_of(T.StructType(list(fields.values()))))
+    marks = [fingerprint(m.layout) for m in usable]
+    mark = F.when(own.isin(marks), own).otherwise(F.lit(whole)) if whole in marks else own
+    chosen = None
+    for m in usable:
+        if m.turns:
+            path, role, text = m.turns
+            turns = _renamed(F.col(path), role, text)
+        else:
+            items = F.array(*[F.struct(F.lit(role).alias("role"), F.col(path).cast("string").alias("text")) for role, path in m.fields])
+            turns = F.filter(items, lambda x: F.length(x["text"]) > 0)
+        holds = F.col("fingerprint") == fingerprint(m.layout)
+        chosen = F.when(holds, turns) if chosen is None else chosen.when(holds, turns)
+    others = [F.col(x) for x in sorted(read)]
+    return records.select(key, mark.alias("fingerprint"), *others).select(key, "fingerprint", _turns(chosen).alias("turns"))
 
 
 def turns_of_rows(rows: DataFrame, key: str = "conv_id") -> DataFrame:

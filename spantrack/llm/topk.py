@@ -3,15 +3,17 @@
 With M the largest norm of all, a vector x gains the coordinate sqrt(M^2 - |x|^2)
 and a query q a zero; then |x' - q'|^2 = |q|^2 + M^2 - 2 <q, x>, so that the nearest
 points are those of highest score and a metric tree can search for them. The root
-holds routing objects from a bounded sample. Every vector belongs to the nearest
-one's cell, large cells are dealt into trees of bounded size, and each tree is
-split into nodes and these into pages, each with a routing object, a covering radius
-and its distance to the one above; members have their distance to their page.
-
-A query first searches the tree that it would itself lie in, which bounds its k-th
-score; then it visits, in blocks of queries, the trees whose covering radius can
-still hold better ones. In a tree pages are taken best first. Distances between
-stored objects bound those to the query by the triangle inequality, so that pages
+holds routing objects from a bounded sample, more of them the more vectors there are.
+Every vector belongs to the nearest one's cell. A cell is dealt by distance from its
+routing object into trees of bounded size, neighbouring trees form a shell, and each
+tree is split into nodes and these into pages, each with a routing object, a covering
+radius and its distance to the one above; members have their distance to their page.
+
+A query first searches the tree of its cell that lies nearest, which bounds its k-th
+score; then it visits, in blocks of queries, the shells that can still hold better
+ones: a shell and a tree keep the least and greatest distance of their members from the
+routing object. In a tree pages are taken best first. Distances between stored
+objects bound those to the query by the triangle inequality, so that trees, pages
 and members beyond the bound are passed over without computing theirs.
 """
 
@@ -26,10 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spantrack.llm._spark import cut, python_ready
+from spantrack.llm._spark import cut, python_ready, ranked
 
-#: Rows of the sample for routing objects, their number; vectors in a tree, a node and a page; queries in a block.
-SAMPLE_ROWS, ROUTES, TREE_ROWS, NODE_ROWS, PAGE_ROWS, BLOCK_QUERIES = 2000, 48, 2048, 512, 64, 256
+#: Rows of the sample for routing objects (per routing object, and at least); vectors in a tree, a node and a page; queries in a block.
+SAMPLE_SHARE, SAMPLE_ROWS, TREE_ROWS, NODE_ROWS, PAGE_ROWS, BLOCK_QUERIES = 4, 2000, 2048, 512, 64, 256
+#: Least and greatest number of routing objects, the trees' worth of vectors for each between these, and trees in a shell.
+ROUTES, MOST_ROUTES, CELL_TREES, SHELL_TREES = 48, 512, 4, 8
 
 
 def quantized(vectors: DataFrame) -> DataFrame:
@@ -114,7 +118,8 @@ def build(ids: np.ndarray, rows: np.ndarray, route: np.ndarray, top: float) -> b
     order, bounds = np.concatenate(pages), np.concatenate([[0], np.cumsum([len(p) for p in pages])])
     members = np.concatenate([_distances(points[p], c[None])[:, 0] for p, c in zip(pages, lower.centres, strict=True)])
     kind = np.int32 if np.abs(rows).max(initial=0) < 2**31 else np.int64
-    return pickle.dumps((ids[order], rows[order].astype(kind), bounds, members, [tuple(vars(x).values()) for x in (upper, lower)], route, top), protocol=5)
+    far = _distances(points, route[None])
+    return pickle.dumps((ids[order], rows[order].astype(kind), bounds, members, [tuple(vars(x).values()) for x in (upper, lower)], route, top, far.min(), far.max()), protocol=5)
 
 
 def _below(queries: np.ndarray, level: Level, to_above: np.ndarray, within: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,7 +137,7 @@ def search(tree: bytes, ids: np.ndarray, queries: np.ndarray, least: np.ndarray,
 
     Absent places hold the least 64-bit score. Bounds have a margin for rounding, scores are exact integers.
     """
-    own, rows, bounds, members, levels, route, top = pickle.loads(tree)
+    own, rows, bounds, members, levels, route, top, nearest, farthest = pickle.loads(tree)
     upper, lower = (Level(*x) for x in levels)
     n, none = len(ids), np.iinfo(np.int64).min
     exact = float(np.abs(rows).max(initial=0)) * float(np.abs(queries).max(initial=0)) * rows.shape[1] < 2**53
@@ -151,7 +156,8 @@ def search(tree: bytes, ids: np.ndarray, queries: np.ndarray, least: np.ndarray,
 
     within = reach()
     to_route = _distances(lifted, route[None])
-    to_node, least_node = _below(lifted, upper, to_route, within, np.zeros((n, 1)))
+    gap = np.maximum(np.maximum(nearest - to_route, to_route - farthest), 0)
+    to_node, least_node = _below(lifted, upper, to_route, within, gap)
     with np.errstate(invalid="ignore"):  # nodes that are ruled out
         to_page, closest = _below(lifted, lower, to_node, within, least_node)
     order = np.argsort(closest, axis=1, kind="stable")
@@ -184,47 +190,54 @@ def _nearest(points: np.ndarray, routes: np.ndarray) -> tuple[np.ndarray, np.nda
     return cell, far[np.arange(len(points)), cell]
 
 
-def top_k(vectors: DataFrame, k: int = 5, every: int = 50, tree_rows: int = TREE_ROWS, block_queries: int = BLOCK_QUERIES) -> DataFrame:
+def top_k(vectors: DataFrame, k: int = 5, every: int = 50, tree_rows: int = TREE_ROWS, block_queries: int = BLOCK_QUERIES, n_routes: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best of all other rows for each vec_id divisible by ``every``.
 
     Ties go to the smaller vec_id. Rows are told apart by vec_id: of rows of one vec_id
     the least vector, component by component, counts; vectors of unequal lengths are compared over the shorter one. Nulls and
-    non-finite components take no part; an empty table gives no rows.
+    non-finite components take no part; an empty table gives no rows. ``n_routes`` follows from the number of vectors if None.
     """
     spark = vectors.sparkSession
     python_ready(spark)
     rows = cut(quantized(vectors).groupBy("vec_id").agg(F.min("v").alias("v")))
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    facts = rows.agg(F.max(square).alias("top"), F.max(F.size("v")).alias("width"), F.count_if(F.col("vec_id") % every == 0).alias("queries")).first()
+    facts = rows.agg(F.max(square).alias("top"), F.max(F.size("v")).alias("width"), F.count("*").alias("n"), F.count_if(F.col("vec_id") % every == 0).alias("queries")).first()
     top, width = facts["top"] or 0.0, max(facts["width"] or 0, 1)
+    n_routes = n_routes or min(max(ROUTES, facts["n"] // (CELL_TREES * tree_rows)), MOST_ROUTES)
     # of equal vectors the k + 1 smallest ids are all that can be returned; Spark keeps no more of each before it shuffles them
     indexed = rows.withColumn("n", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("n") <= k + 1).drop("n")
-    sample = indexed.orderBy(F.xxhash64("vec_id")).limit(SAMPLE_ROWS).select("v").toArrow()
-    routes = spread_out(_lifted(_matrix(sample.column("v"), width), top), ROUTES) if sample.num_rows else np.zeros((1, width + 1))
-    sent = spark.sparkContext.broadcast(routes)  # ROUTES rows
+    sample = indexed.orderBy(F.xxhash64("vec_id")).limit(max(SAMPLE_ROWS, SAMPLE_SHARE * n_routes)).select("v").toArrow()
+    routes = spread_out(_lifted(_matrix(sample.column("v"), width), top), n_routes) if sample.num_rows else np.zeros((1, width + 1))
+    sent = spark.sparkContext.broadcast(routes)  # MOST_ROUTES rows at most
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cell, far = _nearest(_lifted(_matrix(batch.column(1), width), top), sent.value)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32)), pa.array(far)], ["vec_id", "v", "cell", "far"])
 
-    placed = cut(indexed.mapInArrow(place, "vec_id long, v array<long>, cell int, far double"))
-    cells = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("radius")).select("cell", F.ceil(F.col("n") / tree_rows).cast("int").alias("trees"), "radius")
-    cells = cut(cells)  # ROUTES rows at most
-    dealt = placed.join(F.broadcast(cells), "cell").select("cell", F.pmod(F.xxhash64("vec_id"), "trees").cast("int").alias("part"), "vec_id", "v")
+    placed = cut(ranked(indexed.mapInArrow(place, "vec_id long, v array<long>, cell int, far double"), [F.col("cell"), F.col("far"), F.col("vec_id")], "at"))
+    sizes = placed.groupBy("cell").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    cells = sizes.select("cell", "n", "first", F.ceil(F.col("n") / tree_rows).cast("long").alias("trees"))
+    part = F.floor((F.col("at") - F.col("first")) * F.col("trees") / F.col("n")).cast("int")
+    dealt = placed.join(F.broadcast(cells), "cell").select("cell", part.alias("part"), "vec_id", "v", "far")  # a row per routing object
+    shell = F.floor(F.col("part") / SHELL_TREES).cast("int").alias("shell")
+    spans = cut(dealt.groupBy("cell", "part").agg(F.min("far").alias("nearest"), F.max("far").alias("farthest")))
+    shells = spans.groupBy("cell", shell).agg(F.min("nearest").alias("nearest"), F.max("farthest").alias("farthest"))
 
     def make(key: tuple, table: pa.Table) -> pa.Table:
         tree = build(table.column("vec_id").to_numpy(), _matrix(table.column("v"), width), sent.value[key[0].as_py()], top)
         return pa.table({"cell": pa.array([key[0].as_py()], pa.int32()), "part": pa.array([key[1].as_py()], pa.int32()), "tree": pa.array([tree], pa.binary())})
 
-    trees = cut(dealt.groupBy("cell", "part").applyInArrow(make, "cell int, part int, tree binary"))
+    trees = cut(dealt.drop("far").groupBy("cell", "part").applyInArrow(make, "cell int, part int, tree binary").withColumn("shell", shell))
     blocks = max(1, -(-facts["queries"] // block_queries))
 
+    def lifted(batch: pa.RecordBatch) -> np.ndarray:
+        return np.column_stack([_matrix(batch.column(1), width).astype(float), np.zeros(len(batch))])
+
     def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            points = np.column_stack([_matrix(batch.column(1), width).astype(float), np.zeros(len(batch))])
-            cell = _distances(points, sent.value).argmin(axis=1) if len(batch) else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32)), pa.array(np.full(len(batch), np.iinfo(np.int64).min))], ["query_id", "q", "cell", "least"])
+            cell, to_route = _nearest(lifted(batch), sent.value) if len(batch) else (np.zeros(0), np.zeros(0))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32)), pa.array(to_route)], ["query_id", "q", "cell", "to_route"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -244,22 +257,25 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, tree_rows: int = TREE
         rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
         return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
+    none = F.lit(int(np.iinfo(np.int64).min)).alias("least")
     asked = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
-    homes = cut(asked.mapInArrow(home, "query_id long, q array<long>, cell int, least long").join(F.broadcast(cells), "cell").withColumn("part", F.pmod(F.xxhash64("query_id"), "trees").cast("int")))
-    bound = best(searched(homes, ["cell", "part"])).groupBy("query_id").agg(F.min("score").alias("kth"), F.count("*").alias("n")).where(F.col("n") >= k).select("query_id", "kth")
-    bounded = homes.select("query_id", "q", "least").join(bound, "query_id", "left").select("query_id", "q", F.coalesce("kth", "least").alias("least"))
-    radii = {r["cell"]: r["radius"] for r in cells.collect()}
-    limit = spark.sparkContext.broadcast(np.array([radii.get(i, -np.inf) for i in range(len(routes))]))
-
-    def reachable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    asked = cut(asked.mapInArrow(home, "query_id long, q array<long>, cell int, to_route double"))
+    gap = F.greatest(F.col("nearest") - F.col("to_route"), F.col("to_route") - F.col("farthest"), F.lit(0.0)).alias("gap")
+    homes = asked.select("query_id", "cell", "to_route").join(spans, "cell").groupBy("query_id", "cell").agg(F.min(F.struct(gap, "part"))["part"].alias("part"))
+    at_home = asked.drop("cell", "to_route").join(homes, "query_id").select("query_id", "q", "cell", "part", none)
+    bound = best(searched(at_home, ["cell", "part"])).groupBy("query_id").agg(F.min("score").alias("kth"), F.count("*").alias("n")).where(F.col("n") >= k).select("query_id", "kth")
+    bounded = asked.join(bound, "query_id", "left").select("query_id", "q", F.coalesce("kth", none).alias("least"))
+
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each query's distances to all routing objects, and the one within which a better point must lie."""
         for batch in batches:
-            points = np.column_stack([_matrix(batch.column(1), width).astype(float), np.zeros(len(batch))])
-            least = batch.column(2).to_numpy()
+            points, least = lifted(batch), batch.column(2).to_numpy()
             square = (points * points).sum(axis=1) + top
             within = np.where(least == np.iinfo(np.int64).min, np.inf, np.sqrt(np.maximum(square - 2.0 * least.astype(float) + 1e-9 * square + 1.0, 0)))
-            near = _distances(points, sent.value) - limit.value[None, :] <= within[:, None]
-            cell = [np.flatnonzero(x).astype(np.int32) for x in near]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.list_(pa.int32()))], ["query_id", "q", "least", "cells"])
+            far = pa.array(list(_distances(points, sent.value)), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, far, pa.array(within)], ["query_id", "q", "least", "far", "within"])
 
-    visits = bounded.mapInArrow(reachable, "query_id long, q array<long>, least long, cells array<int>").select("query_id", "q", "least", F.explode("cells").alias("cell"))
-    return best(searched(visits, ["cell"])).select("query_id", "rank", "vec_id", "score")
+    near = bounded.mapInArrow(reach, "query_id long, q array<long>, least long, far array<double>, within double")
+    near = near.select("query_id", "q", "least", "within", F.posexplode("far").alias("cell", "to_route"))
+    visits = near.join(shells, "cell").where((F.col("to_route") - F.col("within") <= F.col("farthest")) & (F.col("to_route") + F.col("within") >= F.col("nearest")))
+    return best(searched(visits.select("query_id", "q", "least", "cell", "shell"), ["cell", "shell"])).select("query_id", "rank", "vec_id", "score")

@@ -67,3 +67,19 @@ def test_extra_fields_and_columns(spark):
     assert [tuple(x) for x in chat.turns_of_columns(table, "id").first().turns] == [("user", "a"), ("assistant", "b")]
     items = spark.sql("SELECT 1 AS id, array(named_struct('from', 'human', 'value', 'hi', 'weight', 2)) AS conversations, 'x' AS source")
     assert [tuple(x) for x in chat.turns_of_columns(items, "id").first().turns] == [("user", "hi")]
+
+
+def test_layouts_by_row(spark):
+    """A table that holds rows of several layouts: what a row holds selects its mapping."""
+    schema = "id long, prompt string, response string, instruction string, output string, messages array<struct<role:string,content:string,weight:int>>, meta string"
+    rows = [
+        (1, "hi", "yo", None, None, None, "x"), (2, None, None, "hi", "yo", None, "x"), (3, None, None, None, None, [("human", "hi", 1), ("gpt", "yo", None)], None),
+        (4, None, None, None, None, None, "x"), (5, "hi", "yo", "hi", None, None, None), (6, None, None, None, None, [], None), (7, None, None, None, None, [(None, None, 1)], None),
+    ]
+    got = chat.turns_of_columns(spark.createDataFrame(rows, schema), "id").orderBy("id").collect()
+    assert [[tuple(x) for x in r.turns] for r in got[:3]] == [[("user", "hi"), ("assistant", "yo")]] * 3
+    assert [r.turns for r in got[3:]] == [None] * 4  # nothing held, two layouts mixed, and items without fields have no mapping
+    assert [r.fingerprint for r in got[:5]] == [chat.fingerprint(x) for x in (
+        "OBJECT<prompt: _, response: _>", "OBJECT<instruction: _, output: _>", "OBJECT<messages: ARRAY<OBJECT<content: _, role: _>>>", "OBJECT<>", "OBJECT<instruction: _, prompt: _, response: _>",
+    )]
+    assert got[5].fingerprint == got[6].fingerprint == chat.fingerprint("OBJECT<messages: ARRAY<OBJECT<>>>")

@@ -78,3 +78,32 @@ def test_more_rows_than_the_sample_and_another_operator_between(spark):
 def test_repeated_ids(spark):
     rows = [(50, [1.0, 2.0]), (50, [1.0, -2.0]), (1, [5.0, 1.0]), (1, [4.0, 9.0]), (2, [0.5, 0.5])]
     assert run(spark, rows) == brute([(50, [1.0, -2.0]), (1, [4.0, 9.0]), (2, [0.5, 0.5])])
+
+
+def test_many_trees_and_shells_of_a_cell(spark):
+    """Cells dealt by distance into trees and shells, one cell with most rows, equal distances, and routes that grow with the rows."""
+    rng = random.Random(4)
+    rows = [(i, [rng.gauss(0, 1 if i % 3 else 0.05) + 2 * (i % 3 == 0) for _ in range(5)]) for i in range(1, 1400)]
+    rows += [(2000 + i, [float((i >> b & 1) * 2 - 1) for b in range(5)]) for i in range(32)]
+    assert run(spark, rows, tree_rows=20, n_routes=3, block_queries=5) == brute(rows)
+    assert run(spark, rows, tree_rows=4, block_queries=5) == brute(rows)
+
+
+def test_trees_beyond_reach_cost_no_distances(monkeypatch):
+    import numpy as np
+
+    rows = np.random.default_rng(5).integers(-9, 9, (300, 6))
+    top = float((rows.astype(float) ** 2).sum(axis=1).max())
+    lifted = topk._lifted(rows, top)
+    route = lifted[0]
+    order = np.argsort(topk._distances(lifted, route[None])[:, 0], kind="stable")
+    near, far = (topk.build(part, rows[part], route, top) for part in (order[:150], order[150:]))
+    q = rows[:1]
+    best = -np.sort(-(q @ rows.T), axis=1)[:, :3]
+    counted, distances = [], topk._distances
+    monkeypatch.setattr(topk, "_distances", lambda a, b: counted.append(len(a) * len(b)) or distances(a, b))
+    scores = [topk.search(tree, np.array([-1]), q, best[:, -1], 3)[0] for tree in (near, far)]
+    assert (np.sort(np.concatenate(scores, axis=1), axis=1)[:, :-4:-1] == best).all()
+    counted.clear()
+    topk.search(far, np.array([-1]), q, np.array([10**6]), 3)  # no point can score as much
+    assert sum(counted) == 1  # the distance to the routing object settles the whole tree
