@@ -131,11 +131,12 @@ def _threshold(p: np.ndarray, y: np.ndarray) -> float:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, sample_rows: int) -> DataFrame:
-    """(doc_id, text, lang, toxic) of the labelled documents whose doc_id has the least hash."""
+    """(doc_id, text, lang, toxic) of the labelled documents whose doc_id has the least hash; of rows of one doc_id the first by text and lang."""
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     least = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    return texts.join(F.broadcast(least), "doc_id").dropDuplicates(["doc_id"])  # sample_rows rows at most
+    first = texts.join(F.broadcast(least), "doc_id").groupBy("doc_id", "toxic").agg(F.min(F.struct("text", "lang")).alias("x"))  # sample_rows rows at most
+    return first.select("doc_id", "x.text", "x.lang", "toxic")
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

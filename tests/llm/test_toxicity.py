@@ -43,3 +43,12 @@ def test_awkward_rows(spark):
     chain = toxicity.fit(docs, labels)
     assert toxicity.classify(docs, chain).count() == len(rows)
     assert toxicity.classify(frame(spark, []), chain).count() == 0
+
+
+def test_repeated_ids_in_training(spark):
+    """Of rows of one doc_id the first by text is the sample's, whatever the rows' order."""
+    rows = [(1, "b", "en"), (1, "a", "de"), (2, None, None), (2, "z", "en"), (None, "n", "en")]
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (3, 1)], "doc_id long, toxic int")
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, lang string")
+        assert sorted(map(tuple, toxicity._sample(docs, labels, 10).collect())) == [(1, "a", "de", 1), (2, None, None, 0)]
