@@ -108,3 +108,27 @@ def ranked(df: DataFrame, order: Sequence[Column], name: str, weight: str | None
         .withColumn(name, (F.col("_base") + F.coalesce(F.sum(value).over(within), F.lit(0))).cast("long"))
         .drop("_part", "_base")
     )
+
+
+def numbered(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Add ``name``: the number of a row among those of equal ``keys`` (nulls are equal), from 0, as a long.
+
+    Only rows whose keys are found twice or more are sorted, and these by the
+    partition they came in as well, so that no task holds all rows of one key.
+    """
+    part, zero = free_name("_part", df.columns), F.lit(0).cast("long")
+    rows = cut(df.withColumn(part, F.spark_partition_id()))
+    many = cut(rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]))
+    n = many.count()
+    if not n:
+        return rows.drop(part).withColumn(name, zero)
+    equal = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
+    known = F.broadcast(many) if n * len(keys) <= FEW_IDS else many
+    some = rows.join(known, equal, "left_semi").repartition(*keys, part)  # else the windows would keep the join's partitions
+    before = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)  # a row per partition at most
+    counts = some.groupBy(*keys, part).agg(F.count("*").alias("_n")).withColumn("_base", F.coalesce(F.sum("_n").over(before), zero))
+    bases = cut(counts.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.col(part).alias("_key_part"), "_base"))
+    within = F.row_number().over(Window.partitionBy(*keys, part).orderBy(F.lit(0)))
+    placed = some.withColumn(name, within.cast("long") - 1).join(bases, [*equal, F.col(part) == F.col("_key_part")])
+    placed = placed.withColumn(name, F.col(name) + F.col("_base")).select(*df.columns, name)
+    return rows.join(known, equal, "left_anti").drop(part).withColumn(name, zero).unionByName(placed)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spantrack.llm._spark import cut, ranked
+from spantrack.llm._spark import cut, numbered, ranked
 
 WEIGHTS = (3, 1, 2)
 #: Percent of all words that the mix holds, and how often a source may be repeated.
@@ -84,19 +84,20 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: int = SHAR
     one source; repeated rows are documents of their own; an empty table gives no
     rows; other columns are not read. Reruns over the same rows agree.
     """
-    sized = cut(sizes(docs))
+    sized = cut(numbered(sizes(docs), ["doc_id", "source", "text_hash"], "copy"))  # repeated rows are dealt one by one
     sources = cut(targets(sized, weights, share, repeats))
     total = sources.agg(F.sum("target")).first()[0] or 0.0
     by_source = apportion(sources.withColumns({"_all": F.lit(0), "_blocks": F.lit(round(total / block_words)).cast("long")}), "_all", "place", "target", "_blocks")
     by_source = cut(by_source.select("place", "source", "source_size", "target", F.col("quota").alias("blocks")))
     shards = F.ceil(F.col("source_size") / shard_words).cast("long")
     order = F.xxhash64(F.lit(seed), "doc_id", "text_hash")
+    order = F.when(F.col("copy") > 0, F.xxhash64(order, "copy")).otherwise(order)
     dealt = sized.join(by_source, sized.source.eqNullSafe(by_source.source)).drop(by_source.source)
     dealt = dealt.withColumn("_order", order).withColumn("shard", F.when(F.col("size") > 0, F.pmod(F.xxhash64(F.lit(seed + 1), "_order"), shards)))
     rings = dealt.where("shard IS NOT NULL").groupBy("place", "shard", "blocks").agg(F.sum("size").alias("shard_size"))
     quotas = apportion(rings, "place", "shard", "shard_size", "blocks").select(F.col("place").alias("_p"), F.col("shard").alias("_s"), "shard_size", "quota")
     placed = dealt.where("shard IS NOT NULL").join(quotas, (F.col("place") == F.col("_p")) & (F.col("shard") == F.col("_s")))
-    ring = Window.partitionBy("place", "shard").orderBy("_order", "doc_id", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
+    ring = Window.partitionBy("place", "shard").orderBy("_order", "doc_id", "text_hash", "copy").rowsBetween(Window.unboundedPreceding, -1)
     begin = F.coalesce(F.sum("size").over(ring), F.lit(0))
     length = F.least(F.col("quota") * block_words, F.col("shard_size") * repeats)
     rounds, rest = F.floor(length / F.col("shard_size")), F.pmod(length, F.col("shard_size"))
@@ -119,13 +120,16 @@ def take(docs: DataFrame, **options) -> DataFrame:
     text = F.col("text").cast("string")
     others = F.struct(*[F.lit(None).cast("string").alias(c) if c == "text" else F.col(c) for c in columns])
     packed = docs.select(others.alias("_other"), text.alias("_text"), F.col("doc_id").cast("long").alias("_id"), F.col("source").cast("string").alias("_from"), F.xxhash64(text).alias("_hash"))
-    found = (
+    found = cut(
         mixed(docs, **options).groupBy("doc_id", "source", "text_hash")
         .agg(F.sum("taken").alias("_taken"), F.max("size").alias("_size"), F.count("*").alias("_rows")).where("_taken > 0")
     )
     keys = [F.col("_id").eqNullSafe(F.col("doc_id")), F.col("_from").eqNullSafe(F.col("source")), F.col("_hash") == F.col("text_hash")]
-    same = Window.partitionBy("_id", "_from", "_hash").orderBy("_hash")  # repeated rows of one document
-    joined = packed.join(found, keys).withColumn("_row", F.row_number().over(same))
+    again = found.where("_rows > 1")
+    joined = packed.join(found.where("_rows = 1"), keys).withColumn("_row", F.lit(1).cast("long"))
+    if not again.isEmpty():
+        same = numbered(packed.join(again, keys, "left_semi"), ["_id", "_from", "_hash"], "_row")
+        joined = joined.unionByName(same.withColumn("_row", F.col("_row") + 1).join(again, keys))
     whole, rest = F.floor(F.col("_taken") / F.col("_size")), F.col("_taken") % F.col("_size")
     copies = F.floor(whole / F.col("_rows")) + F.when(F.col("_row") <= whole % F.col("_rows"), 1).otherwise(0)
     cut_here = F.when((F.col("_row") == F.col("_rows")) & (rest > 0), rest)

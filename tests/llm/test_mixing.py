@@ -2,6 +2,7 @@ from collections import Counter
 from fractions import Fraction
 
 from spantrack.llm import mixing
+from spantrack.llm._spark import numbered
 from tests.llm.docs import documents, frame
 
 
@@ -75,3 +76,38 @@ def test_take(spark):
 def test_empty(spark):
     assert mixing.mixed(frame(spark, [])).count() == 0
     assert mixing.take(frame(spark, [(1, None, None, None, None, None, None, None, None)])).count() == 0
+
+
+def test_numbered(spark):
+    """Equal keys, nulls among them, are numbered from 0 over all partitions."""
+    rows = [(None, None, "clash")] * 40 + [(1, "a", "clash")] * 90 + [(1, None, "clash")] * 3 + [(i, "b", "clash") for i in range(50)]
+    docs = spark.createDataFrame(rows, "x long, y string, _part string").repartition(7)
+    for df in (docs, docs.coalesce(1), docs.where("y = 'b'"), docs.limit(0)):
+        got, want = Counter(), Counter()
+        out = numbered(df, ["x", "y"], "n")
+        assert out.columns == ["x", "y", "_part", "n"]
+        for r in out.collect():
+            got[r.x, r.y, r.n] += 1
+        for r in df.collect():
+            want[r.x, r.y] += 1
+        assert got == Counter((x, y, i) for (x, y), n in want.items() for i in range(n))
+
+
+def test_repeated_rows(spark):
+    """A third of all rows is one row: it is dealt over shards, and reruns agree."""
+    own = [(i, " ".join(f"w{i}x{j}" for j in range(20)), "en", f"s{i % 2}", 1) for i in range(200)]
+    rows = own + [(7, "a b c d e f g h i j", "en", "s1", 1)] * 100 + [(7, "a b c d e f g h i j", "de", "s1", 1)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = mixing.mixed(docs, shard_words=300).collect()
+    assert len(got) == len(rows) and all(0 <= r.taken <= 2 * r.size for r in got)
+    copies = [r.taken for r in got if r.size == 10]
+    taken, want = Counter(), brute_targets({"s0": 2000, "s1": 3030})
+    for r in got:
+        taken[r.source] += r.taken
+    assert len(copies) == 103 and all(abs(taken[s] - t) <= mixing.BLOCK_WORDS + 2 for s, t in want.items())
+    again = mixing.mixed(docs.repartition(9), shard_words=300).collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, got))
+    out = mixing.take(docs, shard_words=300).collect()
+    assert sum(len(r.text.split()) for r in out if r.text.startswith("a b")) == sum(copies)
+    whole = Counter(r.lang for r in out if r.text == "a b c d e f g h i j")
+    assert abs(whole["de"] - 3 * sum(copies) // 1030) <= 3
