@@ -17,7 +17,8 @@ SLICE_BYTES = 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = 0x9E3779B97F4A7C15
-_TABLE = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
+_TABLE, _OTHER_TABLE = np.random.default_rng(20240607).integers(1, 2**63, (2, 256), dtype=np.uint64) * U(2) + U(1)
+_OTHER_BASE = 0xA24BAED4963EE407
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -61,13 +62,14 @@ class Words:
     row: int
     bounds: np.ndarray
 
-    def hashes(self) -> np.ndarray:
-        """A hash of each word, a stretch of the bytes at a time."""
+    def hashes(self, other: bool = False) -> np.ndarray:
+        """A hash of each word, a stretch of the bytes at a time; ``other`` gives one that is independent of the first."""
+        table, base = (_OTHER_TABLE, _OTHER_BASE) if other else (_TABLE, _BASE)
         out, at = np.empty(len(self.starts), U), 0
         while at < len(out):
             to = max(at + 1, int(np.searchsorted(self.starts, self.starts[at] + SLICE_BYTES)))
             begin, end = self.starts[at], self.ends[to - 1]
-            out[at:to] = spans_hash(_TABLE[self.data[begin:end]], self.starts[at:to] - begin, self.ends[at:to] - begin, _BASE)
+            out[at:to] = spans_hash(table[self.data[begin:end]], self.starts[at:to] - begin, self.ends[at:to] - begin, base)
             at = to
         return out
 

@@ -7,8 +7,8 @@ found in any number of documents costs a shard one row.
 Of every window of 13 consecutive words one phrase of 4 words, the one of least
 hash, stands for it; equal windows have equal phrases, so that a window can only
 recur where its phrase occurs in two different texts. Among the windows of such
-phrases the recurring ones are confirmed by their own hash, together with the
-smallest doc_id that has them. Each shard then compiles the confirmed passages that
+phrases the recurring ones are confirmed by two hashes of 64 and 31 bits over
+independent hashes of their words, together with the smallest doc_id that has them. Each shard then compiles the confirmed passages that
 occur in it, one copy each, into Aho-Corasick automata over its words, and every
 document of the shard is streamed through to locate every occurrence. Exact copies
 of a text are settled by the text's digest and take part only as their first copy.
@@ -116,7 +116,8 @@ def _windows(docs: pa.Table, flags: pa.Table) -> pa.Table:
         at = at[part_of[words.row + part.doc[at]]]
         row = part.doc[at]
         key = spans_hash(part.hashes, at, at + WINDOW, _WINDOW_BASE).view(np.int64)
-        check = (spans_hash(part.hashes, at, at + WINDOW, _CHECK_BASE) >> U(33)).astype(np.int64)
+        others = words.hashes(other=True) if len(at) else part.hashes  # words that the first hash takes for one are told apart
+        check = (spans_hash(others, at, at + WINDOW, _CHECK_BASE) >> U(33)).astype(np.int64)
         found.append((key, check, words.row + row, at - words.first[row]))
     key, check, row, at = (np.concatenate(x) for x in zip(*found, strict=True))
     first, last = _ends(key, check, ids[row])

@@ -1,7 +1,10 @@
 import hashlib
 import random
 
-from spantrack.llm import substrings
+import numpy as np
+import pyarrow as pa
+
+from spantrack.llm import _text, substrings
 from tests.llm.docs import documents, frame
 
 
@@ -46,3 +49,14 @@ def test_few_words_and_repeats(spark, monkeypatch):
 
 def test_empty(spark):
     assert substrings.removed(frame(spark, [])).count() == 0
+
+
+def test_colliding_words(monkeypatch):
+    """Windows whose words the first hash takes for one another differ in the second one."""
+    monkeypatch.setattr(_text, "_TABLE", np.ones(256, np.uint64))
+    texts = [" ".join(chr(97 + i) * 3 for i in range(13)), " ".join(chr(98 + i) * 3 for i in range(13))]
+    part = substrings._Slice(next(_text.words_of(pa.array(texts))))
+    docs = pa.table({"doc_id": [1, 2], "rid": [1, 2], "text": texts})
+    flags = pa.table({"value": np.unique(part.phrase.view(np.int64)), "first": pa.array([None] * len(np.unique(part.phrase)), pa.int64())})
+    out = substrings._windows(docs, flags)
+    assert len(set(out["key"].to_pylist())) == 1 and len(set(out["check"].to_pylist())) == 2
