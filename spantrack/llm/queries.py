@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spantrack.llm import bpe, chat, lines, mixing, quality, secrets, simhash, substrings, topk, toxicity
+from spantrack.llm import align, bpe, chat, lines, merkle, mixing, packing, quality, secrets, simhash, substrings, topk, toxicity
 from spantrack.llm._spark import table
 
 #: The conversation that op5 adds, whose texts hold the template's own markers.
@@ -71,7 +71,20 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = (op1_toxicity, op2_mix, op3_bpe, op4_topk, op5_chat, op6_secrets, op7_lines, op8_quality, op9_substrings, op10_simhash)
+def op11_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), ids=False)
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.manifest(docs, merkle.tampered(F.col("n_chars")))
+
+
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.aligned(table(spark, sf_dir, "documents"))
+
+
+QUERIES = (op1_toxicity, op2_mix, op3_bpe, op4_topk, op5_chat, op6_secrets, op7_lines, op8_quality, op9_substrings, op10_simhash, op11_pack, op12_manifest, op13_align)
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
