@@ -29,129 +29,167 @@ import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from spantrack.llm._spark import cut, python_ready
 from spantrack.llm._text import U, mix
-from spantrack.llm._units import MOST, Units
+from spantrack.llm._units import MOST, ByteTokenizer, Units, gathered, plain, sizes, slices
 
 A_VOCABULARY, B_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 #: Pairs in a shard (about), tasks whose counts meet in one step of the tree, pairs that a task counts before it hands them over.
 SHARD_PAIRS, FAN_IN, HELD_PAIRS = 1 << 16, 8, 1 << 20
-#: Bytes of the index up to which it is broadcast, those of a pair in it, and bytes of texts aligned at a time (a longer text is aligned alone).
-BROADCAST_BYTES, PAIR_BYTES, SLICE_BYTES = 64 << 20, 17, 2 << 20
-#: Places of a round for each key that is left, and bits of a pair that hold the second id.
-PLACES, B_BITS = 2, 20
+#: Bytes of the index up to which it is broadcast, and those of a pair in it.
+BROADCAST_BYTES, PAIR_BYTES = 64 << 20, 17
+#: Places of a round for each key that is left; bits of a pair's second id, of a pair, and of a document's number in a batch.
+PLACES, B_BITS, PAIR_BITS, DOC_BITS = 2, 20, 36, 20
 _ROUND = 0xC2B2AE3D27D4EB4F
 
 
-def byte_level() -> dict[str, int]:
-    """Characters of a byte-level vocabulary and the bytes they stand for: printable ones for themselves, the others from 256 on."""
-    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in own]
-    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 class Aligner:
     """Aligns texts by two vocabularies; a unit's alignment is kept until there are too many."""
 
     def __init__(self, a_content: str, b_content: bytes):
-        self.a = Tokenizer.from_str(a_content)
-        self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_proto=b_content)
-        chars, tokens = byte_level(), self.a.get_vocab(with_added_tokens=False)
-        self.a_bytes = {i: bytes([chars[c] for c in x]) for x, i in tokens.items() if all(c in chars for c in x)}
-        b = self.b
-        self.b_bytes = [bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode() for i in range(len(b))]
+        self.a = ByteTokenizer(a_content, specials_are_text=True)
+        self.b = b = sentencepiece.SentencePieceProcessor(model_proto=b_content)
+        a_tokens = [self.a.bytes.get(i, b"") for i in range(max(self.a.bytes) + 1)]
+        b_tokens = [bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode() for i in range(len(b))]
+        self.tokens = _Strings(a_tokens), _Strings(b_tokens)
+        self.names = _Strings([str(i).encode() for i in range(max(len(a_tokens), len(b_tokens)))])
         self.clear()
 
     def clear(self) -> None:
-        self.units = Units(self._learn)
+        self.units, self.place = Units(), np.empty(0, np.int64)
         self.shown: list[bytes] = []
-        self.facts: list[tuple[int, int, int, int]] = []
-        self.table = np.zeros((0, 4), np.int64)
-        self.keys: list[np.ndarray] = []
-        self.times: list[np.ndarray] = []
-
-    def _learn(self, unit: str) -> int:
-        self._keep(unit.encode(), self.a.encode(unit, add_special_tokens=False).ids, self.b.encode(unit[1:]))
-        return len(self.facts) - 1
-
-    def _keep(self, data: bytes, a: list[int], b: list[int]) -> None:
-        """One unit's groups and links; n_a is -1 where the tokens don't spell it."""
-        left, right = [self.a_bytes.get(x, b"") for x in a], [self.b_bytes[x] for x in b]
+        self.facts, self.keys, self.times, self.sizes = np.empty((0, 4), np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def _settle(self) -> None:
+        """Align the units that are new: plain ones in a row, others one by one."""
+        new, self.units.new = self.units.new, []
+        easy = np.fromiter((plain(x) and "▁" not in x for x in new), bool, len(new))
+        row = [x for x, ok in zip(new, easy, strict=True) if ok]
+        found = self._in_a_row(row) if row else None
+        if found is None:
+            easy[:], row = False, []
+        parts = [found] if row else []
+        parts += [self._one(x) for x, ok in zip(new, easy, strict=True) if not ok]
+        at = np.empty(len(new), np.int64)
+        at[easy], at[~easy] = np.arange(len(row)), np.arange(len(row), len(new))
+        self.place = np.concatenate([self.place, len(self.shown) + at])
+        self.shown += [x for part in parts for x in part[0]]
+        self.facts, self.keys, self.times, self.sizes = (np.concatenate([have, *[part[i] for part in parts]]) for i, have in enumerate((self.facts, self.keys, self.times, self.sizes), 1))
+
+    def _one(self, unit: str) -> tuple:
+        """Groups as text, facts, links' pairs and times, and their number, of a unit; n_a is -1 where the tokens don't spell it."""
+        sides = self.a.encode(unit), self.b.encode(unit[1:])
+        spelled = [[own.items[x] for x in ids] for own, ids in zip(self.tokens, sides, strict=True)]
         links: Counter[int] = Counter()
+        if not b"".join(spelled[0]) == b"".join(spelled[1]) == unit.encode():
+            return [b""], np.array([[-1, 0, 0, 0]]), *[np.empty(0, np.int64)] * 2, np.zeros(1, np.int64)
+        ends = [np.cumsum([len(x) for x in own]) for own in spelled]
+        cuts = np.intersect1d(*ends)
+        begins = [np.concatenate([[0], np.searchsorted(x, cuts) + 1]) for x in ends]
         groups, n_links = [], 0
-        good = b"".join(left) == data == b"".join(right)
-        if good:
-            i = j = at_a = at_b = 0
-            own_a, own_b = [], []
-            while i < len(a) or j < len(b):
-                if at_a <= at_b and i < len(a):
-                    own_a.append(a[i])
-                    at_a, i = at_a + len(left[i]), i + 1
-                else:
-                    own_b.append(b[j])
-                    at_b, j = at_b + len(right[j]), j + 1
-                if at_a == at_b:
-                    groups.append(",".join(map(str, own_a)) + "|" + ",".join(map(str, own_b)))
-                    n_links += len(own_a) * len(own_b)
-                    if len(own_a) == 1 == len(own_b):
-                        links[own_a[0] << B_BITS | own_b[0]] += 1
-                    else:
-                        for (x, k), (y, m) in product(Counter(own_a).items(), Counter(own_b).items()):
-                            links[x << B_BITS | y] += k * m
-                    own_a, own_b = [], []
-        self.shown.append(";".join(groups).encode())
-        self.facts.append((len(a), len(b), len(groups), n_links) if good else (-1, 0, 0, 0))
-        self.keys.append(np.fromiter(links.keys(), np.int64, len(links)))
-        self.times.append(np.fromiter(links.values(), np.int64, len(links)))
+        for i in range(len(cuts)):
+            a, b = (ids[x[i] : x[i + 1]] for ids, x in zip(sides, begins, strict=True))
+            groups.append(",".join(map(str, a)) + "|" + ",".join(map(str, b)))
+            n_links += len(a) * len(b)
+            for (x, k), (y, m) in product(Counter(a).items(), Counter(b).items()):
+                links[x << B_BITS | y] += k * m
+        facts = np.array([[len(sides[0]), len(sides[1]), len(groups), n_links]])
+        return [";".join(groups).encode()], facts, np.fromiter(links.keys(), np.int64, len(links)), np.fromiter(links.values(), np.int64, len(links)), np.array([len(links)])
+
+    def _in_a_row(self, units: list[str]) -> tuple | None:
+        """The same of many units; None where tokens don't end with each unit or spell something else."""
+        text = "".join(units)
+        a = self.a.together(text)
+        if a is None:
+            return None
+        b, last = np.array(self.b.encode(text[1:]), np.int64), np.cumsum(sizes(units))
+        data = np.frombuffer(text.encode(), np.uint8)
+        sides = list(zip(self.tokens, (a, b), strict=True))
+        if not all(np.array_equal(own.joined(ids), data) for own, ids in sides):
+            return None
+        ends_a, ends_b = (np.cumsum(own.lengths[ids]) for own, ids in sides)
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        if not np.array_equal(cuts[np.searchsorted(cuts, last)], last):
+            return None
+        in_a, in_b, unit = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b), np.searchsorted(last, cuts)
+        n_a, n_b, n = np.bincount(in_a), np.bincount(in_b), len(units)
+        facts = np.stack([np.bincount(unit, x, n) for x in (n_a, n_b, np.ones(len(cuts)), n_a * n_b)], axis=1).astype(np.int64)
+        # each token of the first side meets those of the second in its group
+        meets = n_b[in_a]
+        nth = np.arange(meets.sum()) - np.repeat(np.cumsum(meets) - meets, meets)
+        pairs = np.repeat(a, meets) << B_BITS | b[np.repeat((np.cumsum(n_b) - n_b)[in_a], meets) + nth]
+        both, times = np.unique(np.repeat(unit[in_a], meets) << PAIR_BITS | pairs, return_counts=True)
+        return self._texts(a, b, in_a, in_b, facts), facts, both & ((1 << PAIR_BITS) - 1), times, np.bincount(both >> PAIR_BITS, minlength=n)
+
+    def _texts(self, a: np.ndarray, b: np.ndarray, in_a: np.ndarray, in_b: np.ndarray, facts: np.ndarray) -> list[bytes]:
+        """Each unit's groups as text."""
+        side = np.concatenate([2 * in_a, 2 * in_b + 1])
+        order = np.argsort(side, kind="stable")
+        ids, side = np.concatenate([a, b])[order], side[order]
+        first = np.append(True, side[1:] != side[:-1])
+        mark = np.where(first, np.where(side % 2 == 0, ord(";"), ord("|")), ord(",")).astype(np.uint8)
+        digits = self.names.lengths[ids]
+        ends = np.cumsum(digits + 1)
+        out = np.empty(ends[-1], np.uint8)
+        at = np.zeros(len(out), bool)
+        at[ends - digits - 1] = True
+        out[at], out[~at] = mark, self.names.joined(ids)
+        bounds, data = ends[np.cumsum(facts[:, 0] + facts[:, 1]) - 1].tolist(), out.tobytes()
+        return [data[i + 1 : j] for i, j in zip([0, *bounds], bounds, strict=False)]
 
     def texts(self, column: pa.Array) -> Aligned:
         """The alignment of some texts."""
-        if len(self.facts) > MOST:
+        if self.units.n > MOST:
             self.clear()
-        units = [self.units.of(x) if (x := text.as_py()) else np.empty(0, np.int64) for text in column]
-        if len(self.facts) > len(self.table):
-            self.table = np.concatenate([self.table, np.array(self.facts[len(self.table) :], np.int64)])
-        sums = np.zeros((len(units), 4), np.int64)
-        for i, own in enumerate(units):
-            if len(own):
-                found = self.table[own]
-                if found[:, 0].min() >= 0:
-                    sums[i] = found.sum(axis=0)
-                else:
-                    units[i] = own[:0]
-        own, counts = np.concatenate([np.empty(0, np.int64), *units]), np.array([len(x) for x in units], np.int64)
-        doc = np.repeat(np.arange(len(units)), counts)
+        units = [self.units.of(x) if x else np.empty(0, np.int64) for x in column.to_pylist()]
+        if self.units.new:
+            self._settle()
+        n = len(units)
+        counts = np.fromiter(map(len, units), np.int64, n)
+        doc, own = np.repeat(np.arange(n), counts), self.place[np.concatenate([np.empty(0, np.int64), *units])]
+        facts = self.facts[own]
+        bad = np.bincount(doc[facts[:, 0] < 0], minlength=n) > 0
+        good = ~bad[doc]
+        doc, own, facts = doc[good], own[good], facts[good]
+        sums = np.stack([totals(doc, x, n) for x in facts.T], axis=1)
+        # a document's units, each with its number of times, then their links
         both, times = np.unique(doc << 32 | own, return_counts=True)
-        doc, own = both >> 32, both & 0xFFFFFFFF
-        names, place = np.unique(own, return_inverse=True)
-        sizes = np.array([len(self.keys[x]) for x in names], np.int64)
-        starts = np.cumsum(sizes) - sizes
-        n = sizes[place]
-        at = np.repeat(starts[place] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        keys = np.concatenate([np.empty(0, np.int64), *[self.keys[x] for x in names]])
-        each = np.concatenate([np.empty(0, np.int64), *[self.times[x] for x in names]])
-        return Aligned(units, sums, np.repeat(doc, n), keys[at], each[at] * np.repeat(times, n))
+        doc_of, unit = both >> 32, both & 0xFFFFFFFF
+        links, starts = self.sizes[unit], np.cumsum(self.sizes) - self.sizes
+        key = gathered(self.keys, starts, self.sizes, unit)
+        shown = [b";".join(map(self.shown.__getitem__, x)) for x in np.split(own, np.searchsorted(doc, np.arange(1, n)))] if n else []
+        return Aligned(shown, sums, np.repeat(doc_of, links), key, gathered(self.times, starts, self.sizes, unit) * np.repeat(times, links))
+
+
+class _Strings:
+    """Byte strings by number, also many of them in a row."""
 
-    def digest(self, units: np.ndarray) -> str:
-        return sha256(b";".join(map(self.shown.__getitem__, units.tolist()))).hexdigest() if len(units) else ""
+    def __init__(self, items: list[bytes]):
+        self.items = items
+        self.flat, self.lengths = np.frombuffer(b"".join(items), np.uint8), np.array([len(x) for x in items], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def joined(self, which: np.ndarray) -> np.ndarray:
+        return gathered(self.flat, self.starts, self.lengths, which)
+
+
+def totals(doc: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of whole numbers by document; ``doc`` is sorted."""
+    sums, bounds = np.concatenate([[0], np.cumsum(values)]), np.searchsorted(doc, np.arange(n + 1))
+    return sums[bounds[1:]] - sums[bounds[:-1]]
 
 
 class Aligned:
-    """Units and sums (tokens of either side, groups, links) of each document, and its links: document, pair, times."""
+    """Groups as text and sums (tokens of either side, groups, links) of each document, and its links: document, in order, pair, times."""
 
-    def __init__(self, units: list[np.ndarray], sums: np.ndarray, doc: np.ndarray, key: np.ndarray, times: np.ndarray):
-        self.units, self.sums, self.doc, self.key, self.times = units, sums, doc, key, times
+    def __init__(self, shown: list[bytes], sums: np.ndarray, doc: np.ndarray, key: np.ndarray, times: np.ndarray):
+        self.shown, self.sums, self.doc, self.key, self.times = shown, sums, doc, key, times
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct pairs, and how many of these documents hold each."""
-        order = np.lexsort((self.doc, self.key))
-        key, doc = self.key[order], self.doc[order]
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-        return np.unique(key[new], return_counts=True)
+        held = np.unique(self.key << DOC_BITS | self.doc) >> DOC_BITS
+        return np.unique(held, return_counts=True)
 
 
 class PerfectHash:
@@ -221,37 +259,30 @@ def _aligner(content: tuple[str, bytes]) -> Aligner:
     return _aligners.get(content) or _aligners.setdefault(content, Aligner(*content))
 
 
-def _slices(column: pa.Array) -> Iterator[tuple[int, int]]:
-    """Stretches of rows with about SLICE_BYTES of text."""
-    sizes, at, size = [len(x.as_buffer() or b"") if x.is_valid else 0 for x in column.cast(pa.binary())], 0, 0
-    for i, n in enumerate(sizes):
-        if i > at and size + n > SLICE_BYTES:
-            yield at, i
-            at, size = i, 0
-        size += n
-    if at < len(sizes):
-        yield at, len(sizes)
-
-
 def _counted(content):
     """A task's pairs and how many of its documents hold each, in one or more parts; shards come later."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, part = _aligner(content.value), TaskContext.get().partitionId()
-        keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            keys, place = np.unique(np.concatenate([x for x, _ in found]), return_inverse=True)
+            return keys, np.bincount(place, np.concatenate([n for _, n in found]), len(keys)).astype(np.int64)
 
         def out() -> pa.RecordBatch:
+            keys, counts = merged()
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), part, np.int32)), pa.array(keys), pa.array(counts)], ["part", "key", "n"])
 
         for batch in batches:
-            for a, b in _slices(batch.column(0)):
-                more, times = own.texts(batch.column(0).slice(a, b - a)).pairs()
-                both, place = np.unique(np.concatenate([keys, more]), return_inverse=True)
-                keys, counts = both, np.bincount(place, np.concatenate([counts, times]), len(both)).astype(np.int64)
-                if len(keys) > HELD_PAIRS:
-                    yield out()
-                    keys, counts = keys[:0], counts[:0]
-        if len(keys):
+            for a, b in slices(batch.column(0)):
+                found.append(own.texts(batch.column(0).slice(a, b - a)).pairs())
+                if sum(len(x) for x, _ in found) > 2 * HELD_PAIRS:
+                    found[:] = [merged()]
+                    if len(found[0][0]) > HELD_PAIRS:
+                        yield out()
+                        found.clear()
+        if found:
             yield out()
 
     return run
@@ -327,7 +358,7 @@ def _looked_up(content, index):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _aligner(content.value)
         for batch in batches:
-            for a, b in _slices(batch.column("text")):
+            for a, b in slices(batch.column("text")):
                 found = own.texts(batch.column("text").slice(a, b - a))
                 n, columns = b - a, [batch.column("doc_id").slice(a, b - a), *[pa.array(x) for x in found.sums.T]]
                 names = ["doc_id", "n_a", "n_b", "n_groups", "n_links"]
@@ -336,16 +367,13 @@ def _looked_up(content, index):
                     keys, place = np.unique(found.key, return_inverse=True)
                     counts = known.counts(keys)
                     best = counts == known.best[keys >> B_BITS]
-                    sums = np.zeros((2, n), np.int64)
-                    np.add.at(sums[0], found.doc, found.times * best[place])
-                    np.add.at(sums[1], found.doc, found.times * counts[place])
-                    columns += [pa.array(x) for x in sums]
+                    columns += [pa.array(totals(found.doc, found.times * x[place], n)) for x in (best, counts)]
                     names += ["n_best", "count_sum"]
                 else:
                     bounds = np.searchsorted(found.doc, np.arange(n + 1)).astype(np.int32)
                     columns.append(pa.ListArray.from_arrays(bounds, pa.StructArray.from_arrays([pa.array(found.key), pa.array(found.times)], ["key", "times"])).cast(kinds))
                     names.append("links")
-                columns.append(pa.array([own.digest(x) for x in found.units], pa.string()))
+                columns.append(pa.array([sha256(x).hexdigest() if x else "" for x in found.shown], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, [*names, "groups_sha256"])
 
     return run

@@ -20,10 +20,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from spantrack.llm._spark import FEW_IDS, cut, python_ready
-from spantrack.llm._units import BOUNDARY, MOST, Units
+from spantrack.llm._units import BOUNDARY, MOST, ByteTokenizer, Units, plain, sizes, slices
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 #: The token after each document, tokens of the longest sequence, and bytes of tokens that a worker hands over at a time.
@@ -34,28 +33,42 @@ class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers, by a tokenizer's file content."""
 
     def __init__(self, content: str):
-        self.tokenizer = Tokenizer.from_str(content)
+        self.tokenizer = ByteTokenizer(content)
+        self.lengths = np.zeros(max(self.tokenizer.bytes) + 1, np.int64)
+        for i, x in self.tokenizer.bytes.items():
+            self.lengths[i] = len(x)
         self.clear()
 
     def clear(self) -> None:
         self.ids: list[bytes] = []
-        self.units = Units(self._learn)
+        self.units = Units()
 
     def _encoded(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _learn(self, unit: str) -> int:
-        self.ids.append(self._encoded(unit))
-        return len(self.ids) - 1
-
-    def encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text), "<u4").tobytes()
+
+    def _settle(self) -> None:
+        """Encode the units that are new."""
+        new, self.units.new = self.units.new, []
+        easy = [x for x in new if plain(x)]
+        ends, ids = np.cumsum(sizes(easy)), self.tokenizer.together("".join(easy))
+        known: dict[str, bytes] = {}
+        if ids is not None and len(easy):
+            at = np.cumsum(self.lengths[ids])
+            bounds = np.searchsorted(at, ends) + 1
+            if at[-1] == ends[-1] and (at[bounds - 1] == ends).all():
+                data, bounds = ids.astype("<u4").tobytes(), (4 * bounds).tolist()
+                known = {x: data[i:j] for x, i, j in zip(easy, [0, *bounds], bounds, strict=False)}
+        self.ids += [known[x] if x in known else self._encoded(x) for x in new]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.ids) > MOST:
             self.clear()
-        head = BOUNDARY.search(text)
-        if not head:
-            return self._encoded(text)
-        found = self.units.of(text[head.end() :]).tolist()
-        return self._encoded(text[: head.start()]) + b"".join(map(self.ids.__getitem__, found))
+        found = []
+        for text in texts:
+            at = BOUNDARY.search(text)  # what stands before the first space that begins a unit is a text of its own
+            found.append((text[: at.start()], self.units.of(text[at.end() :]).tolist()) if at else (text, []))
+        self._settle()
+        return [(self._encoded(head) if head else b"") + b"".join(map(self.ids.__getitem__, own)) for head, own in found]
 
 
 def lengths(n: int, most: int = MOST_TOKENS) -> list[int]:
@@ -82,18 +95,16 @@ def pieces(docs: DataFrame, path: str = VOCABULARY, end_id: int = END_ID, most:
         own = _encoders.get(content.value) or _encoders.setdefault(content.value, Encoder(content.value))
         part, counts = TaskContext.get().partitionId(), {}
         rows, size = [], 0
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                data = own.encode(text.as_py() or "") + end
-                at = 0
-                for n in lengths(len(data) // 4, most):
-                    piece = data[4 * at : 4 * (at + n)]
-                    nth = counts[n] = counts.get(n, -1) + 1
-                    rows.append((doc_id, at, n, zlib.crc32(piece), len(data) // 4, piece if ids else None, part, nth))
-                    at, size = at + n, size + 40 + len(piece) * ids
-                    if size >= OUT_BYTES:
-                        yield _batch(rows, kinds, names)
-                        rows, size = [], 0
+        for doc_id, data in _encoded(batches, own):
+            data, at = data + end, 0
+            for n in lengths(len(data) // 4, most):
+                piece = data[4 * at : 4 * (at + n)]
+                nth = counts[n] = counts.get(n, -1) + 1
+                rows.append((doc_id, at, n, zlib.crc32(piece), len(data) // 4, piece if ids else None, part, nth))
+                at, size = at + n, size + 40 + len(piece) * ids
+                if size >= OUT_BYTES:
+                    yield _batch(rows, kinds, names)
+                    rows, size = [], 0
         if rows:
             yield _batch(rows, kinds, names)
 
@@ -101,6 +112,13 @@ def pieces(docs: DataFrame, path: str = VOCABULARY, end_id: int = END_ID, most:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], own: Encoder) -> Iterator[tuple[int | None, bytes]]:
+    for batch in batches:
+        for a, b in slices(batch.column(1)):
+            texts = [x or "" for x in batch.column(1).slice(a, b - a).to_pylist()]
+            yield from zip(batch.column(0).slice(a, b - a).to_pylist(), own.encode(texts), strict=True)
+
+
 def _batch(rows: list[tuple], kinds: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 

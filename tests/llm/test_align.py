@@ -6,7 +6,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from spantrack.llm import align
+from spantrack.llm import _units, align
 from tests.llm.docs import SCHEMA, documents, frame
 
 ODD = ["a▁b", " ", "  two  spaces ", "\n a\n\n b", "tab\tand nbsp", "a <|endoftext|> b </s>", "<0x0A>", "\x00z", "x" * 700, "漢字" * 90, "①é", "a \u001cb", " end \n", "https://a.b/c?d=e_f  0123456789abcdef"]
@@ -14,7 +14,7 @@ ODD = ["a▁b", " ", "  two  spaces ", "\n a\n\n b", "tab\tand nbsp", "a <|endo
 
 def groups(text, a, b):
     """Token ids of both sides and their groups, by the definition on whole texts."""
-    chars = align.byte_level()
+    chars = _units.byte_level()
     ids_a = a.encode(" " + text, add_special_tokens=False).ids
     ids_b = b.encode(text)
     left = [bytes(chars[c] for c in a.id_to_token(i)) for i in ids_a]
