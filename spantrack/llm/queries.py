@@ -97,16 +97,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (*QUERIES, pipeline)}
 
 
-# Vectors of finite components only, one of each vec_id; sizes and scores are exact integers.
+# Vectors of finite components only; every row but the query's own is a candidate; sizes and scores are exact integers.
 TOP_K = """
-WITH q AS (SELECT vec_id, min(v) AS v FROM (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+WITH q AS (SELECT vec_id, row_number() OVER () AS row, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
            FROM embeddings
            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0) GROUP BY vec_id),
-s AS (SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+s AS (SELECT a.row AS own, a.vec_id AS query_id, b.vec_id AS vec_id,
              CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
-      FROM q a JOIN q b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)
-SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+      FROM q a JOIN q b ON a.row <> b.row WHERE a.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM s QUALIFY rank <= 5
 """
 

@@ -193,19 +193,25 @@ def _nearest(points: np.ndarray, routes: np.ndarray) -> tuple[np.ndarray, np.nda
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50, tree_rows: int = TREE_ROWS, block_queries: int = BLOCK_QUERIES, n_routes: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best of all other rows for each vec_id divisible by ``every``.
 
-    Ties go to the smaller vec_id. Rows are told apart by vec_id: of rows of one vec_id
-    the least vector, component by component, counts; vectors of unequal lengths are compared over the shorter one. Nulls and
-    non-finite components take no part; an empty table gives no rows. ``n_routes`` follows from the number of vectors if None.
+    Ties go to the smaller vec_id. Every row is a candidate and, if its vec_id is
+    divisible, a query of its own: rows of one vec_id, also equal ones, stand beside each
+    other, and only the query's own row is left out. Vectors of unequal lengths are
+    compared over the shorter one. Nulls and non-finite components take no part; an empty
+    table gives no rows; other columns are not read. ``n_routes`` follows from the number
+    of vectors if None.
     """
     spark = vectors.sparkSession
     python_ready(spark)
-    rows = cut(quantized(vectors).groupBy("vec_id").agg(F.min("v").alias("v")))
+    # rows are numbered in order of vec_id, and the number stands for the row from here on, so that ties go by it
+    salted = quantized(vectors).withColumn("_salt", F.monotonically_increasing_id())
+    numbered = cut(ranked(salted, [F.col("vec_id").asc(), F.col("_salt").asc()], "row").drop("_salt"))
+    names, rows = numbered.select("row", "vec_id"), numbered.select(F.col("row").alias("vec_id"), "v", (F.col("vec_id") % every == 0).alias("asks"))
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    facts = rows.agg(F.max(square).alias("top"), F.max(F.size("v")).alias("width"), F.count("*").alias("n"), F.count_if(F.col("vec_id") % every == 0).alias("queries")).first()
+    facts = rows.agg(F.max(square).alias("top"), F.max(F.size("v")).alias("width"), F.count("*").alias("n"), F.count_if("asks").alias("queries")).first()
     top, width = facts["top"] or 0.0, max(facts["width"] or 0, 1)
     n_routes = n_routes or min(max(ROUTES, facts["n"] // (CELL_TREES * tree_rows)), MOST_ROUTES)
-    # of equal vectors the k + 1 smallest ids are all that can be returned; Spark keeps no more of each before it shuffles them
-    indexed = rows.withColumn("n", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("n") <= k + 1).drop("n")
+    # of equal vectors the k + 1 first rows are all that can be returned; Spark keeps no more of each before it shuffles them
+    indexed = rows.drop("asks").withColumn("n", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("n") <= k + 1).drop("n")
     sample = indexed.orderBy(F.xxhash64("vec_id")).limit(max(SAMPLE_ROWS, SAMPLE_SHARE * n_routes)).select("v").toArrow()
     routes = spread_out(_lifted(_matrix(sample.column("v"), width), top), n_routes) if sample.num_rows else np.zeros((1, width + 1))
     sent = spark.sparkContext.broadcast(routes)  # MOST_ROUTES rows at most
@@ -258,13 +264,13 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, tree_rows: int = TREE
         return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
     none = F.lit(int(np.iinfo(np.int64).min)).alias("least")
-    asked = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
+    asked = rows.where("asks").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
     asked = cut(asked.mapInArrow(home, "query_id long, q array<long>, cell int, to_route double"))
     gap = F.greatest(F.col("nearest") - F.col("to_route"), F.col("to_route") - F.col("farthest"), F.lit(0.0)).alias("gap")
     homes = asked.select("query_id", "cell", "to_route").join(spans, "cell").groupBy("query_id", "cell").agg(F.min(F.struct(gap, "part"))["part"].alias("part"))
     at_home = asked.drop("cell", "to_route").join(homes, "query_id").select("query_id", "q", "cell", "part", none)
     bound = best(searched(at_home, ["cell", "part"])).groupBy("query_id").agg(F.min("score").alias("kth"), F.count("*").alias("n")).where(F.col("n") >= k).select("query_id", "kth")
-    bounded = asked.join(bound, "query_id", "left").select("query_id", "q", F.coalesce("kth", none).alias("least"))
+    bounded = asked.join(bound, "query_id", "left").select("query_id", "q", F.coalesce("kth", F.lit(int(np.iinfo(np.int64).min))).alias("least"))
 
     def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each query's distances to all routing objects, and the one within which a better point must lie."""
@@ -273,9 +279,12 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, tree_rows: int = TREE
             square = (points * points).sum(axis=1) + top
             within = np.where(least == np.iinfo(np.int64).min, np.inf, np.sqrt(np.maximum(square - 2.0 * least.astype(float) + 1e-9 * square + 1.0, 0)))
             far = pa.array(list(_distances(points, sent.value)), pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, far, pa.array(within)], ["query_id", "q", "least", "far", "within"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), far, pa.array(within)], ["query_id", "least", "far", "within"])
 
-    near = bounded.mapInArrow(reach, "query_id long, q array<long>, least long, far array<double>, within double")
-    near = near.select("query_id", "q", "least", "within", F.posexplode("far").alias("cell", "to_route"))
+    near = bounded.mapInArrow(reach, "query_id long, least long, far array<double>, within double")
+    near = near.select("query_id", "least", "within", F.posexplode("far").alias("cell", "to_route"))
     visits = near.join(shells, "cell").where((F.col("to_route") - F.col("within") <= F.col("farthest")) & (F.col("to_route") + F.col("within") >= F.col("nearest")))
-    return best(searched(visits.select("query_id", "q", "least", "cell", "shell"), ["cell", "shell"])).select("query_id", "rank", "vec_id", "score")
+    visits = visits.select("query_id", "least", "cell", "shell").join(asked.select("query_id", "q"), "query_id")  # vectors go only where there is something to find
+    found = best(searched(visits, ["cell", "shell"]))
+    asker, other = names.select(F.col("row").alias("query_id"), F.col("vec_id").alias("_query")), names.select(F.col("row").alias("vec_id"), F.col("vec_id").alias("_vec"))
+    return found.join(asker, "query_id").join(other, "vec_id").select(F.col("_query").alias("query_id"), "rank", F.col("_vec").alias("vec_id"), "score")

@@ -5,14 +5,11 @@ from spantrack.llm import topk
 
 
 def brute(rows, k=5, every=50):
-    good = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            good.setdefault(i, [math.floor(256 * x) for x in v])
+    good = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q, v in good.items():
+    for own, (q, v) in enumerate(good):
         if q % every == 0:
-            best = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in good.items() if i != q)[:k]
+            best = sorted((-sum(a * b for a, b in zip(v, w)), i) for at, (i, w) in enumerate(good) if at != own)[:k]
             out += [(q, r, i, -s) for r, (s, i) in enumerate(best, 1)]
     return sorted(out)
 
@@ -76,8 +73,11 @@ def test_more_rows_than_the_sample_and_another_operator_between(spark):
 
 
 def test_repeated_ids(spark):
-    rows = [(50, [1.0, 2.0]), (50, [1.0, -2.0]), (1, [5.0, 1.0]), (1, [4.0, 9.0]), (2, [0.5, 0.5])]
-    assert run(spark, rows) == brute([(50, [1.0, -2.0]), (1, [4.0, 9.0]), (2, [0.5, 0.5])])
+    """Rows of one vec_id are candidates and queries of their own."""
+    rows = [(0, [0.5, 0.5]), (1, [0.5, 0.25]), (1, [0.9, 0.9]), (2, [0.1, 0.1])]
+    assert run(spark, rows) == brute(rows) == [(0, 1, 1, 58880), (0, 2, 1, 24576), (0, 3, 2, 6400)]
+    rows = [(50, [1.0, 2.0]), (50, [1.0, -2.0]), (50, [1.0, 2.0]), (1, [5.0, 1.0]), (1, [4.0, 9.0]), (2, [0.5, 0.5])] + [(100, [3.0, 3.0])] * 9
+    assert run(spark, rows) == brute(rows)
 
 
 def test_many_trees_and_shells_of_a_cell(spark):
