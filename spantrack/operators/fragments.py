@@ -60,6 +60,18 @@ def anchors() -> Column:
     return has(PAIRED) & has(PROPER) & (F.col("chrom") == F.col("mate_chrom")) & (F.col("tlen") > 0)
 
 
+def bounds(length: int | Column | None = None) -> dict[str, Column]:
+    """frg_start, frg_end and frg_len of an alignment that knows its contig's chrom_len, before it is asked whether it makes a fragment."""
+    if isinstance(length, int) and length <= 0:
+        raise ValueError("a fragment length must be above 0")
+    fixed = F.lit(None).cast("int") if length is None else F.lit(length) if isinstance(length, int) else length
+    pair = has(PAIRED)
+    size = F.coalesce(fixed, F.when(pair, F.col("tlen")).otherwise(F.col("aln_len"))).cast("int")
+    right = F.coalesce("ref_end", "pos")
+    begin = F.when(~pair & has(REVERSE), right - size).otherwise(F.col("pos"))
+    return {"frg_start": F.greatest(begin, F.lit(0)).cast("long"), "frg_end": F.least(begin + size, F.col("chrom_len")).cast("long"), "frg_len": size}
+
+
 def fragments(alignments: DataFrame, contigs: DataFrame, length: int | Column | None = None, **filters: bool) -> DataFrame:
     """Fragments of all samples, clamped to their contig; frg_len stays as it was before.
 
@@ -69,18 +81,22 @@ def fragments(alignments: DataFrame, contigs: DataFrame, length: int | Column |
     ``contigs`` (chrom, chrom_len) drops records on other contigs; the list is small,
     so that alignments stay where they are.
     """
-    if isinstance(length, int) and length <= 0:
-        raise ValueError("a fragment length must be above 0")
-    fixed = F.lit(None).cast("int") if length is None else F.lit(length) if isinstance(length, int) else length
-    pair = has(PAIRED)
-    size = F.coalesce(fixed, F.when(pair, F.col("tlen")).otherwise(F.col("aln_len")))
-    right = F.coalesce("ref_end", "pos")
-    begin = F.when(~pair & has(REVERSE), right - size).otherwise(F.col("pos"))
-    kept = alignments.where(usable(**filters)).where(~pair | anchors()).withColumn("frg_len", size.cast("int")).where("frg_len > 0")
-    strand = F.when(has(REVERSE), "-").otherwise("+")
-    placed = kept.withColumn("_start", begin).join(local(contigs.select("chrom", "chrom_len")), "chrom")
-    bounds = placed.withColumns({"frg_start": F.greatest("_start", F.lit(0)).cast("long"), "frg_end": F.least(F.col("_start") + F.col("frg_len"), "chrom_len").cast("long"), "strand": strand})
-    return bounds.where("frg_end > frg_start").select("sample", "chrom", "frg_start", "frg_end", "frg_len", "strand", "qname", "mapq", "flag")
+    kept = alignments.where(usable(**filters)).where(~has(PAIRED) | anchors())
+    placed = kept.join(local(contigs.select("chrom", "chrom_len")), "chrom")
+    bounded = placed.withColumns(bounds(length) | {"strand": F.when(has(REVERSE), "-").otherwise("+")})
+    return bounded.where("frg_len > 0 AND frg_end > frg_start").select("sample", "chrom", "frg_start", "frg_end", "frg_len", "strand", "qname", "mapq", "flag")
+
+
+def with_contigs(alignments: DataFrame, contigs: DataFrame) -> DataFrame:
+    """``alignments`` with chrom_len, null on other contigs."""
+    return alignments.join(local(contigs.select("chrom", "chrom_len")), "chrom", "left")
+
+
+def makes_fragment(length: int | Column | None = None, **filters: bool) -> Column:
+    """Whether a record of ``with_contigs`` is one of those that ``fragments`` keeps, to count them in a pass over alignments."""
+    at = bounds(length)
+    made = usable(**filters) & (~has(PAIRED) | anchors()) & F.col("chrom_len").isNotNull() & (at["frg_len"] > 0) & (at["frg_end"] > at["frg_start"])
+    return F.coalesce(made, F.lit(False))
 
 
 def totals(frags: DataFrame) -> DataFrame:
@@ -122,18 +138,22 @@ def mark_duplicates(frags: DataFrame, marked: DataFrame | None = None) -> DataFr
 
     Rows alike in all of these are one record. Samples of ``marked`` (sample), whose
     files' headers say that duplicates have been marked, stay as they are. The best is
-    found by an aggregate with partial sums and joined back, so that a place with very
-    many fragments isn't sorted in one task.
+    found in two rounds over one scan: first among the fragments of a place and a salt
+    of as many values as there are tasks, so that a place with very many fragments is
+    spread over all of them; then among those rounds' winners, one a task at most.
     """
     place = ["sample", "chrom", "frg_start", "frg_end", "strand"]
+    tasks = int(frags.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rank = F.struct((-F.coalesce("mapq", F.lit(-1))).alias("m"), F.col("qname").alias("q"), F.col("flag").alias("f"))
-    best = frags.groupBy(*place).agg(F.min(rank).alias("best"))
-    joined = frags.join(best, place)
+    best = lambda *keys: rank == F.min(rank).over(Window.partitionBy(*place, *keys))
+    salted = frags.withColumn("_salt", F.pmod(F.xxhash64("qname", "flag"), F.lit(tasks)))
+    won = salted.withColumn("_won", best("_salt")).withColumn("_turn", F.when(F.col("_won"), -1).otherwise(F.col("_salt")))
+    joined = won.withColumn("_won", F.col("_won") & best("_turn"))  # who lost stays among the others of its salt
     if marked is not None:
         joined = joined.join(local(marked.select("sample").distinct().withColumn("_done", F.lit(True))), "sample", "left")
     done = F.coalesce("_done", F.lit(False)) if marked is not None else F.lit(False)
-    flag = F.when(done | (rank == F.col("best")), F.col("flag")).otherwise(F.col("flag").bitwiseOR(F.lit(DUPLICATE)))
-    return joined.withColumn("flag", flag).drop("best", "_done")
+    flag = F.when(done | F.col("_won"), F.col("flag")).otherwise(F.col("flag").bitwiseOR(F.lit(DUPLICATE)))
+    return joined.select(*[flag.alias(c) if c == "flag" else c for c in frags.columns])
 
 
 def layouts(alignments: DataFrame) -> DataFrame:
@@ -146,18 +166,11 @@ def queryname_order(alignments: DataFrame) -> DataFrame:
     return alignments.repartitionByRange("sample", "qname").sortWithinPartitions("sample", "qname", "flag")
 
 
-def numbered_by_name(alignments: DataFrame, name: str = "place", prefix: int = 3) -> DataFrame:
-    """``alignments`` with ``name``: each record's number, from 1, in its sample's order by name, then flag.
+def numbered_by_name(alignments: DataFrame, name: str = "place") -> DataFrame:
+    """``alignments`` with ``name``: each record's number, from 1, in its sample's order by name, then flag."""
+    from spantrack.operators.ordering import numbered
 
-    Records are counted by the first ``prefix`` characters of their names; only those
-    counts are summed up along a sample, and records are numbered within them.
-    """
-    keys = ["sample", "_prefix"]
-    split = alignments.withColumn("_prefix", F.substring("qname", 1, prefix))
-    along = Window.partitionBy("sample").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
-    before = split.groupBy(*keys).agg(F.count("*").alias("_n")).select(*keys, F.coalesce(F.sum("_n").over(along), F.lit(0)).alias("_before"))
-    within = F.row_number().over(Window.partitionBy(*keys).orderBy("qname", "flag"))
-    return split.withColumn("_row", within).join(before, keys).withColumn(name, (F.col("_before") + F.col("_row")).cast("long")).drop("_prefix", "_row", "_before")
+    return numbered(alignments, ["sample"], [F.col("qname").asc_nulls_first(), F.col("flag").asc_nulls_first()], name)
 
 
 def coordinate_order(alignments: DataFrame) -> DataFrame:

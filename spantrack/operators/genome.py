@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spantrack.functions.scalars import genome_order
+from spantrack.operators import ordering
+from spantrack.operators.small import local
 
 # Feature kinds that carry a gene name.
 GENES = ("blocked_reading_frame", "gene", "ncRNA_gene", "pseudogene", "rRNA_gene", "snRNA_gene", "snoRNA_gene", "tRNA_gene", "telomerase_RNA_gene")
@@ -39,7 +41,7 @@ def spike_contig(name: Column) -> Column:
 
 def before_marker(lines: DataFrame, file: str = "file", number: str = "line_no", text: str = "line") -> DataFrame:
     """Lines of each file before its first one that starts with ###."""
-    ends = lines.where(F.col(text).startswith("###")).groupBy(file).agg(F.min(number).alias("_end"))
+    ends = local(lines.where(F.col(text).startswith("###")).groupBy(file).agg(F.min(number).alias("_end")))  # a row per file
     return lines.join(ends, file, "left").where(F.col("_end").isNull() | (F.col(number) < F.col("_end"))).drop("_end")
 
 
@@ -78,24 +80,10 @@ def in_genome_order(track: DataFrame, *before: str) -> DataFrame:
     return track.orderBy(*before, *genome_order(F.col("chrom"), F.col("bin_start")))
 
 
-#: Bases of a tile in which places are counted.
-TILE_BASES = 1 << 20
-
-
 def numbered(track: DataFrame, name: str = "place", by: str = "sample", ties: bool = False) -> DataFrame:
-    """``track`` with ``name``: each row's number, from 1, in its sample's genome order; with ``ties`` rows of one place share the first number.
-
-    Rows are counted by tile of a contig; only those counts are summed up along a
-    sample, and rows are numbered within their tile, so that no task sorts a whole
-    sample.
-    """
-    tile = ["_tile", by, "chrom"]
-    tiled = track.withColumn("_tile", F.floor(F.col("bin_start") / TILE_BASES))
-    along = Window.partitionBy(by).orderBy(*genome_order(F.col("chrom"), F.col("_tile"))).rowsBetween(Window.unboundedPreceding, -1)
-    counts = tiled.groupBy(*tile).agg(F.count("*").alias("_n"))
-    before = counts.select(*tile, F.coalesce(F.sum("_n").over(along), F.lit(0)).alias("_before"))
-    within = (F.rank() if ties else F.row_number()).over(Window.partitionBy(*tile).orderBy("bin_start"))
-    return tiled.withColumn("_row", within).join(before, tile).withColumn(name, (F.col("_before") + F.col("_row")).cast("long")).drop("_tile", "_row", "_before")
+    """``track`` with ``name``: each row's number, from 1, in its sample's genome order; with ``ties`` rows of one place share the first number."""
+    order = [x.asc() for x in genome_order(F.col("chrom"), F.col("bin_start"))]
+    return ordering.ranked(track, [by], ["chrom", "bin_start"], order, name) if ties else ordering.numbered(track, [by], order, name)
 
 
 def table_order(table: DataFrame) -> DataFrame:

@@ -47,11 +47,12 @@ def pair_name(sample: str = "sample") -> Column:
     return F.regexp_replace(sample, "^(IP|in)_", "")
 
 
-def paired_signal(frags: DataFrame, width: int = 10, method: str = "norm", closed_end: bool = True) -> DataFrame:
+def paired_signal(frags: DataFrame, width: int = 10, method: str = "norm", closed_end: bool = True, counts: DataFrame | None = None) -> DataFrame:
     """(pair, chrom, bin_start, bin_end, ip, control): the two signals of every pair side by side, from one pass over the fragments.
 
     The bins of either track are there, a missing side as 0.0: what a full outer merge
-    of the two tracks gives, by one shuffle on (pair, chrom, bin_start).
+    of the two tracks gives, by one shuffle on (pair, chrom, bin_start). ``counts``
+    (sample, frg_tot), where another pass has them, spares norm one of its own.
     """
     side = lambda is_ip: F.sum(F.when(F.col("_ip") == is_ip, weight(method)).otherwise(0.0))
     sides = frags.where("sample LIKE 'IP\\_%' OR sample LIKE 'in\\_%'").withColumns({"pair": F.substring("sample", 4, 1 << 30), "_ip": F.col("sample").startswith("IP_")})
@@ -59,7 +60,7 @@ def paired_signal(frags: DataFrame, width: int = 10, method: str = "norm", close
     both = spread.groupBy("pair", "chrom", "bin_start").agg(side(True).alias("ip"), side(False).alias("control"))
     if method == "norm":
         count = lambda name: F.max(F.when(F.col("sample").startswith(f"{name}_"), F.col("frg_tot")))
-        counts = totals(frags).withColumn("pair", pair_name()).groupBy("pair").agg(count("IP").alias("_ip"), count("in").alias("_in"))
+        counts = (totals(frags) if counts is None else counts).withColumn("pair", pair_name()).groupBy("pair").agg(count("IP").alias("_ip"), count("in").alias("_in"))
         over = lambda x, n: F.when(F.col(n).isNull(), 0.0).otherwise(F.col(x) / F.col(n))
         both = both.join(local(counts), "pair").withColumns({"ip": over("ip", "_ip"), "control": over("control", "_in")})
     return both.select("pair", "chrom", "bin_start", (F.col("bin_start") + width).alias("bin_end"), "ip", "control")
@@ -79,9 +80,14 @@ def ratio_track(track: DataFrame, figures: DataFrame | None = None, log2: bool =
     return ratio_of(merge(*pair_tracks(track)), figures, log2)
 
 
+def is_finite(value: Column) -> Column:
+    """Neither -inf nor NaN."""
+    return ~F.isnan(value) & (value != NEG_INF)
+
+
 def finite(track: DataFrame, value: str = "value") -> DataFrame:
-    """Rows for browsers: neither -inf nor NaN."""
-    return track.where(~F.isnan(value) & (F.col(value) != NEG_INF))
+    """Rows for browsers."""
+    return track.where(is_finite(F.col(value)))
 
 
 def with_kind(track: DataFrame, value: str = "value") -> DataFrame:

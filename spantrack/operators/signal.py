@@ -59,6 +59,22 @@ def scaled(track: DataFrame, factors: DataFrame, factor: str = "factor") -> Data
     return joined.withColumn("signal", F.col("signal") * checked).drop("_factor")
 
 
+#: Bases of a tile, within which depths are summed up.
+TILE = 4096
+
+
+def _runs(frags: DataFrame, closed_end: bool) -> DataFrame:
+    """(sample, chrom, tile, start, end, depth): stretches of equal depth above 0 within each tile, end left out."""
+    last = F.col("frg_end") if closed_end else F.col("frg_end") - 1
+    cut = frags.select("sample", "chrom", "frg_start", last.alias("last")).withColumn("tile", F.explode(F.sequence(F.floor(F.col("frg_start") / TILE), F.floor(F.col("last") / TILE))))
+    begin, end = F.greatest("frg_start", F.col("tile") * TILE), F.least("last", F.col("tile") * TILE + (TILE - 1)) + 1
+    changes = F.explode(F.array(F.struct(begin.alias("at"), F.lit(1).alias("by")), F.struct(end.alias("at"), F.lit(-1).alias("by"))))
+    steps = cut.select("sample", "chrom", "tile", changes.alias("c")).groupBy("sample", "chrom", "tile", "c.at").agg(F.sum("c.by").alias("by"))
+    along = Window.partitionBy("sample", "chrom", "tile").orderBy("at")
+    depths = steps.where("by <> 0").select("sample", "chrom", "tile", F.col("at").alias("start"), F.lead("at").over(along).alias("end"), F.sum("by").over(along).alias("depth"))
+    return depths.where("depth > 0")
+
+
 def coverage(frags: DataFrame, closed_end: bool = True) -> DataFrame:
     """Per-base coverage, the unadjusted signal in bins of one base, from the places where it changes.
 
@@ -66,17 +82,35 @@ def coverage(frags: DataFrame, closed_end: bool = True) -> DataFrame:
     its length; equal places are summed before the shuffle, and a running sum within
     each tile gives the depth up to the next change.
     """
-    tile, last = 4096, F.col("frg_end") if closed_end else F.col("frg_end") - 1
-    cut = frags.select("sample", "chrom", "frg_start", last.alias("last")).withColumn("tile", F.explode(F.sequence(F.floor(F.col("frg_start") / tile), F.floor(F.col("last") / tile))))
-    begin, end = F.greatest("frg_start", F.col("tile") * tile), F.least("last", F.col("tile") * tile + (tile - 1)) + 1
-    changes = F.explode(F.array(F.struct(begin.alias("at"), F.lit(1).alias("by")), F.struct(end.alias("at"), F.lit(-1).alias("by"))))
-    steps = cut.select("sample", "chrom", "tile", changes.alias("c")).groupBy("sample", "chrom", "tile", "c.at").agg(F.sum("c.by").alias("by"))
-    along = Window.partitionBy("sample", "chrom", "tile").orderBy("at")
-    runs = steps.select("sample", "chrom", "at", F.sum("by").over(along).alias("depth"), F.lead("at").over(along).alias("next")).where("depth > 0")
-    bases = runs.select("sample", "chrom", F.explode(F.sequence("at", F.col("next") - 1)).alias("bin_start"), F.col("depth").cast("double").alias("signal"))
+    bases = _runs(frags, closed_end).select("sample", "chrom", F.explode(F.sequence("start", F.col("end") - 1)).alias("bin_start"), F.col("depth").cast("double").alias("signal"))
     return bases.select("sample", "chrom", "bin_start", (F.col("bin_start") + 1).alias("bin_end"), "signal")
 
 
+def coverage_runs(frags: DataFrame, closed_end: bool = True) -> DataFrame:
+    """(sample, chrom, start, end, depth): the longest stretches of equal depth above 0, end left out; no base is a row.
+
+    Within a tile neighbouring runs differ, as a change of 0 isn't one. Only runs that
+    reach a tile's border, two a tile at most, are carried on to the next one: they are
+    put in order by contig, and a run starts where the one before doesn't end at its
+    start with its depth.
+    """
+    runs = _runs(frags, closed_end)
+    at_border = (F.col("start") == F.col("tile") * TILE) | (F.col("end") == (F.col("tile") + 1) * TILE)
+    along = Window.partitionBy("sample", "chrom").orderBy("start")
+    goes_on = (F.lag("end").over(along) == F.col("start")) & (F.lag("depth").over(along) == F.col("depth"))
+    border = runs.where(at_border).withColumn("_new", F.when(F.coalesce(goes_on, F.lit(False)), 0).otherwise(1)).withColumn("_run", F.sum("_new").over(along))
+    carried = border.groupBy("sample", "chrom", "_run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.first("depth").alias("depth"))
+    columns = ["sample", "chrom", "start", "end", "depth"]
+    return runs.where(~at_border).select(*columns).unionByName(carried.select(*columns))
+
+
+def run_statistics(runs: DataFrame, by: tuple[str, ...] = ("sample",)) -> DataFrame:
+    """(by, bases, min, max, avg, sum) of the bases that runs stand for, each weighted by its length."""
+    length = F.col("end") - F.col("start")
+    total, bases = F.sum(F.col("depth") * length), F.sum(length)
+    return runs.groupBy(*by).agg(bases.alias("bases"), F.min("depth").alias("min"), F.max("depth").alias("max"), (total / bases).alias("avg"), total.alias("sum"))
+
+
 def in_region(track: DataFrame, regions: DataFrame) -> DataFrame:
     """Rows of ``track`` that overlap a region (region, chrom, start, end; 1-based, ends included), with its name.
 

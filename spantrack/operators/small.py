@@ -18,3 +18,12 @@ def local(table: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
     """
     found = table.limit(most + 1).toArrow()
     return table if found.num_rows > most else F.broadcast(table.sparkSession.createDataFrame(found, table.schema))
+
+
+def on_all_cores(table: DataFrame) -> DataFrame:
+    """``table`` dealt to as many tasks as the session has cores, where it would be read by fewer: one file of few rows is then no bottleneck.
+
+    Tables of at least as many tasks stay as they are, so that nothing moves at scale.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table

@@ -1,7 +1,7 @@
 """Queries over the driver's tables, one per operator or small group, each with its SQL.
 
 The SQL is another formulation, not a translation: the bins that a fragment touches
-are listed by number, ratios come from a full outer join of two tracks.
+are listed by number, ratios come from conditional sums over finished tracks.
 """
 
 from __future__ import annotations
@@ -9,13 +9,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spantrack.functions.scalars import fixed, roman_number
 from spantrack.operators import factors, fragments, genome, matching, ratio, signal
 from spantrack.plans import samples as plans
-from spantrack.sources import folders, readers, views, writers
+from spantrack.sources import folders, readers, tracks, views, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
@@ -108,6 +108,15 @@ def frag_clamped(spark, sf_dir):
     return _fragments(spark, sf_dir, allow_supplementary=True).groupBy("sample").agg(F.count("*").alias("frg_tot"), F.sum(F.col("frg_end") - F.col("frg_start")).alias("bases"), clamped)
 
 
+@query(f"""WITH {_frags(where="flag & 2048 = 0 AND flag & 256 = 0").replace("% 10 + 1] AS flag", "% 10 + 1] | CASE WHEN (l_orderkey + l_partkey) % 4 = 0 THEN 256 ELSE 0 END AS flag")} SELECT {FRAG_COLUMNS} FROM frags""")
+def frag_primary(spark, sf_dir):
+    """Fragments of primary records only, where every fourth or so is a secondary one."""
+    part = F.split("qname", "-")
+    secondary = (part[0].cast("long") + part[2].cast("long")) % 4 == 0
+    aligned = _aligned(spark, sf_dir).withColumn("flag", F.when(secondary, F.col("flag").bitwiseOR(F.lit(256))).otherwise(F.col("flag")))
+    return _places(fragments.fragments(aligned, views.contigs(spark), allow_secondary=False))
+
+
 MATES = f"""{RAW}, mates AS (
  SELECT assay || '_' || grp AS sample, qname, 99 AS flag, chrom, pos, 50 AS aln_len, mapq FROM raw
  UNION ALL SELECT assay || '_' || grp, qname, 147, chrom, pos + tlen - 50, 50, mapq FROM raw)"""
@@ -173,6 +182,19 @@ def organism_split(spark, sf_dir):
     return factors.organism_counts(_aligned(spark, sf_dir))
 
 
+@query(f"""WITH {ALN}, named AS (SELECT sample, CASE chrom WHEN 'I' THEN 'SP_II_TG' WHEN 'II' THEN 'SP_MTR' WHEN 'III' THEN 'SP_Mito' WHEN 'IV' THEN 'Mito' ELSE chrom END AS chrom FROM aln), n AS (SELECT sample, chrom, count(*) AS n FROM named GROUP BY ALL)
+ SELECT sample, {', '.join(f"CAST(sum(n) FILTER (WHERE chrom IN ({chrom_list})) AS BIGINT) AS {name}" for name, chrom_list in (
+    ('spike', "'SP_I', 'SP_II', 'SP_III'"), ('spike_tg', "'SP_I', 'SP_II', 'SP_III', 'SP_II_TG'"), ('spike_mtr', "'SP_I', 'SP_II', 'SP_III', 'SP_MTR'"), ('spike_mito', "'SP_I', 'SP_II', 'SP_III', 'SP_Mito'"),
+    ('spike_all', "'SP_I', 'SP_II', 'SP_III', 'SP_II_TG', 'SP_MTR', 'SP_Mito'")))},
+ CAST(sum(n) FILTER (WHERE chrom NOT LIKE 'SP%' AND chrom <> 'Mito') AS BIGINT) AS main, CAST(sum(n) FILTER (WHERE chrom NOT LIKE 'SP%') AS BIGINT) AS main_mito FROM n GROUP BY sample""")
+def organism_contigs(spark, sf_dir):
+    """Records on either organism's contigs, with and without the optional ones."""
+    renamed = {"I": "SP_II_TG", "II": "SP_MTR", "III": "SP_Mito", "IV": "Mito"}
+    named = _aligned(spark, sf_dir).replace(renamed, subset="chrom")
+    on = {"spike": fragments.on_spike(), "spike_tg": fragments.on_spike(tg=True), "spike_mtr": fragments.on_spike(mtr=True), "spike_mito": fragments.on_spike(mito=True), "spike_all": fragments.on_spike(True, True, True), "main": fragments.on_main(), "main_mito": fragments.on_main(True)}
+    return named.groupBy("sample").agg(*[F.count_if(x).alias(name) for name, x in on.items()])
+
+
 @query(f"WITH {ALN} SELECT sample, CASE WHEN bool_or(flag & 1 = 1) THEN 'paired' ELSE 'single' END AS layout FROM aln GROUP BY sample")
 def seq_layout(spark, sf_dir):
     return fragments.layouts(_aligned(spark, sf_dir))
@@ -259,8 +281,9 @@ def region_counts(spark, sf_dir):
 
 # Ratios.
 
-BOTH = """ip AS (SELECT substr(sample, 4) AS pair, * FROM track WHERE sample LIKE 'IP%'), ct AS (SELECT substr(sample, 4) AS pair, * FROM track WHERE sample LIKE 'in%'),
- merged AS (SELECT pair, chrom, bin_start, coalesce(ip.bin_end, ct.bin_end) AS bin_end, coalesce(ip.signal, 0.0) AS ip, coalesce(ct.signal, 0.0) AS control FROM ip FULL JOIN ct USING (pair, chrom, bin_start))"""
+# Both signals of a pair by one grouping of all samples' bins; a side that has no bin is 0.
+BOTH = """merged AS (SELECT substr(sample, 4) AS pair, chrom, bin_start, min(bin_end) AS bin_end,
+  coalesce(sum(CASE WHEN sample LIKE 'IP%' THEN signal END), 0.0) AS ip, coalesce(sum(CASE WHEN sample LIKE 'in%' THEN signal END), 0.0) AS control FROM track GROUP BY 1, 2, 3)"""
 PLACE = "pair, chrom, bin_start, bin_end"
 DEPTHS = f"d AS (SELECT grp AS pair, count(*) FILTER (WHERE {COUNTED} AND assay = 'in') AS dep_in, count(*) FILTER (WHERE {COUNTED} AND assay = 'IP') AS dep_ip, avg(tlen) FILTER (WHERE {COUNTED} AND tlen > 0 AND assay = 'in') AS len_in, avg(tlen) FILTER (WHERE {COUNTED} AND tlen > 0 AND assay = 'IP') AS len_ip FROM aln GROUP BY grp)"
 
@@ -553,9 +576,11 @@ def sam_scan(spark, sf_dir):
     return readers.read_sam(spark, path)
 
 
-@query(f"SELECT unnest({_list(views.CONTIGS)}) AS chrom, CAST({views.CONTIG_LENGTH} AS BIGINT) AS chrom_len WHERE (SELECT count(*) FROM lineitem) > 0")
+@query(f"WITH {ALN} SELECT chrom, CAST(max(pos) + 50 AS BIGINT) AS chrom_len FROM aln GROUP BY chrom")
 def contig_scan(spark, sf_dir):
-    writers.write_sam(_aligned(spark, sf_dir), views.contigs(spark), path := _written(spark, "sam"))
+    """Contigs as long as the alignments reach, through a SAM header."""
+    sizes = _aligned(spark, sf_dir).groupBy("chrom").agg(F.max("ref_end").alias("chrom_len"))
+    writers.write_sam(_aligned(spark, sf_dir), sizes, path := _written(spark, "sam"))
     return readers.read_contigs(spark, path)
 
 
@@ -578,29 +603,114 @@ def bedgraph_scan(spark, sf_dir):
     return readers.read_bedgraph(spark, path)
 
 
-@query(f"""WITH {_track(50, 'unadj')}, {BOTH}, q AS (SELECT *, CASE WHEN control <> 0 THEN ip / control END AS r FROM merged)
- SELECT 'all' AS file, pair, chrom, bin_start, bin_end, CASE WHEN r IS NULL THEN 'nan' WHEN r = 0 THEN '-inf' ELSE 'number' END AS kind FROM q
- UNION ALL SELECT 'companion', pair, chrom, bin_start, bin_end, 'number' FROM q WHERE r > 0""")
+@query(f"""WITH {_track(50, 'unadj')}, {BOTH}, q AS (SELECT *, CASE WHEN control <> 0 THEN ip / control END AS r FROM merged),
+ v AS (SELECT *, CASE WHEN r IS NULL THEN 'nan' WHEN r = 0 THEN '-inf' ELSE 'number' END AS kind, CASE WHEN r > 0 THEN round(log2(r), 6) END AS value FROM q)
+ SELECT 'all' AS file, pair, chrom, bin_start, bin_end, kind, value FROM v UNION ALL SELECT 'companion', pair, chrom, bin_start, bin_end, kind, value FROM v WHERE r > 0""")
 def ratio_companion(spark, sf_dir):
     path = _written(spark, "ratio")
-    writers.write_ratio(_ratio_of(spark, sf_dir, 50, "unadj", log2=True), f"{path}/all", f"{path}/companion")
+    writers.write_ratio(_ratio_of(spark, sf_dir, 50, "unadj", log2=True), path)
     value = F.col("value")
     kind = F.when(F.isnan(value), "nan").when(value == ratio.NEG_INF, "-inf").otherwise("number")
-    read = lambda name: readers.read_bedgraph(spark, f"{path}/{name}", "value", "pair").select(F.lit(name).alias("file"), "pair", "chrom", "bin_start", "bin_end", kind.alias("kind"))
+    number = F.when(ratio.is_finite(value), F.round(value, 6))
+    read = lambda name: readers.read_bedgraph(spark, f"{path}/file={name}", "value", "pair").select(F.lit(name).alias("file"), "pair", "chrom", "bin_start", "bin_end", kind.alias("kind"), number.alias("value"))
     return read("all").unionByName(read("companion"))
 
 
-@query(f"""WITH {ALN}, {DEPTHS} SELECT 'IP_' || pair AS fil_ip, 'in_' || pair AS fil_in, '6nd' AS eqn, dep_ip::VARCHAR AS dep_ip, dep_in::VARCHAR AS dep_in FROM d""")
+ALPHA_TEXT = f"""SELECT 'IP_' || pair AS fil_ip, 'in_' || pair AS fil_in, round({ALPHA['6nd']}, 9) AS alpha, '6nd' AS eqn,
+ round(mass_ip, 6) AS mass_ip, round(mass_in, 6) AS mass_in, vol_all::DOUBLE AS vol_all, vol_in::DOUBLE AS vol_in, dep_ip, dep_in, round(len_ip, 6) AS len_ip, round(len_in, 6) AS len_in, {FLOORS} FROM d JOIN m USING (pair)"""
+
+
+def _read_table(spark: SparkSession, path: str, columns: list[str], digits: dict[str, int]) -> DataFrame:
+    """A sample table's text with its numbers as numbers, in the header's order."""
+    text = spark.read.option("header", True).csv(path, sep="\t")
+    assert text.columns == columns
+    whole = lambda c: c.startswith(("dep_", "num_"))
+    names = {"fil_ip", "fil_in", "eqn", "main_ip", "spike_ip", "main_in", "spike_in"}
+    numbers = {c: F.col(c).cast("long") if whole(c) else F.round(F.col(c).cast("double"), digits[c]) if c in digits else F.col(c).cast("double") for c in columns if c not in names}
+    return _rounded_floors(text.withColumns(numbers))
+
+
+@query(f"WITH {ALN}, {DEPTHS}, {MEASURED} {ALPHA_TEXT}")
 def sample_table_text(spark, sf_dir):
+    """All 26 columns of the alpha table, written and read back."""
     writers.write_sample_table(plans.alpha_table(_aligned(spark, sf_dir), _measured(spark, sf_dir)), path := _written(spark, "table"), "alpha")
-    return spark.read.option("header", True).csv(path, sep="\t").select("fil_ip", "fil_in", "eqn", "dep_ip", "dep_in")
+    return _read_table(spark, path, factors.ALPHA_COLUMNS, {"alpha": 9} | dict.fromkeys(("mass_ip", "mass_in", "len_ip", "len_in"), 6))
 
 
-@query("SELECT CAST(p_partkey AS VARCHAR) AS factor, CAST(p_size AS VARCHAR) AS vol_in, p_brand AS strain FROM part")
+@query(f"""WITH {ALN}, {SPIKED} SELECT 'IP_' || pair || '.sc' AS main_ip, 'IP_' || pair || '.sp' AS spike_ip, 'in_' || pair || '.sc' AS main_in, 'in_' || pair || '.sp' AS spike_in,
+ round({SPIKE}, 9) AS spike, num_mp, num_sp, num_mn, num_sn, {FLOORS.replace('dep_in', 'num_mn')} FROM s""")
+def spike_table_text(spark, sf_dir):
+    """All 23 columns of the spike-in table, written and read back."""
+    writers.write_sample_table(plans.spike_table(_aligned(spark, sf_dir)), path := _written(spark, "table"), "spike")
+    return _read_table(spark, path, factors.SPIKE_COLUMNS, {"spike": 9})
+
+
+MEASURES_READ = ", ".join(f"CAST(p_size + {i} AS VARCHAR) AS {name}" for i, name in enumerate(readers.ALIASES))
+
+
+@query(f"SELECT CAST(p_partkey AS VARCHAR) AS factor, p_brand AS strain, {MEASURES_READ}, row_number() OVER (ORDER BY p_partkey) - 1 AS row_no FROM part")
 def measurements_scan(spark, sf_dir):
-    table = views.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("factor"), F.col("p_size").alias("volume_in"), F.col("p_brand").alias("strain"))
-    table.write.option("header", True).csv(path := f"{_written(spark, 'measurements')}.csv")
-    return readers.read_measurements(spark, path).select("factor", "vol_in", "strain")
+    """All ten measures, each under another of its names, with the rows' numbers in the file."""
+    named = [(F.col("p_size") + i).alias(names[-1 - i % len(names)]) for i, names in enumerate(readers.ALIASES.values())]
+    table = views.table(spark, sf_dir, "part").orderBy("p_partkey").select(F.col("p_partkey").alias("factor"), F.col("p_brand").alias("strain"), *named)
+    table.coalesce(1).write.option("header", True).csv(path := f"{_written(spark, 'measurements')}.csv")  # a row per sample: one file by its nature
+    return readers.read_measurements(spark, path)
+
+
+# Tracks that are kept.
+
+
+@query(f"WITH {_track(50, 'unadj')}, {BOTH} SELECT {PLACE}, ip, control FROM merged")
+def track_merge_stored(spark, sf_dir):
+    """Two tracks saved as bucketed tables, merged where they lie."""
+    ip, control = ratio.pair_tracks(_track_of(spark, sf_dir, 50, "unadj"))
+    path, tag = _written(spark, "bucketed"), f"spantrack_{uuid.uuid4().hex}"
+    for name, side in (("ip", ip), ("control", control)):
+        tracks.save_bucketed(side, f"{tag}_{name}", f"{path}/{name}")
+    return ratio.merge(spark.table(f"{tag}_ip"), spark.table(f"{tag}_control"))
+
+
+@query(f"WITH {_track(10, 'unadj')}, {REGIONS} SELECT region, sample, max(signal) AS max_signal FROM track JOIN regions r ON track.chrom = r.chrom AND error IS NULL AND bin_start < stop AND bin_end >= start GROUP BY region, sample")
+def region_max_stored(spark, sf_dir):
+    """Regions of a track that was saved by contig: other contigs' folders aren't read."""
+    tracks.save_by_contig(_track_of(spark, sf_dir, 10, "unadj"), path := _written(spark, "contigs"))
+    parsed = signal.parse_regions(views.regions(spark), views.contigs(spark)).where("error IS NULL")
+    return tracks.stored_region_max(spark, path, parsed)
+
+
+RUNS = f"""{_track(1, 'unadj')}, e AS (SELECT sample, chrom, bin_start, signal,
+  lag(bin_start) OVER o IS DISTINCT FROM bin_start - 1 OR lag(signal) OVER o IS DISTINCT FROM signal AS begins FROM track WINDOW o AS (PARTITION BY sample, chrom ORDER BY bin_start)),
+ r AS (SELECT *, sum(CASE WHEN begins THEN 1 ELSE 0 END) OVER (PARTITION BY sample, chrom ORDER BY bin_start) AS run FROM e)"""
+
+
+@query(f'WITH {RUNS} SELECT sample, chrom, min(bin_start) AS start, max(bin_start) + 1 AS "end", CAST(min(signal) AS BIGINT) AS depth FROM r GROUP BY sample, chrom, run')
+def coverage_runs(spark, sf_dir):
+    return signal.coverage_runs(_fragments(spark, sf_dir))
+
+
+@query(f"WITH {_track(1, 'unadj')} SELECT sample, chrom, count(*) AS bases, CAST(min(signal) AS BIGINT) AS min, CAST(max(signal) AS BIGINT) AS max, round(avg(signal), 6) AS avg, CAST(sum(signal) AS BIGINT) AS sum FROM track GROUP BY sample, chrom")
+def coverage_stats(spark, sf_dir):
+    """Statistics of coverage base by base, from runs: no base is a row."""
+    return signal.run_statistics(signal.coverage_runs(_fragments(spark, sf_dir)), ("sample", "chrom")).withColumn("avg", F.round("avg", 6))
+
+
+ROMAN_PLACE = f"coalesce(list_position({_list(views.MAIN)}, chrom), 99), chrom, bin_start"
+
+
+@query(f"WITH {_track(30, 'unadj')} SELECT sample, row_number() OVER (PARTITION BY sample ORDER BY {ROMAN_PLACE}) AS line_no, chrom || chr(9) || bin_start || chr(9) || bin_end || chr(9) || printf('%.3f', signal) AS line FROM track")
+def bedgraph_lines(spark, sf_dir):
+    """A written track line by line, each with its number: the order of the text is compared, not its set of lines."""
+    writers.write_bedgraph(_track_of(spark, sf_dir, 30, "unadj"), path := _written(spark, "bedgraph"), digits=3)
+    return tracks.read_lines(spark, path)
+
+
+@query(f"WITH {_track(30, 'unadj')} SELECT sample, count(*) AS lines, CAST(0 AS BIGINT) AS overlaps FROM track GROUP BY sample")
+def bedgraph_order(spark, sf_dir):
+    """Lines of each sample's files, and how many of these begin before the one ahead of them ends."""
+    writers.write_bedgraph(_track_of(spark, sf_dir, 30, "unadj"), path := _written(spark, "bedgraph"), digits=3)
+    along = Window.partitionBy("sample").orderBy("file")  # a row per file
+    ranges = tracks.file_ranges(spark, path).withColumn("late", F.coalesce(F.col("first") <= F.lag("last").over(along), F.lit(False)))
+    return ranges.groupBy("sample").agg(F.sum("lines").alias("lines"), F.count_if("late").alias("overlaps"))
 
 
 @query("""SELECT page_id % 7 AS file, row_number() OVER (PARTITION BY page_id % 7 ORDER BY page_id) + 1 AS line_no, 'SRR' || page_id AS run_accession, url AS urls, 'n' || page_id AS custom_name FROM pages""")

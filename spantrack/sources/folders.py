@@ -1,10 +1,10 @@
-"""Where what is written for reading back goes."""
+"""Where what is written for reading back goes, and tables that are made once."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -19,3 +19,11 @@ def shared_folder(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         shared = tempfile.mkdtemp(prefix="spark-")
     return shared
+
+
+def kept(table: DataFrame) -> DataFrame:
+    """``table`` written to the shared folder and read from there: it is made once, and a lost executor doesn't take it along."""
+    context = table.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(table.sparkSession))
+    return table.checkpoint(eager=True)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spantrack.sources.headers import read_headers
+
 # Header names of measurement tables under their standard names.
 ALIASES = {
     "vol_in": ("volume_in", "vol_in", "v_in", "input sample volume"),
@@ -43,15 +45,14 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_contigs(spark: SparkSession, path: str) -> DataFrame:
-    """(chrom, chrom_len) of the header lines of SAM text, each contig once."""
-    lines = spark.read.text(path).where(F.col("value").startswith("@SQ"))
-    return lines.select(F.regexp_extract("value", r"\tSN:([^\t]+)", 1).alias("chrom"), F.regexp_extract("value", r"\tLN:([0-9]+)", 1).try_cast("long").alias("chrom_len")).distinct()
+    """(chrom, chrom_len) of the header lines of SAM text, each contig once; of a file no more than its header is read."""
+    lines = read_headers(spark, path).where(F.col("line").startswith("@SQ"))
+    return lines.select(F.regexp_extract("line", r"\tSN:([^\t]+)", 1).alias("chrom"), F.regexp_extract("line", r"\tLN:([0-9]+)", 1).try_cast("long").alias("chrom_len")).distinct()
 
 
 def read_marked(spark: SparkSession, path: str) -> DataFrame:
-    """(sample) of SAM text whose header says that duplicates have been marked."""
-    lines = spark.read.text(path).withColumn("sample", sample_of_file())
-    return lines.where(F.col("value").rlike("^@PG.*CL:samtools markdup")).select("sample").distinct()
+    """(sample) of SAM text whose header says that duplicates have been marked; of a file no more than its header is read."""
+    return read_headers(spark, path).where(F.col("line").rlike("^@PG.*CL:samtools markdup")).select("sample").distinct()
 
 
 def read_bed(spark: SparkSession, path: str) -> DataFrame:

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spantrack.operators.small import on_all_cores
+
 CONTIG_LENGTH = 20000
 MAIN = ("I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX", "X", "XI", "XII", "XIII", "XIV", "XV", "XVI")
 CONTIGS = (*MAIN, "SP_I", "SP_II", "SP_III")
@@ -26,7 +28,8 @@ def _pick(values: tuple, at: F.Column) -> F.Column:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = table(spark, sf_dir, "lineitem")
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag", "l_linestatus", "l_quantity", "l_discount"]
+    line = on_all_cores(table(spark, sf_dir, "lineitem").select(*columns))
     price = F.round(F.col("l_extendedprice") * 100).cast("long")
     return line.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", price.cast("string")).alias("qname"),

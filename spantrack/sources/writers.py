@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from spantrack.functions.scalars import fixed, genome_order
 from spantrack.operators.factors import ALPHA_COLUMNS, SPIKE_COLUMNS
-from spantrack.operators.ratio import finite
+from spantrack.operators.ratio import is_finite
 
 
 def _text(df: DataFrame, path: str, by: list[str], gzip: bool, header: bool = False) -> None:
@@ -31,10 +31,10 @@ def write_sam(alignments: DataFrame, contigs: DataFrame, path: str, gzip: bool =
     alignments.select("sample", F.concat_ws("\t", *fields).alias("value")).write.mode("append").partitionBy("sample").text(path, compression=compression)
 
 
-def write_bedgraph(track: DataFrame, path: str, value: str = "signal", by: str = "sample", digits: int = 24, gzip: bool = True) -> None:
-    """One folder per ``by``, its rows in genome order over its part files, values with ``digits`` decimals."""
-    ordered = track.orderBy(by, *genome_order(F.col("chrom"), F.col("bin_start")))
-    _text(ordered.select(by, "chrom", "bin_start", "bin_end", fixed(F.col(value), digits).alias(value)), path, [by], gzip)
+def write_bedgraph(track: DataFrame, path: str, value: str = "signal", by: str = "sample", digits: int = 24, gzip: bool = True, outer: tuple[str, ...] = ()) -> None:
+    """One folder per ``by`` (within folders of ``outer``), its rows in genome order over its part files, which are numbered in that order; values with ``digits`` decimals."""
+    ordered = track.orderBy(*outer, by, *genome_order(F.col("chrom"), F.col("bin_start")))
+    _text(ordered.select(*outer, by, "chrom", "bin_start", "bin_end", fixed(F.col(value), digits).alias(value)), path, [*outer, by], gzip)
 
 
 def write_fragments(frags: DataFrame, path: str, gzip: bool = True) -> None:
@@ -42,11 +42,13 @@ def write_fragments(frags: DataFrame, path: str, gzip: bool = True) -> None:
     _text(frags.select("sample", "chrom", "frg_start", "frg_end", "frg_len"), path, ["sample"], gzip)
 
 
-def write_ratio(track: DataFrame, path: str, companion: str | None = None, digits: int = 24, gzip: bool = True) -> None:
-    """A ratio track, and a companion for browsers without its -inf and NaN rows."""
-    write_bedgraph(track, path, "value", "pair", digits, gzip)
-    if companion:
-        write_bedgraph(finite(track), companion, "value", "pair", digits, gzip)
+def write_ratio(track: DataFrame, path: str, companion: bool = True, digits: int = 24, gzip: bool = True) -> None:
+    """A ratio track under ``path``/file=all, and under ``path``/file=companion its rows for browsers, without -inf and NaN.
+
+    A row is named for each file that it goes to, so that the track is made and sorted once.
+    """
+    files = F.array(F.lit("all"), *([F.when(is_finite(F.col("value")), "companion")] if companion else []))
+    write_bedgraph(track.withColumn("file", F.explode(F.array_compact(files))), path, "value", "pair", digits, gzip, ("file",))
 
 
 def write_sample_table(table: DataFrame, path: str, mode: str) -> None:

@@ -50,8 +50,8 @@ def test_round_trips(spark, tmp_path):
     back = readers.read_bedgraph(spark, f"{tmp_path}/t/sample=IP_a").collect()
     assert sorted(r.signal for r in back) == [0.25, 1 / 3]
     ratio = spark.createDataFrame([("a", "I", 0, 10, float("nan")), ("a", "I", 10, 20, 2.0)], "pair string, chrom string, bin_start long, bin_end long, value double")
-    writers.write_ratio(ratio, str(tmp_path / "r"), str(tmp_path / "c"), gzip=False)
-    assert readers.read_bedgraph(spark, f"{tmp_path}/r/pair=a").count() == 2 and readers.read_bedgraph(spark, f"{tmp_path}/c/pair=a").count() == 1
+    writers.write_ratio(ratio, str(tmp_path / "r"), gzip=False)
+    assert readers.read_bedgraph(spark, f"{tmp_path}/r/file=all/pair=a").count() == 2 and readers.read_bedgraph(spark, f"{tmp_path}/r/file=companion/pair=a").first().signal == 2.0
     frags = spark.createDataFrame([("s", "I", 1, 9, 8)], "sample string, chrom string, frg_start long, frg_end long, frg_len int")
     writers.write_fragments(frags, str(tmp_path / "f"))
     assert readers.read_bed(spark, f"{tmp_path}/f/sample=s").drop("sample").first() == frags.drop("sample").first()
@@ -108,3 +108,62 @@ def test_manifests(spark, tmp_path):
     (tmp_path / "b.tsv").write_text("custom_name\tother\nx\ty\n")
     with pytest.raises(Exception, match="run_accession"):
         readers.read_manifest(spark, str(tmp_path / "b.tsv")).collect()
+
+
+def test_headers_cost_no_records(spark, tmp_path, monkeypatch):
+    """A header's bytes are all that is read, however long the file; files have headers of their own, also packed ones and none."""
+    from pyarrow import fs
+
+    from spantrack.sources import headers
+
+    record = "q\t0\tI\t1\t1\t5M\t*\t0\t0\t*\t*\n"
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "a.sam").write_text("@SQ\tSN:I\tLN:9\n@SQ\tSN:II\tLN:8\n" + record * 200_000)
+    with gzip.open(tmp_path / "d" / "b.sam.gz", "wt") as out:
+        out.write("@SQ\tSN:I\tLN:9\r\n@SQ\tSN:X\tLN:7\n@PG\tID:samtools\tCL:samtools markdup x\n" + record)
+    (tmp_path / "d" / "c.sam").write_text(record)
+    (tmp_path / "d" / "e.sam").write_text("")
+    (tmp_path / "d" / "f.sam").write_text("@SQ\tSN:last\tLN:1")
+    (tmp_path / "d" / "_g.sam").write_text("@SQ\tSN:hidden\tLN:1\n")
+    assert {tuple(r) for r in readers.read_contigs(spark, str(tmp_path / "d")).collect()} == {("I", 9), ("II", 8), ("X", 7), ("last", 1)}
+    assert [r.sample for r in readers.read_marked(spark, f"file://{tmp_path}/d").collect()] == ["b"]
+    assert {tuple(r) for r in readers.read_contigs(spark, str(tmp_path / "d" / "f.sam")).collect()} == {("last", 1)}
+    read = []
+
+    class Counted:
+        def __init__(self, stream):
+            self.stream = stream
+
+        def read(self, n):
+            read.append(n)
+            return self.stream.read(n)
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            self.stream.close()
+
+    system = fs.LocalFileSystem()
+
+    class Watched:
+        def open_input_stream(self, *a, **k):
+            return Counted(system.open_input_stream(*a, **k))
+
+    assert len(list(headers.header_lines(Watched(), str(tmp_path / "d" / "a.sam"), 100))) == 2 and sum(read) == 100
+    with pytest.raises(Exception, match="nothing-here"):
+        readers.read_contigs(spark, str(tmp_path / "nothing-here")).collect()
+
+
+def test_lines_and_files_are_in_order(spark, tmp_path):
+    rows = [("s", c, i * 10, i * 10 + 10, float(i)) for c in ("X", "II", "IX", "zz") for i in range(300)] + [("t", "I", 0, 10, 1.0)]
+    track = spark.createDataFrame(rows, "sample string, chrom string, bin_start long, bin_end long, signal double").repartition(5)
+    for gz in (True, False):
+        writers.write_bedgraph(track, str(tmp_path / f"t{gz}"), digits=1, gzip=gz)
+        from spantrack.sources import tracks as kept
+
+        got = sorted((r.sample, r.line_no, r.line) for r in kept.read_lines(spark, str(tmp_path / f"t{gz}")).collect())
+        want = [f"{c}\t{i * 10}\t{i * 10 + 10}\t{i:.1f}" for c in ("II", "IX", "X", "zz") for i in range(300)]
+        assert got == [("s", k, x) for k, x in enumerate(want, 1)] + [("t", 1, "I\t0\t10\t1.0")]
+        ranges = sorted((r.sample, r.file, r.first, r.last) for r in kept.file_ranges(spark, str(tmp_path / f"t{gz}")).collect())
+        assert all(a[3] < b[2] for a, b in zip(ranges, ranges[1:]) if a[0] == b[0])

@@ -37,6 +37,27 @@ def test_coverage_is_signal_base_by_base(spark):
         assert both.count() > 9000 and both.where("NOT x <=> signal").count() == 0
 
 
+def test_coverage_runs_cross_tiles(spark):
+    """Runs are the longest ones, also over whole tiles, and stand for the same bases and statistics."""
+    rows, table = frags(spark, 150, 4)
+    far = table.unionByName(spark.createDataFrame([("a", "I", 4000, 13000, 9000), ("a", "II", 2000, 90000, 9), ("a", "II", 12287, 12288, 1), ("b", "II", 4096, 8192, 5), ("b", "II", 4095, 4096, 5)], FRAGS))
+    for closed in (True, False):
+        depth = {(r.sample, r.chrom, r.bin_start): int(r.signal) for r in signal.coverage(far, closed).collect()}
+        runs = signal.coverage_runs(far, closed)
+        got = sorted(map(tuple, runs.collect()))
+        want, last = [], None
+        for (s, c, at), d in sorted(depth.items()):
+            if last == (s, c, at, d):
+                want[-1] = (*want[-1][:3], at + 1, d)
+            else:
+                want.append((s, c, at, at + 1, d))
+            last = (s, c, at + 1, d)
+        assert got == want and max(e - a for _, _, a, e, _ in got) > 70_000
+        for r in signal.run_statistics(runs).collect():
+            own = [d for (s, _, _), d in depth.items() if s == r.sample]
+            assert (r.bases, r.min, r.max, r["sum"]) == (len(own), min(own), max(own), sum(own)) and abs(r.avg - sum(own) / len(own)) < 1e-9
+
+
 def test_bins_refine_and_unity(spark):
     rows, table = frags(spark)
     fine = signal.bin_signal(table, 5, "frag").withColumn("bin_start", F.col("bin_start") - F.col("bin_start") % 10).groupBy("sample", "chrom", "bin_start").agg(F.sum("signal").alias("x"))
