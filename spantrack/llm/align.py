@@ -180,6 +180,11 @@ def totals(doc: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return sums[bounds[1:]] - sums[bounds[:-1]]
 
 
+def _begins(x: np.ndarray) -> np.ndarray:
+    """Where sorted numbers change."""
+    return np.append(np.ones(min(len(x), 1), bool), x[1:] != x[:-1])
+
+
 class Aligned:
     """Groups as text and sums (tokens of either side, groups, links) of each document, and its links: document, in order, pair, times."""
 
@@ -188,8 +193,10 @@ class Aligned:
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct pairs, and how many of these documents hold each."""
-        held = np.unique(self.key << DOC_BITS | self.doc) >> DOC_BITS
-        return np.unique(held, return_counts=True)
+        held = np.sort(self.key << DOC_BITS | self.doc)
+        held = held[_begins(held)] >> DOC_BITS
+        first = np.flatnonzero(_begins(held))
+        return held[first], np.diff(np.append(first, len(held)))
 
 
 class PerfectHash:

@@ -8,34 +8,41 @@ at the line one length on, and pairs are counted before they are sorted, so that
 line found a million times is one row of the sort. A suffix leaves when its rank is
 its own; doubling goes on until no rank is shared.
 
-At each length, suffixes of equal rank are the intervals of the suffix array whose
-longest common prefix has that many lines or more. The intervals of ``min_lines``
-decide what goes: in each the first place, by doc_id and line, stays, and the union
-of the others' windows along a document is its maximal repeated runs. Longer
-intervals lie within these, so that they delete nothing further; they say how long
-the runs are that a document shares.
+Longest common prefixes then come from the levels by binary descent. All suffixes
+begin as one interval of length 0. At each step, from the longest down, the suffixes
+of an interval that share the rank of that many lines more become an interval of
+their own, which is so much longer; the first of them, by doc_id and line, stays
+behind as its witness, so that shorter common prefixes with what is left are found
+as well. An interval in which a suffix isn't the first place says how many of its
+lines stand earlier, exactly. These are the repeated runs; one that isn't the rest of
+the run a line before is maximal, and is deleted from ``min_lines`` lines or
+``lone_words`` words in its first line on.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spantrack.llm._spark import cut, ranked
 
-MIN_LINES = 2
-#: Words that make one repeated line enough where lone lines count; as many as a passage of ``substrings`` has.
-LONE_WORDS = 13
+#: A run counts from so many lines with a word, and a line of so many words (a passage's length in ``substrings``) counts alone.
+MIN_LINES, LONE_WORDS = 2, 13
 WORD = r"[^\x20\x09-\x0D]"
 
 
+def _rid(doc_id: Column, text: Column) -> Column:
+    """What names a document, in 128 bits of its doc_id and text."""
+    return F.unhex(F.md5(F.concat_ws(":", F.coalesce(doc_id.cast("long").cast("string"), F.lit("-")), F.coalesce(text, F.lit("")))))
+
+
 def _base(docs: DataFrame) -> DataFrame:
-    """(rid, doc_id, lines): rid names a document by doc_id and text, lines are the text's, null for null."""
+    """(rid, doc_id, lines): lines are the text's, null for null."""
     text = F.col("text").cast("string")
-    return docs.select(F.xxhash64(F.col("doc_id").cast("long"), text).alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.split(text, "\n", -1).alias("lines"))
+    return docs.select(_rid(F.col("doc_id"), text).alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.split(text, "\n", -1).alias("lines"))
 
 
-def _positions(base: DataFrame, lone_words: int | None = None) -> DataFrame:
+def _positions(base: DataFrame, lone_words: int | None) -> DataFrame:
     """(rid, doc_id, seq, rank, long) of each line with a word that isn't the only one of its kind; rank sorts the names, long lines have ``lone_words``."""
     space = r"[\x20\x09-\x0D]"
     long = lambda x: x.rlike(rf"^{space}*+(?:{WORD}++{space}++){{{lone_words - 1}}}{WORD}") if lone_words else F.lit(False)
@@ -56,72 +63,98 @@ def _doubled(positions: DataFrame, step: int) -> DataFrame:
     return cut(pairs.join(named, ["rank", "next"]).select("rid", "doc_id", "seq", F.col("longer").alias("rank")))
 
 
-def _later(positions: DataFrame, n: int) -> DataFrame:
-    """(rid, doc_id, seq, n, first_doc_id, first_seq) of all places of a rank but the first; n is the window's length."""
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "rid", "seq")
-    firsts = cut(positions.groupBy("rank").agg(F.min(place).alias("first")))
-    return positions.join(firsts, "rank").where(place > F.col("first")).select("rid", "doc_id", "seq", F.lit(n).alias("n"), F.col("first.doc_id").alias("first_doc_id"), F.col("first.seq").alias("first_seq"))
-
-
-def shared_ranks(base: DataFrame, min_lines: int = MIN_LINES, lone_words: int | None = None, every: bool = False) -> dict[int, DataFrame]:
-    """Length to (rid, doc_id, seq, rank) of the suffixes that share their rank at that length: 1, 2, 4 and so on up to ``min_lines``, or until none does with ``every``."""
+def shared_ranks(base: DataFrame, lone_words: int | None = LONE_WORDS) -> dict[int, DataFrame]:
+    """Length to (rid, doc_id, seq, rank) of the suffixes that share their rank at that length: 1, 2, 4 and so on until none does."""
     ranks, length = {1: _positions(base, lone_words)}, 1
-    while length * 2 <= min_lines or every and not ranks[length].isEmpty():
+    while not ranks[length].isEmpty():
         ranks[length * 2] = _doubled(ranks[length], length)
         length *= 2
-    if min_lines not in ranks:
-        step = 1 << (min_lines.bit_length() - 1)
-        ranks[min_lines] = _doubled(ranks[step], min_lines - step)
     return ranks
 
 
-def later_windows(ranks: dict[int, DataFrame], min_lines: int = MIN_LINES, lone_words: int | None = None) -> DataFrame:
-    """(rid, doc_id, seq, n, first_doc_id, first_seq): where a window of ``min_lines``, or a line of ``lone_words`` or more, repeats an earlier one."""
-    windows = _later(ranks[min_lines], min_lines)
-    return windows.union(_later(ranks[1].where("long"), 1)) if lone_words else windows
-
+def _place() -> Column:
+    """The order of places: by document, null doc_id last, then by line."""
+    return F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "rid", "seq")
 
-def longest_shared(ranks: dict[int, DataFrame]) -> DataFrame:
-    """(rid, shared): the greatest power of two such that a run of so many lines of the document stands at another place too."""
-    levels = [x.select("rid", F.lit(n).cast("long").alias("n")) for n, x in ranks.items() if n & (n - 1) == 0]
-    every = levels[0]
-    for x in levels[1:]:
-        every = every.union(x)
-    return every.groupBy("rid").agg(F.max("n").alias("shared"))
 
+def common_prefixes(ranks: dict[int, DataFrame]) -> DataFrame:
+    """(rid, doc_id, seq, long, shared, earlier): how many lines from each place on stand at another place too, and at an earlier one (0: none).
 
-def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, lone_words: int | None = None) -> DataFrame:
-    """(doc_id, first_line, n_lines): the maximal runs that go, counted over lines with a word from 0.
+    An interval is named by its first place and length. A place belongs to one interval
+    only, apart from witnesses, of which each interval adds one.
+    """
+    none = {"of_rid": F.lit(b""), "of_seq": F.lit(0), "length": F.lit(0)}
+    columns, key = ["rid", "doc_id", "seq"], [*none]
+    left = ranks[1].select(*columns).withColumns(none)
+    found = []
+    for step in sorted((n for n in ranks), reverse=True):
+        if ranks[step].isEmpty():
+            continue
+        ahead = ranks[step].select(F.col("rid").alias("_rid"), F.col("seq").alias("_seq"), "rank")
+        tried = cut(left.join(ahead, (F.col("rid") == F.col("_rid")) & (F.col("seq") + F.col("length") == F.col("_seq")), "left").drop("_rid", "_seq"))
+        some = tried.where("rank IS NOT NULL")
+        longer = cut(some.groupBy(*key, "rank").agg(F.count("*").alias("n"), F.min(_place()).alias("first")).where("n > 1").drop("n"))
+        split = cut(some.join(longer, [*key, "rank"], "left"))  # both sides are read afresh, so that Spark can split a hot rank
+        inner = split.where("first IS NOT NULL").select(*columns, F.col("first.rid").alias("of_rid"), F.col("first.seq").alias("of_seq"), (F.col("length") + step).alias("length"), (_place() != F.col("first")).alias("later"))
+        found.append(inner.select(*columns, "length", "later"))
+        witnesses = longer.select("first.rid", "first.doc_id", "first.seq", *key)
+        outer = [tried.where("rank IS NULL").select(*columns, *key), split.where("first IS NULL").select(*columns, *key), witnesses]
+        left = inner.select(*columns, *key)
+        for x in outer:
+            left = left.unionByName(x)
+    every = ranks[1].select(*columns, F.lit(0).alias("length"), F.lit(False).alias("later"))
+    for x in found:
+        every = every.unionByName(x)
+    best = every.groupBy(*columns).agg(F.max("length").alias("shared"), F.max(F.when(F.col("later"), F.col("length")).otherwise(0)).alias("earlier"))
+    long = ranks[1].select(F.col("rid").alias("_rid"), F.col("seq").alias("_seq"), "long")
+    return cut(best.join(long, (F.col("rid") == F.col("_rid")) & (F.col("seq") == F.col("_seq"))).select(*columns, "long", "shared", "earlier"))
+
+
+def maximal_runs(prefixes: DataFrame, min_lines: int = MIN_LINES, lone_words: int | None = LONE_WORDS) -> DataFrame:
+    """(rid, doc_id, seq, n): the runs of n lines that stand at an earlier place too and aren't the rest of one that begins a line before."""
+    along = Window.partitionBy("rid").orderBy("seq")  # a document's lines
+    rest = (F.lag("seq").over(along) == F.col("seq") - 1) & (F.lag("earlier").over(along) == F.col("earlier") + 1)
+    begins = prefixes.where("earlier > 0").withColumn("_rest", F.coalesce(rest, F.lit(False)))
+    counts = F.col("earlier") >= min_lines
+    # a long line counts alone, also within a run that is too short
+    alone = F.col("long") & ~counts if lone_words else F.lit(False)
+    whole = begins.where(counts & ~F.col("_rest")).select("rid", "doc_id", "seq", F.col("earlier").alias("n"))
+    # the rest of a run that counted may be too short to count, and lies within it
+    return whole.unionByName(begins.where(alone).select("rid", "doc_id", "seq", F.lit(1).alias("n"))) if lone_words else whole
+
+
+def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, lone_words: int | None = LONE_WORDS) -> DataFrame:
+    """(doc_id, first_line, n_lines): the stretches that go, counted over lines with a word from 0.
 
     Null and empty texts have no lines with a word; documents of null doc_id come
     last; repeated rows of one doc_id and text are one document; an empty table gives
     no rows; other columns are not read.
     """
-    covered = later_windows(shared_ranks(_base(docs), min_lines, lone_words), min_lines, lone_words).select("rid", "doc_id", F.explode(F.sequence("seq", F.expr("seq + n - 1"))).alias("seq")).distinct()
+    runs = maximal_runs(common_prefixes(shared_ranks(_base(docs), lone_words)), min_lines, lone_words)
+    covered = runs.select("rid", "doc_id", F.explode(F.sequence("seq", F.expr("seq + n - 1"))).alias("seq")).distinct()
     run = F.col("seq") - F.row_number().over(Window.partitionBy("rid").orderBy("seq"))
     return covered.withColumn("run", run).groupBy("rid", "doc_id", "run").agg(F.min("seq").alias("first_line"), F.count("*").alias("n_lines")).select("doc_id", "first_line", "n_lines")
 
 
-def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, removed: str | None = None, lone_words: int | None = None, shared: str | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, removed: str | None = None, lone_words: int | None = LONE_WORDS, shared: str | None = None) -> DataFrame:
     """``docs`` with the later copies of repeated runs of ``min_lines`` or more lines deleted from text.
 
-    With ``lone_words``, one line of that many words or more is a run as well.
-    Lines without a word take no part and stay; a null text stays null. Documents
-    of null doc_id come after all others. Repeated rows of one doc_id and text are
-    one document and come out alike. Other columns pass through, whatever their
-    names; ``removed`` names a column for the number of lines deleted, ``shared`` one
-    for the greatest power of two such that a run of so many of its lines stands at
-    another place too, in it or in another document (0: no line does).
+    A line of ``lone_words`` words or more is a run as well (None: no line is). Lines
+    without a word take no part and stay; a null text stays null. Documents of null
+    doc_id come after all others. Repeated rows of one doc_id and text are one document
+    and come out alike. Other columns pass through, whatever their names; ``removed``
+    names a column for the number of lines deleted, ``shared`` one for the length of
+    the longest run of its lines that stands at another place too, in it or in another
+    document (0: no line does). A document's lines are handled in one row.
     """
     columns = docs.columns
-    base = _base(docs)
-    ranks = shared_ranks(base, min_lines, lone_words, every=shared is not None)
-    starts = later_windows(ranks, min_lines, lone_words).groupBy("rid").agg(F.collect_set(F.struct("seq", "n")).alias("_starts")).withColumnRenamed("rid", "_rid")
+    prefixes = common_prefixes(shared_ranks(_base(docs), lone_words))
+    starts = maximal_runs(prefixes, min_lines, lone_words).groupBy("rid").agg(F.collect_list(F.struct("seq", "n")).alias("_starts")).withColumnRenamed("rid", "_rid")
     if shared:
-        longest = longest_shared(ranks).withColumnRenamed("rid", "_rid3")
+        longest = prefixes.groupBy(F.col("rid").alias("_rid3")).agg(F.max("shared").cast("long").alias("shared"))
         starts = longest.join(starts, longest._rid3 == starts._rid, "left").select(F.col("_rid3").alias("_rid"), "_starts", "shared")
     text = F.col("text").cast("string")
-    packed = docs.select(F.struct(*[F.lit(None).cast("string").alias(c) if c == "text" else F.col(c) for c in columns]).alias("_row"), F.xxhash64(F.col("doc_id").cast("long"), text).alias("_rid2"), F.split(text, "\n", -1).alias("_lines"))
+    packed = docs.select(F.struct(*[F.lit(None).cast("string").alias(c) if c == "text" else F.col(c) for c in columns]).alias("_row"), _rid(F.col("doc_id"), text).alias("_rid2"), F.split(text, "\n", -1).alias("_lines"))
     joined = packed.join(starts, packed._rid2 == starts._rid, "left")
     every = F.sequence(F.lit(0), F.size("_lines") - 1)
     worded = F.filter(F.transform("_lines", lambda x, i: F.when(x.rlike(WORD), i)), lambda i: i.isNotNull())

@@ -110,18 +110,19 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY own ORDER BY score DESC, v
 FROM s QUALIFY rank <= 5
 """
 
-# Windows of two lines with a word; all but the first of equal windows go. Shared runs: lists of line hashes of 1, 2, 4, ... lines.
+# Windows of two lines with a word, and lines of 13 words or more; all but the first of equal ones go. Shared runs: lists of line hashes of every length.
 LINES = """
 WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS ln FROM d),
 w AS (SELECT doc_id, line, ln, lead(line) OVER o AS nxt, lead(ln) OVER o AS next_ln
       FROM l WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') WINDOW o AS (PARTITION BY doc_id ORDER BY ln)),
 r AS (SELECT *, row_number() OVER (PARTITION BY line, nxt ORDER BY doc_id, ln) AS n FROM w WHERE next_ln IS NOT NULL),
-gone AS (SELECT doc_id, ln FROM r WHERE n > 1 UNION SELECT doc_id, next_ln FROM r WHERE n > 1),
+u AS (SELECT doc_id, ln, row_number() OVER (PARTITION BY line ORDER BY doc_id, ln) AS n FROM w WHERE len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) >= 13),
+gone AS (SELECT doc_id, ln FROM r WHERE n > 1 UNION SELECT doc_id, next_ln FROM r WHERE n > 1 UNION SELECT doc_id, ln FROM u WHERE n > 1),
 k AS (SELECT l.doc_id, string_agg(CASE WHEN g.ln IS NULL THEN l.line END, chr(10) ORDER BY l.ln) AS kept, count(g.ln) AS n
       FROM l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.ln = g.ln GROUP BY l.doc_id),
 a AS (SELECT doc_id, array_agg(hash(line) ORDER BY ln) AS hs FROM w GROUP BY doc_id),
-x AS (SELECT doc_id, n, list_slice(hs, i + 1, i + n) AS run FROM (SELECT doc_id, hs, n, unnest(range(len(hs) - n + 1)) AS i FROM (SELECT doc_id, hs, unnest(list_transform(range(20), lambda e: CAST(pow(2, e) AS BIGINT))) AS n FROM a) WHERE n <= len(hs))),
+x AS (SELECT doc_id, n, list_slice(hs, i + 1, i + n) AS run FROM (SELECT doc_id, hs, n, unnest(range(len(hs) - n + 1)) AS i FROM (SELECT doc_id, hs, unnest(range(1, len(hs) + 1)) AS n FROM a))),
 y AS (SELECT n, run FROM x GROUP BY n, run HAVING count(*) > 1),
 z AS (SELECT doc_id, max(n) AS shared_lines FROM x JOIN y USING (n, run) GROUP BY doc_id)
 SELECT d.doc_id, CAST(coalesce(k.n, 0) AS BIGINT) AS n_removed, CAST(coalesce(z.shared_lines, 0) AS BIGINT) AS shared_lines,
