@@ -1,24 +1,26 @@
-"""Near copies by the exact Jaccard similarity of shingle sets, complete at a threshold.
-
-SimHash is too coarse for this: at similarity 0.8 two fingerprints differ in about
-10 of 64 bits, give or take 3, no radius is sure to reach all, and at such a radius
-the bit counts of segments rule out next to nothing. So the pairs that are compared
-come from a prefix filter. Shingles are ordered by the number of documents that hold
-them, rarest first. A set of n shingles that is similar to another at t or more
-shares at least t n of them, so the two meet in its first n - ceil(t n) + 1 shingles;
-in the smaller set of the two, the first n - ceil(2 t n / (1 + t)) + 1 are enough. A
-shingle of one document meets none but takes its place in the prefix, which leaves
-few documents and only shared shingles.
+"""Near copies by SimHash over segment popcounts, and what that misses, verified by exact Jaccard similarity.
+
+Sets of shingles are candidates of each other where their SimHash fingerprints, over
+these shingles, differ in 2 or fewer of 64 bits: ``simhash``'s grid of segment popcounts
+finds those. Every candidate is verified exactly. But SimHash is coarse: at similarity
+0.8 two fingerprints differ in about 10 bits, give or take 3, no radius is sure to reach
+all, and at such a radius the bit counts of segments rule out next to nothing. So what
+it misses comes from a prefix filter, which is complete. Shingles are ordered by the
+number of documents that hold them, rarest first. A set of n shingles that is similar
+to another at t or more shares at least t n of them, so the two meet in its first
+n - ceil(t n) + 1 shingles; in the smaller set of the two, the first
+n - ceil(2 t n / (1 + t)) + 1 are enough. A shingle of one document meets none but takes
+its place in the prefix, which leaves few documents and only shared shingles.
 
 Two lower bounds of the difference pass over most pairs that meet, both exact: the
 places at which they meet first, and the Hamming distance of parity fingerprints of
 512 bits, in which each shingle flips one bit. What is left is verified exactly.
 
-Only components are wanted. A first round verifies each document against one of those
-that it meets in a shingle. A second one takes the pairs that lie in different
-components still: for a shingle, documents of its most frequent component are
-compared with the others only, so that a large group of near copies costs its size
-and not its square.
+Only components are wanted. A first round verifies the SimHash candidates, and each
+document against one of those that it meets in a shingle. A second one takes the pairs
+that lie in different components still: for a shingle, documents of its most frequent
+component are compared with the others only, so that a large group of near copies costs
+its size and not its square.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ from pyspark.sql import functions as F
 
 from spantrack.llm._spark import cut, only, python_ready
 from spantrack.llm.simhash import SEED, components, identified, with_components
+from spantrack.llm.simhash import links as simhash_links
 
 SHINGLE_WORDS, PERCENT = 5, 80
 #: Words of 64 bits in a parity fingerprint.
@@ -57,8 +60,14 @@ def parity(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def simhash_of(hashes: np.ndarray) -> int:
+    """The set's SimHash, as a signed number: a bit is set where over half of the hashes have it."""
+    ones = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big", signed=True)
+
+
 def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
-    """(row, doc_id, text_hash, fp, bits, hashes) of every document; row numbers the rows, fp names the set by 128 bits, hashes are in two arrays by value."""
+    """(row, doc_id, text_hash, fp, sim, bits, hashes) of every document; row numbers the rows, fp names the set by 128 bits, sim is its SimHash, hashes are in two arrays by value."""
     edge = np.uint64(FIRST_SLICE * 2**64)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,10 +80,11 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
             slices = pa.ListArray.from_arrays(inner, np.concatenate([np.empty(0, np.uint64), *got]).view(np.int64))
             hashes = pa.ListArray.from_arrays(np.arange(len(got) + 1, dtype=np.int32) * 2, slices)
             bits = pa.ListArray.from_arrays(np.arange(len(got) + 1, dtype=np.int32) * BIT_WORDS, np.concatenate([np.empty(0, np.int64), *map(parity, got)]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), names, bits, hashes], ["doc_id", "text_hash", "fp", "bits", "hashes"])
+            sims = pa.array([simhash_of(x) for x in got], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), names, sims, bits, hashes], ["doc_id", "text_hash", "fp", "sim", "bits", "hashes"])
 
     python_ready(docs.sparkSession)
-    found = identified(docs).mapInArrow(sets, "doc_id long, text_hash long, fp binary, bits array<long>, hashes array<array<long>>")
+    found = identified(docs).mapInArrow(sets, "doc_id long, text_hash long, fp binary, sim long, bits array<long>, hashes array<array<long>>")
     return cut(found.withColumn("row", F.monotonically_increasing_id()))
 
 
@@ -91,24 +101,24 @@ def _sliced(left: DataFrame, part: DataFrame, i: int, percent: int) -> DataFrame
     every = part.select("row", F.explode("part").alias("h"))
     counts = cut(every.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"))  # both sides of the join are read afresh, so that Spark can split a hot shingle
     more = every.join(counts, "h").groupBy("row").agg(F.collect_list(F.struct("df", "h")).alias("more"))
-    found = left.join(more, "row", "left").selectExpr("row", "fp", "bits", "sizes", "n", "own", "shared", f"coalesce(more, {NO_SHINGLES}) AS more")
-    found = found.selectExpr("row", "fp", "bits", "sizes", "n", f"own + sizes[{i}] - size(more) AS own", "concat(shared, more) AS shared")
+    found = left.join(more, "row", "left").selectExpr("row", "fp", "sim", "bits", "sizes", "n", "own", "shared", f"coalesce(more, {NO_SHINGLES}) AS more")
+    found = found.selectExpr("row", "fp", "sim", "bits", "sizes", "n", f"own + sizes[{i}] - size(more) AS own", "concat(shared, more) AS shared")
     return found.where(F.col("own") < _least_shared("n", percent, 100))
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(node, fp, n, own, bits, probe, index) of sets that can have a partner: size, number of shingles that are theirs alone, and the shared ones of both prefixes.
+    """(node, fp, sim, n, own, bits, probe, index) of sets that can have a partner: size, number of shingles that are theirs alone, and the shared ones of both prefixes.
 
     The hashes' range is counted in two parts. A set leaves as soon as more of its
     shingles than a partner can lack are its own, and isn't counted in the second.
     Sets found more than once count as often, so that they stay; then one of them goes on.
     """
-    first = sets.select("row", "fp", "bits", F.transform("hashes", F.size).alias("sizes")).selectExpr("row", "fp", "bits", "sizes", "sizes[0] + sizes[1] AS n", "0 AS own", f"{NO_SHINGLES} AS shared")
+    first = sets.select("row", "fp", "sim", "bits", F.transform("hashes", F.size).alias("sizes")).selectExpr("row", "fp", "sim", "bits", "sizes", "sizes[0] + sizes[1] AS n", "0 AS own", f"{NO_SHINGLES} AS shared")
     left = cut(_sliced(first, sets.select("row", F.col("hashes")[0].alias("part")), 0, percent))
     rest = cut(only(sets.select("row", F.col("hashes")[1].alias("part")), left.select("row"), "row"))
     left = _sliced(left, rest, 1, percent)
     fits = left.withColumns({"p": _least_shared("n", percent, 100), "i": _least_shared("n", 2 * percent, 100 + percent), "shared": F.expr("transform(array_sort(shared), x -> x.h)")})
-    return cut(fits.selectExpr("row AS node", "fp", "n", "own", "bits", "slice(shared, 1, p - own) AS probe", "slice(shared, 1, greatest(i - own, 0)) AS index").dropDuplicates(["fp"]))
+    return cut(fits.selectExpr("row AS node", "fp", "sim", "n", "own", "bits", "slice(shared, 1, p - own) AS probe", "slice(shared, 1, greatest(i - own, 0)) AS index").dropDuplicates(["fp"]))
 
 
 def _entries(prefixes: DataFrame, which: str, name: str) -> DataFrame:
@@ -135,6 +145,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.where(f"100 * met >= {percent} * (size(a_hashes) + size(b_hashes) - met)").select(F.col("a").alias("fp"), F.col("b").alias("to"))
 
 
+def _simhash_pairs(prefixes: DataFrame) -> DataFrame:
+    """Pairs of sets whose SimHashes link: each with the first set of its fingerprint, and the first sets of linked fingerprints."""
+    firsts = cut(prefixes.groupBy("sim").agg(F.min("node").alias("first")))
+    alike = prefixes.join(firsts, "sim").where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    one, two = (firsts.select(F.col("sim").alias(c), F.col("first").alias(x)) for c, x in (("fp", "a"), ("to", "b")))
+    return alike.unionByName(simhash_links(firsts.select(F.col("sim").alias("fp"))).join(one, "fp").join(two, "to").select("a", "b"))
+
+
 def _stars(prefixes: DataFrame, percent: int) -> DataFrame:
     """Pairs of each document and, for each shingle of its prefix, the one with fewest shingles of its own."""
     probe, index = _entries(prefixes, "probe", "a"), _entries(prefixes, "index", "b")
@@ -159,7 +177,7 @@ def near(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT) -> tup
     prefixes = _prefixes(sets, percent)
     found = cut(only(sets, prefixes.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), F.flatten("hashes").alias("hashes")))
     alone = prefixes.withColumn("root", F.col("node"))
-    stars = cut(_verified(_stars(alone, percent), found, percent))
+    stars = cut(_verified(_simhash_pairs(prefixes).unionByName(_stars(alone, percent)), found, percent))
     roots = cut(components(stars))
     rooted = cut(prefixes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     links = _verified(_rest(rooted, percent), found, percent)

@@ -1,6 +1,8 @@
 import random
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from spantrack.llm import jaccard
 from tests.llm.docs import frame
 
@@ -72,3 +74,33 @@ def test_group_around_a_hub(spark):
 
 def test_no_documents(spark):
     assert jaccard.near_copies(frame(spark, [])).count() == 0
+
+
+def test_simhash_finds_candidates(spark):
+    """Pairs by SimHash: those whose fingerprints over the shingles differ in 2 bits or fewer are connected, and no others."""
+    texts = {i: x for i, x in near_texts().items() if x}
+    docs = frame(spark, [(i, x, *[None] * 7) for i, x in texts.items()])
+    sets = jaccard.shingle_sets(docs, 5).select(F.col("row").alias("node"), "sim", "doc_id")
+    sims = {r.node: r.sim for r in sets.collect()}
+    root = {x: x for x in sims}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for r in jaccard._simhash_pairs(sets).collect():
+        root[find(r.a)] = find(r.b)
+    near = {a: {b for b in sims if bin((sims[a] ^ sims[b]) & (1 << 64) - 1).count("1") <= 2} for a in sims}
+    assert all(find(a) == find(b) for a in sims for b in near[a]) and sum(len(x) > 1 for x in near.values()) > 40
+    classes = {}
+    for x in sims:
+        classes.setdefault(find(x), set()).add(x)
+    for members in classes.values():  # nothing is connected but over links
+        seen, todo = set(), [next(iter(members))]
+        while todo:
+            x = todo.pop()
+            if x not in seen:
+                seen.add(x)
+                todo += near[x]
+        assert seen == members

@@ -1,8 +1,9 @@
+import random
 from collections import Counter
 
 import corpus_pipeline
 from spantrack.llm import mixing, quality
-from tests.llm import test_lines, test_mixing, test_simhash
+from tests.llm import test_jaccard, test_lines, test_mixing
 from tests.llm.docs import documents
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -11,14 +12,19 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 def brute(rows):
     """(doc_id, text, source) of what the first three stages keep."""
     good = [r for r in rows if not any(rule.rejects(quality.Measures((r[1] or "").encode())) for rule in quality.RULES)]
-    left = [(max(i, 0), x) for i, x in test_lines.brute(good, 2) if x.encode().split()]  # brute writes doc_id 0 as -1
-    roots = test_simhash.brute_components({i: test_simhash.brute_fingerprint(x) for i, x in left})
+    left = [(max(i, 0), x) for i, x in dict.fromkeys(test_lines.brute(good, 2)) if x.encode().split()]  # brute writes doc_id 0 as -1
+    roots, _ = test_jaccard.brute_components(dict(left))
     source = {r[0]: r[3] for r in rows}
     return {i: (x, source[i]) for i, x in left if roots[i] == i}
 
 
 def test_run(spark, tmp_path):
     rows = [r[:5] for r in documents(160, 12)]
+    rng = random.Random(7)
+    for i in range(1000, 1030):  # near copies by shared shingles; most of their fingerprints differ in more than 2 bits
+        text = [f"n{rng.randrange(900)}" for _ in range(120)]
+        other = [*text[:50], "changed", *text[51:]] if i % 2 else [*text[:40], "x", "y", *text[70:]]
+        rows += [(i, " ".join(text), "en", "s1", 9), (i + 100, " ".join(other), "en", "s2", 9)]
     spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     want = brute(rows)
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
