@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spantrack.llm._spark import cut, numbered, ranked
+from spantrack.llm._spark import FEW_IDS, cut, numbered, ranked
 
 WEIGHTS = (3, 1, 2)
 #: Percent of all words that the mix holds, and how often a source may be repeated.
@@ -92,7 +92,8 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: int = SHAR
     shards = F.ceil(F.col("source_size") / shard_words).cast("long")
     order = F.xxhash64(F.lit(seed), "doc_id", "text_hash")
     order = F.when(F.col("copy") > 0, F.xxhash64(order, "copy")).otherwise(order)
-    dealt = sized.join(by_source, sized.source.eqNullSafe(by_source.source)).drop(by_source.source)
+    known = F.broadcast(by_source) if by_source.count() <= FEW_IDS else by_source  # a row per source: documents stay where they are
+    dealt = sized.join(known, sized.source.eqNullSafe(known.source)).drop(known.source)
     dealt = dealt.withColumn("_order", order).withColumn("shard", F.when(F.col("size") > 0, F.pmod(F.xxhash64(F.lit(seed + 1), "_order"), shards)))
     rings = dealt.where("shard IS NOT NULL").groupBy("place", "shard", "blocks").agg(F.sum("size").alias("shard_size"))
     quotas = apportion(rings, "place", "shard", "shard_size", "blocks").select(F.col("place").alias("_p"), F.col("shard").alias("_s"), "shard_size", "quota")
