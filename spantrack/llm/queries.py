@@ -173,5 +173,29 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(
 """
 
 
+# Leaves by lang in order of doc_id, then every level of both trees; a proof's siblings with their side, folded from the leaf up.
+_FIELDS = "d.doc_id", "d.source", "d.lang", "{n_chars}", "d.text"
+_LEAF = "sha256(" + " || ".join(f"coalesce(strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR), '-')" for x in _FIELDS) + ")"
+_CRC = "xor(list_reduce(list_transform(string_split(CAST(d.doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)), lambda crc, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, xor(crc, b)), 4294967295), 4294967295)"
+MANIFEST = f"""
+WITH RECURSIVE l AS (SELECT doc_id, coalesce('+' || lang, '') AS g, {_LEAF.format(n_chars="d.n_chars")} AS leaf,
+   CASE WHEN {_CRC} % 7 = 0 AND n_chars IS NOT NULL THEN {_LEAF.format(n_chars="(d.n_chars + 1)")} END AS changed FROM documents d),
+p AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM l),
+t AS (SELECT g, 0 AS lev, pos, n AS m, leaf AS h FROM p
+      UNION ALL SELECT g, lev + 1, pos // 2, (m + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM t WHERE m > 1 GROUP BY g, lev, pos // 2, m),
+s AS (SELECT g, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM t WHERE m = 1),
+u AS (SELECT 0 AS lev, pos, n AS m, subroot AS h FROM s
+      UNION ALL SELECT lev + 1, pos // 2, (m + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM u WHERE m > 1 GROUP BY lev, pos // 2, m),
+lower AS (SELECT p.g, p.pos, list(CASE WHEN o.h IS NULL THEN 'n' WHEN o.pos % 2 = 0 THEN 'l' || o.h ELSE 'r' || o.h END ORDER BY a.lev) AS way
+      FROM p JOIN (SELECT DISTINCT g, lev FROM t WHERE m > 1) a ON a.g = p.g LEFT JOIN t o ON o.g = p.g AND o.lev = a.lev AND o.pos = xor(p.pos // CAST(pow(2, a.lev) AS BIGINT), 1) GROUP BY p.g, p.pos),
+upper AS (SELECT s.g, list(CASE WHEN o.h IS NULL THEN 'n' WHEN o.pos % 2 = 0 THEN 'l' || o.h ELSE 'r' || o.h END ORDER BY a.lev) AS way
+      FROM s JOIN (SELECT DISTINCT lev FROM u WHERE m > 1) a ON TRUE LEFT JOIN u o ON o.lev = a.lev AND o.pos = xor(s.pos // CAST(pow(2, a.lev) AS BIGINT), 1) GROUP BY s.g),
+w AS (SELECT p.*, s.subroot, (SELECT h FROM u WHERE m = 1) AS root, coalesce(lower.way, []) || coalesce(upper.way, []) AS way
+      FROM p JOIN s USING (g) LEFT JOIN lower ON lower.g = p.g AND lower.pos = p.pos LEFT JOIN upper ON upper.g = p.g),
+f AS (SELECT *, list_reduce(way, lambda x, o: sha256(CASE o[1] WHEN 'l' THEN o[2:] || x WHEN 'r' THEN x || o[2:] ELSE x END), coalesce(changed, leaf)) AS folded_root FROM w)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(way, lambda o: o[2:]), '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM f
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_topk": TOP_K, "op5_chat": CHAT, "op7_lines": LINES, "op8_quality": QUALITY, "op9_substrings": PASSAGES}
+    return {"op12_manifest": MANIFEST, "op4_topk": TOP_K, "op5_chat": CHAT, "op7_lines": LINES, "op8_quality": QUALITY, "op9_substrings": PASSAGES}
