@@ -202,7 +202,11 @@ def _with(batch: pa.RecordBatch, added: dict[str, list[bytes]]) -> pa.RecordBatc
 
 
 def decode(encoded: DataFrame, path: str = VOCABULARY, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """``encoded`` with column ``out``: the bytes that its ids stand for; null ids give no bytes."""
+    """``encoded`` with column ``out``: the bytes that its ids stand for.
+
+    Null and empty ids give no bytes; repeated rows are decoded alike; an empty table
+    gives no rows; other columns pass through, but one of the name ``out`` is replaced.
+    """
     python_ready(encoded.sparkSession)
     content, encoded = _content(encoded, path), encoded.drop(out)
     schema = encoded.withColumn(out, F.lit(b"")).schema

@@ -253,7 +253,12 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
-    """A model from the windows of the ``sample_rows`` documents of least hash; None where the patterns find nothing there."""
+    """A model from the windows of the ``sample_rows`` documents of least hash; None where the patterns find nothing there.
+
+    A document gives DOC_WINDOWS windows at most. Null and empty texts have no windows;
+    repeated rows of one doc_id and text are one document; an empty table gives None;
+    other columns are not read.
+    """
     python_ready(docs.sparkSession)
     hashed = docs.select(F.xxhash64("doc_id", "text").alias("h"), F.col("text").cast("string").alias("text"))
     least = hashed.select("h").orderBy("h").limit(sample_rows)

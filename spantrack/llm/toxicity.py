@@ -150,7 +150,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> C
     """A chain from ``sample_rows`` labelled documents at most; None where their labels are all alike.
 
     Features are the terms that best tell toxic from other documents, by the
-    log-likelihood ratio of their counts, which are made in Spark.
+    log-likelihood ratio of their counts, which are made in Spark. Labels that are null
+    or of no document take no part; a null or empty text has no terms and trains as such;
+    of rows of one doc_id one text trains; empty tables give None; other columns are not
+    read.
     """
     python_ready(docs.sparkSession)
     sample = cut(_sample(docs, labels, sample_rows))
