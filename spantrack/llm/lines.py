@@ -51,24 +51,26 @@ def _positions(base: DataFrame, lone_words: int | None) -> DataFrame:
     lines = cut(names.select("rid", "doc_id", F.posexplode("names").alias("seq", "name")).select("rid", "doc_id", "seq", "name.h", "name.c", "name.long"))
     repeated = lines.groupBy("h", "c").agg(F.count("*").alias("n")).where("n > 1")
     names = cut(ranked(repeated, [F.col("h"), F.col("c")], "rank", "n"))  # both sides of the join are read afresh, so that Spark can split a hot name
-    return cut(lines.join(names, ["h", "c"]).select("rid", "doc_id", "seq", "rank", "long"))
+    return cut(lines.join(names, ["h", "c"]).select("rid", "doc_id", "seq", F.lit(1).alias("length"), "rank", "long"))
 
 
-def _doubled(positions: DataFrame, step: int) -> DataFrame:
-    """Ranks over ``step`` more lines; what isn't repeated at that length leaves."""
-    ahead = positions.select("rid", (F.col("seq") - step).alias("seq"), F.col("rank").alias("next"))
+def _doubled(positions: DataFrame) -> DataFrame:
+    """Ranks over twice as many lines; what isn't repeated at that length leaves.
+
+    The length is a column, so that every level runs the same compiled code.
+    """
+    ahead = positions.select("rid", (F.col("seq") - F.col("length")).alias("seq"), F.col("rank").alias("next"))
     pairs = cut(positions.join(ahead, ["rid", "seq"]))
     repeated = pairs.groupBy("rank", "next").agg(F.count("*").alias("n")).where("n > 1")
-    named = cut(ranked(repeated, [F.col("rank"), F.col("next")], "longer", "n"))
-    return cut(pairs.join(named, ["rank", "next"]).select("rid", "doc_id", "seq", F.col("longer").alias("rank")))
+    named = ranked(repeated, [F.col("rank"), F.col("next")], "longer", "n")
+    return cut(pairs.join(named, ["rank", "next"]).select("rid", "doc_id", "seq", (F.col("length") * 2).alias("length"), F.col("longer").alias("rank")))
 
 
-def shared_ranks(base: DataFrame, lone_words: int | None = LONE_WORDS) -> dict[int, DataFrame]:
-    """Length to (rid, doc_id, seq, rank) of the suffixes that share their rank at that length: 1, 2, 4 and so on until none does."""
-    ranks, length = {1: _positions(base, lone_words)}, 1
-    while not ranks[length].isEmpty():
-        ranks[length * 2] = _doubled(ranks[length], length)
-        length *= 2
+def shared_ranks(base: DataFrame, lone_words: int | None = LONE_WORDS) -> list[DataFrame]:
+    """(rid, doc_id, seq, length, rank) of the suffixes that share their rank, for lengths 1, 2, 4 and so on until none does."""
+    ranks = [_positions(base, lone_words)]
+    while not (longer := _doubled(ranks[-1])).isEmpty():
+        ranks.append(longer)
     return ranks
 
 
@@ -77,7 +79,7 @@ def _place() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "rid", "seq")
 
 
-def common_prefixes(ranks: dict[int, DataFrame]) -> DataFrame:
+def common_prefixes(ranks: list[DataFrame]) -> DataFrame:
     """(rid, doc_id, seq, long, shared, earlier): how many lines from each place on stand at another place too, and at an earlier one (0: none).
 
     An interval is named by its first place and length. A place belongs to one interval
@@ -85,28 +87,22 @@ def common_prefixes(ranks: dict[int, DataFrame]) -> DataFrame:
     """
     none = {"of_rid": F.lit(b""), "of_seq": F.lit(0), "length": F.lit(0)}
     columns, key = ["rid", "doc_id", "seq"], [*none]
-    left = ranks[1].select(*columns).withColumns(none)
-    found = []
-    for step in sorted((n for n in ranks), reverse=True):
-        if ranks[step].isEmpty():
-            continue
-        ahead = ranks[step].select(F.col("rid").alias("_rid"), F.col("seq").alias("_seq"), "rank")
+    left = ranks[0].select(*columns).withColumns(none)
+    every = ranks[0].select(*columns, F.lit(0).alias("length"), F.lit(False).alias("later"))
+    for level in reversed(ranks):
+        ahead = level.select(F.col("rid").alias("_rid"), F.col("seq").alias("_seq"), F.col("length").alias("step"), "rank")
         tried = cut(left.join(ahead, (F.col("rid") == F.col("_rid")) & (F.col("seq") + F.col("length") == F.col("_seq")), "left").drop("_rid", "_seq"))
         some = tried.where("rank IS NOT NULL")
         longer = cut(some.groupBy(*key, "rank").agg(F.count("*").alias("n"), F.min(_place()).alias("first")).where("n > 1").drop("n"))
         split = cut(some.join(longer, [*key, "rank"], "left"))  # both sides are read afresh, so that Spark can split a hot rank
-        inner = split.where("first IS NOT NULL").select(*columns, F.col("first.rid").alias("of_rid"), F.col("first.seq").alias("of_seq"), (F.col("length") + step).alias("length"), (_place() != F.col("first")).alias("later"))
-        found.append(inner.select(*columns, "length", "later"))
+        inner = split.where("first IS NOT NULL").select(*columns, F.col("first.rid").alias("of_rid"), F.col("first.seq").alias("of_seq"), (F.col("length") + F.col("step")).alias("length"), (_place() != F.col("first")).alias("later"))
+        every = every.unionByName(inner.select(*columns, "length", "later"))
         witnesses = longer.select("first.rid", "first.doc_id", "first.seq", *key)
-        outer = [tried.where("rank IS NULL").select(*columns, *key), split.where("first IS NULL").select(*columns, *key), witnesses]
         left = inner.select(*columns, *key)
-        for x in outer:
-            left = left.unionByName(x)
-    every = ranks[1].select(*columns, F.lit(0).alias("length"), F.lit(False).alias("later"))
-    for x in found:
-        every = every.unionByName(x)
+        for x in (tried.where("rank IS NULL"), split.where("first IS NULL"), witnesses):
+            left = left.unionByName(x.select(*columns, *key))
     best = every.groupBy(*columns).agg(F.max("length").alias("shared"), F.max(F.when(F.col("later"), F.col("length")).otherwise(0)).alias("earlier"))
-    long = ranks[1].select(F.col("rid").alias("_rid"), F.col("seq").alias("_seq"), "long")
+    long = ranks[0].select(F.col("rid").alias("_rid"), F.col("seq").alias("_seq"), "long")
     return cut(best.join(long, (F.col("rid") == F.col("_rid")) & (F.col("seq") == F.col("_seq"))).select(*columns, "long", "shared", "earlier"))
 
 
