@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Sequence
 from pathlib import Path
@@ -69,6 +70,18 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as a table written to the shared folder and read from there.
+
+    Unlike a checkpoint it is made once and knows nothing of the plan it came from: what
+    the optimizer inferred for that one, which grows from level to level of a loop, is
+    gone. Rows may come in another order and in other partitions.
+    """
+    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def free_name(name: str, taken: Sequence[str]) -> str:
     """``name``, with as many underscores in front as set it apart from ``taken`` (whatever the case)."""
     used = {x.lower() for x in taken}

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spantrack.llm._spark import cut, ranked
+from spantrack.llm._spark import ranked, stored
 
 #: A run counts from so many lines with a word, and a line of so many words (a passage's length in ``substrings``) counts alone.
 MIN_LINES, LONE_WORDS = 2, 13
@@ -48,10 +48,10 @@ def _positions(base: DataFrame, lone_words: int | None) -> DataFrame:
     long = lambda x: x.rlike(rf"^{space}*+(?:{WORD}++{space}++){{{lone_words - 1}}}{WORD}") if lone_words else F.lit(False)
     words = F.filter("lines", lambda x: x.rlike(WORD))
     names = base.select("rid", "doc_id", F.transform(words, lambda x: F.struct(F.xxhash64(x).alias("h"), F.hash(x).alias("c"), long(x).alias("long"))).alias("names")).dropDuplicates(["rid"])
-    lines = cut(names.select("rid", "doc_id", F.posexplode("names").alias("seq", "name")).select("rid", "doc_id", "seq", "name.h", "name.c", "name.long"))
+    lines = stored(names.select("rid", "doc_id", F.posexplode("names").alias("seq", "name")).select("rid", "doc_id", "seq", "name.h", "name.c", "name.long"))
     repeated = lines.groupBy("h", "c").agg(F.count("*").alias("n")).where("n > 1")
-    names = cut(ranked(repeated, [F.col("h"), F.col("c")], "rank", "n"))  # both sides of the join are read afresh, so that Spark can split a hot name
-    return cut(lines.join(names, ["h", "c"]).select("rid", "doc_id", "seq", F.lit(1).alias("length"), "rank", "long"))
+    names = stored(ranked(repeated, [F.col("h"), F.col("c")], "rank", "n"))  # both sides of the join are read afresh, so that Spark can split a hot name
+    return stored(lines.join(names, ["h", "c"]).select("rid", "doc_id", "seq", F.lit(1).alias("length"), "rank", "long"))
 
 
 def _doubled(positions: DataFrame) -> DataFrame:
@@ -60,10 +60,10 @@ def _doubled(positions: DataFrame) -> DataFrame:
     The length is a column, so that every level runs the same compiled code.
     """
     ahead = positions.select("rid", (F.col("seq") - F.col("length")).alias("seq"), F.col("rank").alias("next"))
-    pairs = cut(positions.join(ahead, ["rid", "seq"]))
+    pairs = stored(positions.join(ahead, ["rid", "seq"]))
     repeated = pairs.groupBy("rank", "next").agg(F.count("*").alias("n")).where("n > 1")
     named = ranked(repeated, [F.col("rank"), F.col("next")], "longer", "n")
-    return cut(pairs.join(named, ["rank", "next"]).select("rid", "doc_id", "seq", (F.col("length") * 2).alias("length"), F.col("longer").alias("rank")))
+    return stored(pairs.join(named, ["rank", "next"]).select("rid", "doc_id", "seq", (F.col("length") * 2).alias("length"), F.col("longer").alias("rank")))
 
 
 def shared_ranks(base: DataFrame, lone_words: int | None = LONE_WORDS) -> list[DataFrame]:
@@ -91,10 +91,10 @@ def common_prefixes(ranks: list[DataFrame]) -> DataFrame:
     every = ranks[0].select(*columns, F.lit(0).alias("length"), F.lit(False).alias("later"))
     for level in reversed(ranks):
         ahead = level.select(F.col("rid").alias("_rid"), F.col("seq").alias("_seq"), F.col("length").alias("step"), "rank")
-        tried = cut(left.join(ahead, (F.col("rid") == F.col("_rid")) & (F.col("seq") + F.col("length") == F.col("_seq")), "left").drop("_rid", "_seq"))
+        tried = stored(left.join(ahead, (F.col("rid") == F.col("_rid")) & (F.col("seq") + F.col("length") == F.col("_seq")), "left").drop("_rid", "_seq"))
         some = tried.where("rank IS NOT NULL")
-        longer = cut(some.groupBy(*key, "rank").agg(F.count("*").alias("n"), F.min(_place()).alias("first")).where("n > 1").drop("n"))
-        split = cut(some.join(longer, [*key, "rank"], "left"))  # both sides are read afresh, so that Spark can split a hot rank
+        longer = stored(some.groupBy(*key, "rank").agg(F.count("*").alias("n"), F.min(_place()).alias("first")).where("n > 1").drop("n"))
+        split = stored(some.join(longer, [*key, "rank"], "left"))  # both sides are read afresh, so that Spark can split a hot rank
         inner = split.where("first IS NOT NULL").select(*columns, F.col("first.rid").alias("of_rid"), F.col("first.seq").alias("of_seq"), (F.col("length") + F.col("step")).alias("length"), (_place() != F.col("first")).alias("later"))
         every = every.unionByName(inner.select(*columns, "length", "later"))
         witnesses = longer.select("first.rid", "first.doc_id", "first.seq", *key)
@@ -103,7 +103,7 @@ def common_prefixes(ranks: list[DataFrame]) -> DataFrame:
             left = left.unionByName(x.select(*columns, *key))
     best = every.groupBy(*columns).agg(F.max("length").alias("shared"), F.max(F.when(F.col("later"), F.col("length")).otherwise(0)).alias("earlier"))
     long = ranks[0].select(F.col("rid").alias("_rid"), F.col("seq").alias("_seq"), "long")
-    return cut(best.join(long, (F.col("rid") == F.col("_rid")) & (F.col("seq") == F.col("_seq"))).select(*columns, "long", "shared", "earlier"))
+    return stored(best.join(long, (F.col("rid") == F.col("_rid")) & (F.col("seq") == F.col("_seq"))).select(*columns, "long", "shared", "earlier"))
 
 
 def maximal_runs(prefixes: DataFrame, min_lines: int = MIN_LINES, lone_words: int | None = LONE_WORDS) -> DataFrame:
