@@ -99,9 +99,9 @@ def relative(samples: DataFrame, factor: str | None = None, include_input: bool
     if factor is None:
         raise ValueError("neither alpha nor sf is a column")
     is_input = F.col("sample").startswith("in_")
-    largest = samples.where(~is_input).agg(F.max(factor).alias("_max"))  # one row
-    value = F.bround(F.col(factor) / F.nullif(F.col("_max"), F.lit(0.0)), digits)
-    out = samples.crossJoin(F.broadcast(largest)).withColumn("scaled", value if include_input else F.when(is_input, 1.0).otherwise(value))
+    largest = samples.where(~is_input).agg(F.max(F.col(factor).cast("double"))).first()[0]  # one number, found here
+    value = F.bround(F.col(factor) / F.lit(largest or None).cast("double"), digits)
+    out = samples.withColumn("scaled", value if include_input else F.when(is_input, 1.0).otherwise(value))
     at = samples.columns.index(factor) + 1
     return out.select(*samples.columns[:at], "scaled", *samples.columns[at:])
 

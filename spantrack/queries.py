@@ -16,6 +16,7 @@ from spantrack.functions.scalars import fixed, roman_number
 from spantrack.operators import factors, fragments, genome, matching, ratio, signal
 from spantrack.plans import samples as plans
 from spantrack.sources import folders, readers, tracks, views, writers
+from spantrack.streaming import tracks as streamed
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
@@ -694,6 +695,17 @@ def coverage_stats(spark, sf_dir):
     return signal.run_statistics(signal.coverage_runs(_fragments(spark, sf_dir)), ("sample", "chrom")).withColumn("avg", F.round("avg", 6))
 
 
+@query(f"WITH {_track(30, 'norm')} SELECT {TRACK}, round(signal * 1e6, 3) AS signal FROM track")
+def signal_streamed(spark, sf_dir):
+    """A normalised track over alignments that arrive in files, a few a batch, as sums of the batches' bins."""
+    path = _written(spark, "stream")
+    aligned = _aligned(spark, sf_dir)
+    aligned.repartition(9).write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(aligned.schema).option("maxFilesPerTrigger", 3).parquet(f"{path}/in")
+    streamed.start(stream, views.contigs(spark), f"{path}/out", f"{path}/state", 30, until_done=True).awaitTermination()
+    return streamed.track(spark, f"{path}/out", normalised=True).withColumn("signal", F.round(F.col("signal") * 1e6, 3))
+
+
 ROMAN_PLACE = f"coalesce(list_position({_list(views.MAIN)}, chrom), 99), chrom, bin_start"
 
 

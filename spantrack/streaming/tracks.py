@@ -15,8 +15,8 @@ from spantrack.operators.fragments import fragments
 from spantrack.operators.signal import bin_signal
 
 
-def start(alignments: DataFrame, contigs: DataFrame, path: str, checkpoint: str, width: int = 10, method: str = "frag") -> StreamingQuery:
-    """Write the bins of each batch of a stream of alignments under ``path``; a batch that is run again replaces itself."""
+def start(alignments: DataFrame, contigs: DataFrame, path: str, checkpoint: str, width: int = 10, method: str = "frag", until_done: bool = False) -> StreamingQuery:
+    """Write the bins of each batch of a stream of alignments under ``path``; a batch that is run again replaces itself. With ``until_done`` the stream ends once it has taken what is there."""
     if method == "norm":
         raise ValueError("a stream keeps sums: write unadj or frag and read with normalised=True")
 
@@ -26,7 +26,8 @@ def start(alignments: DataFrame, contigs: DataFrame, path: str, checkpoint: str,
         frags.groupBy("sample").agg(F.count("*").alias("frg_tot")).write.mode("overwrite").parquet(f"{path}/totals/batch={number}")
         frags.unpersist()
 
-    return alignments.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).start()
+    writer = alignments.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if until_done else writer).start()
 
 
 def track(spark: SparkSession, path: str, normalised: bool = False) -> DataFrame:
