@@ -25,15 +25,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated line runs and of long lines go, and with them documents of which no word is left.
+    """Later copies of repeated line runs (two lines, or one long one) go, and with them documents of which no word is left.
 
     Documents of null doc_id come after all others; repeated rows come out alike.
     """
-    return lines.dedup_lines(docs, lone_words=lines.LONE_WORDS).where(F.col("text").rlike(lines.WORD))
+    return lines.dedup_lines(docs).where(F.col("text").rlike(lines.WORD))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five-word shingles at a Jaccard similarity of 0.8 or more.
+    """One document of each group of near copies stays: five-word shingles at a Jaccard similarity of 0.8 or more, by SimHash and what it misses.
 
     That of the smallest doc_id stays; rows of one doc_id go by their own texts, of
     repeated rows one stays, and rows of null doc_id stay.
