@@ -36,6 +36,8 @@ SHARD_BYTES = 2 << 20
 SHARDS_TOGETHER = 2
 #: Passages in one automaton (a shard with more compiles several, one after the other), and letters of an alphabet.
 AUTOMATON_PASSAGES, LETTERS = 20_000, 40
+#: Shards from which a phrase's or passage's rows are spread over tasks (a shard has one at most).
+HOT_SHARDS = 1_000_000
 _FACTORS = (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
 _WINDOW_BASE, _CHECK_BASE = 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -134,20 +136,36 @@ def _copies(base: DataFrame) -> DataFrame:
     return texts.join(firsts, "digest").where("doc_id > first").groupBy("rid").agg(F.min("first").alias("first"))
 
 
-def _flags(base: DataFrame) -> DataFrame:
+def _ends_of(rows: DataFrame, keys: list[str], low: str, high: str, shards: int, hot_shards: int) -> DataFrame:
+    """``rows``, at most one for each shard and ``keys``, with first and last: the least ``low`` and greatest ``high`` of equal keys.
+
+    Keys of more than ``hot_shards`` rows, at most one for so many rows, are found by map-side
+    sums first and broadcast with their ends; their rows are dealt by shard as well.
+    """
+    ends = {"first": F.min(low), "last": F.max(high)}
+    if shards <= hot_shards:  # no key can have more rows
+        own = Window.partitionBy(*keys)
+        return rows.withColumns({c: x.over(own) for c, x in ends.items()})
+    sums = rows.groupBy(*keys).agg(F.count("*").alias("n"), *[x.alias(f"_{c}") for c, x in ends.items()])
+    hot = cut(sums.where(F.col("n") > hot_shards).drop("n"))
+    own = Window.partitionBy(*keys, F.when(F.col("_first").isNotNull(), F.col("shard")))
+    marked = rows.join(F.broadcast(hot), keys, "left")
+    return marked.withColumns({c: F.coalesce(f"_{c}", x.over(own)) for c, x in ends.items()}).drop(*[f"_{c}" for c in ends])
+
+
+def _flags(base: DataFrame, shards: int, hot_shards: int) -> DataFrame:
     """(shard, value, first): phrases that occur in two different texts, for each shard that has them."""
     phrases = base.groupBy("shard").applyInArrow(_phrases, "phrase long, shard long, low long, high long")
-    own = Window.partitionBy("phrase")  # a row per shard at most
-    seen = phrases.select("phrase", "shard", F.min("low").over(own).alias("low"), F.max("high").over(own).alias("high"))
-    return seen.where("low < high").select("shard", F.col("phrase").alias("value"), F.lit(None).cast("long").alias("first"))
+    seen = _ends_of(phrases, ["phrase"], "low", "high", shards, hot_shards)
+    return seen.where("first < last").select("shard", F.col("phrase").alias("value"), F.lit(None).cast("long").alias("first"))
 
 
-def _passages(base: DataFrame, flags: DataFrame, shards: int) -> DataFrame:
+def _passages(base: DataFrame, flags: DataFrame, shards: int, hot_shards: int) -> DataFrame:
     """(shard, rid, at, first): recurring windows, once for each shard, with the smallest doc_id that has them."""
     out = "key long, check int, rid long, at int, own_first long, own_last long"
     windows = base.groupBy("shard").cogroup(flags.groupBy("shard")).applyInArrow(_windows, out)
-    first = F.min("own_first").over(Window.partitionBy("key", "check"))  # a row per shard at most
-    return windows.withColumn("first", first).where("first < own_last").select(F.pmod("rid", F.lit(shards)).alias("shard"), "rid", "at", "first")
+    seen = _ends_of(windows.withColumn("shard", F.pmod("rid", F.lit(shards))), ["key", "check"], "own_first", "own_last", shards, hot_shards)
+    return seen.where("first < own_last").select("shard", "rid", "at", "first")
 
 
 _known_run = re.compile(b"\\x01{%d,}" % WINDOW)
@@ -201,14 +219,15 @@ def _located(docs: pa.Table, passages: pa.Table, texts: bool) -> pa.Table:
     return pa.table([pa.array(x, t) for x, t in zip(out.values(), kinds, strict=True)], names=list(out))
 
 
-def removed(docs: DataFrame, texts: bool = True, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def removed(docs: DataFrame, texts: bool = True, shard_bytes: int = SHARD_BYTES, hot_shards: int = HOT_SHARDS) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_sha256 and, where ``texts``, kept (its kept words joined by spaces).
 
     A word goes if a window of 13 words covers it whose words also start in a
     document with a smaller doc_id. Null and empty texts have no words; a document
     without doc_id keeps all its words and takes none from others; repeated rows
     of one doc_id keep alike; an empty table gives no rows; other columns are not
-    read.
+    read. A phrase or passage that is found in more than ``hot_shards`` shards is settled
+    by sums and a broadcast, so that no task gets all its rows.
     """
     python_ready(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -218,8 +237,8 @@ def removed(docs: DataFrame, texts: bool = True, shard_bytes: int = SHARD_BYTES)
     parts = max(-(-shards // SHARDS_TOGETHER), partitions(docs.sparkSession))
     copies = cut(_copies(base)).withColumn("shard", F.pmod("rid", F.lit(shards)))
     base = base.repartition(parts, "shard")
-    flags = _flags(base).unionByName(copies.select("shard", F.col("rid").alias("value"), "first"))
-    passages = _passages(base, flags, shards).unionByName(copies.select("shard", "rid", F.lit(-1).alias("at"), "first"))
+    flags = _flags(base, shards, hot_shards).unionByName(copies.select("shard", F.col("rid").alias("value"), "first"))
+    passages = _passages(base, flags, shards, hot_shards).unionByName(copies.select("shard", "rid", F.lit(-1).alias("at"), "first"))
     # one plan from here: its three passes over the shards read one and the same shuffle of the texts
     out = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
     result = base.groupBy("shard").cogroup(passages.groupBy("shard")).applyInArrow(lambda a, b: _located(a, b, texts), out)

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from spantrack.llm import _text, substrings
 from tests.llm.docs import documents, frame
@@ -47,6 +48,30 @@ def test_few_words_and_repeats(spark, monkeypatch):
     compare(spark, rows, shard_bytes=500)
 
 
+def test_hot_phrases(spark):
+    """A licence phrase in nearly all shards: spread or not, the same words go."""
+    rng = random.Random(4)
+    licence = " ".join(f"licence{i}" for i in range(16))
+    rows = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(20)) + (f" {licence} end{i}" if i % 9 else ""), *[None] * 7) for i in range(300)]
+    rows += [(i + 300, " ".join(f"p{i % 40}q{j}" for j in range(15)) + f" z{i}", *[None] * 7) for i in range(80)]
+    compare(spark, rows, shard_bytes=600, hot_shards=5)
+    compare(spark, rows, shard_bytes=600)
+
+
+def test_rows_of_hot_phrases_are_spread(spark):
+    rows = spark.range(0, 40_000, 1, 8).select((F.col("id") % 20_000).alias("shard"), F.when(F.col("id") < 20_000, 7).otherwise(F.col("id")).alias("phrase"), F.col("id").alias("low"), F.col("id").alias("high"))
+    seen = substrings._ends_of(rows, ["phrase"], "low", "high", 20_000, 1000).withColumn("task", F.spark_partition_id())
+    hot = seen.where("phrase = 7")
+    assert hot.agg(F.min("first"), F.max("first"), F.min("last"), F.max("last"), F.count("*")).first() == (0, 0, 19_999, 19_999, 20_000)
+    assert seen.where("phrase <> 7 AND (first <> low OR last <> low)").isEmpty()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in seen.groupBy("task").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) > 1 and max(sizes) < 2 * sum(sizes) / len(sizes)
+
+
 def test_empty(spark):
     assert substrings.removed(frame(spark, [])).count() == 0
 
