@@ -46,6 +46,22 @@ def numbered(table: DataFrame, by: list[str], order: list[Column], name: str) ->
     return placed.withColumn(name, (F.col("_base") + F.col("_at") - F.col("_first") + 1).cast("long")).select(*table.columns, name)
 
 
+def numbered_in_files(rows: DataFrame, by: list[str], name: str, start: int) -> DataFrame:
+    """``rows`` of files with ``name``: each row's number, from ``start``, among the rows of equal ``by`` through the files in the order of their names.
+
+    ``rows`` have _file and _block, where their part of the file begins, and _at, rising
+    along each part. A file's part in one task is a run of rows; the runs' lengths are
+    summed up along the files' names and places, a row per run.
+    """
+    run = [*by, "_file", "_block"]
+    before = Window.partitionBy(*by).orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    runs = rows.groupBy(*run).agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    bases = local(runs.select(*[F.col(c).alias(f"_{c}_of") for c in run], "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}_of")) for c in run]
+    columns = [c for c in rows.columns if c not in ("_file", "_block", "_at")]
+    return rows.join(bases, same).select(*columns, (F.col("_before") + F.col("_at") - F.col("_first") + start).alias(name))
+
+
 def ranked(table: DataFrame, by: list[str], keys: list[str], order: list[Column], name: str) -> DataFrame:
     """``table`` with ``name``: as ``numbered``, but rows of equal ``keys`` share the number of their first; ``order`` sorts by the keys.
 

@@ -654,7 +654,7 @@ def measurements_scan(spark, sf_dir):
     """All ten measures, each under another of its names, with the rows' numbers in the file."""
     named = [(F.col("p_size") + i).alias(names[-1 - i % len(names)]) for i, names in enumerate(readers.ALIASES.values())]
     table = views.table(spark, sf_dir, "part").orderBy("p_partkey").select(F.col("p_partkey").alias("factor"), F.col("p_brand").alias("strain"), *named)
-    table.coalesce(1).write.option("header", True).csv(path := f"{_written(spark, 'measurements')}.csv")  # a row per sample: one file by its nature
+    table.write.option("header", True).csv(path := f"{_written(spark, 'measurements')}.csv")  # the files' names are in the order of their rows
     return readers.read_measurements(spark, path)
 
 

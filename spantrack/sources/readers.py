@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spantrack.operators.ordering import numbered_in_files
+from spantrack.sources.folders import kept
 from spantrack.sources.headers import read_headers
 
 # Header names of measurement tables under their standard names.
@@ -71,14 +73,19 @@ def read_bedgraph(spark: SparkSession, path: str, value: str = "signal", by: str
 
 
 def read_measurements(spark: SparkSession, path: str) -> DataFrame:
-    """A measurement table under standard column names, with row_no in file order; the ending gives the delimiter."""
+    """A measurement table under standard column names; the ending gives the delimiter.
+
+    row_no numbers the rows from 0, without gaps, in the order of the file, or of a
+    folder's files by name. The table is kept, as a file read anew may fall into other parts.
+    """
     ending = path.lower().removesuffix(".gz").rpartition(".")[2]
     if ending not in ("csv", "tsv", "txt"):
         raise ValueError(f"not a .csv, .tsv or .txt file: {path}")
     raw = spark.read.option("header", True).option("ignoreTrailingWhiteSpace", True).csv(path, sep="," if ending == "csv" else "\t")
     known = {alias.lower(): name for name, aliases in ALIASES.items() for alias in aliases}
-    clean = raw.toDF(*[known.get(c.strip().lower(), c.strip()) for c in raw.columns])
-    return clean.withColumn("row_no", F.monotonically_increasing_id())
+    clean = [known.get(c.strip().lower(), c.strip()) for c in raw.columns]
+    placed = raw.select("*", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id()).toDF(*clean, "_file", "_block", "_at")
+    return numbered_in_files(kept(placed), [], "row_no", 0)
 
 
 def read_manifest(spark: SparkSession, path: str, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spantrack.operators.ordering import numbered_in_files
 from spantrack.operators.signal import region_max
-from spantrack.operators.small import SMALL_ROWS, local
+from spantrack.operators.small import SMALL_ROWS
 
 #: What two tracks are merged by, and regions up to which their bounds are given to the scan.
 KEYS, STATED_REGIONS = ("pair", "chrom", "bin_start"), 200
@@ -54,18 +55,9 @@ def _within(found: list) -> Column:
 
 
 def read_lines(spark: SparkSession, path: str, by: str = "sample") -> DataFrame:
-    """(by, line_no, line) of a track written as text: lines are numbered from 1 through the files of a folder ``by=name``, in the order of the files' names.
-
-    A file's part in one task is a run of lines; the runs' lengths are summed up along
-    the files' names and places, a row per run.
-    """
+    """(by, line_no, line) of a track written as text: lines are numbered from 1 through the files of a folder ``by=name``, in the order of the files' names."""
     lines = spark.read.text(path).select(F.col(by).cast("string").alias(by), F.col("value").alias("line"), F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
-    run = [by, "_file", "_block"]
-    before = Window.partitionBy(by).orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    runs = lines.groupBy(*run).agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
-    bases = local(runs.select(*[F.col(c).alias(f"_{c}_of") for c in run], "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}_of")) for c in run]
-    return lines.join(bases, same).select(by, (F.col("_before") + F.col("_at") - F.col("_first") + 1).alias("line_no"), "line")
+    return numbered_in_files(lines, [by], "line_no", 1).select(by, "line_no", "line")
 
 
 def file_ranges(spark: SparkSession, path: str, by: str = "sample") -> DataFrame:

@@ -42,6 +42,28 @@ def test_measurement_tables(spark, tmp_path):
     assert [tuple(r) for r in readers.read_manifest(spark, str(tmp_path / "d.tsv")).orderBy("line_no").collect()] == [(2, "SRR1", "u;v", "n1"), (3, "NA", "w", "n2")]
 
 
+def test_measurements_of_many_parts(spark, tmp_path):
+    """A table that many tasks read, and one in several files: rows are numbered through them without a gap."""
+    (tmp_path / "m.csv").write_text("factor,v_all\n" + "".join(f"f{i},{i}\n" for i in range(5000)))
+    (tmp_path / "d.csv").mkdir()
+    for k in range(3):
+        (tmp_path / "d.csv" / f"part-{k}.csv").write_text("factor,v_all\n" + "".join(f"f{i},{i}\n" for i in range(k * k * 1000, (k + 1) ** 2 * 1000)))
+    (tmp_path / "e.csv").write_text("factor,v_all\n")
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(c) for c in names]
+    for c in names:
+        spark.conf.set(c, "3k")
+    try:
+        assert spark.read.csv(str(tmp_path / "m.csv")).rdd.getNumPartitions() > 8
+        for name, n in (("m.csv", 5000), ("d.csv", 9000), ("e.csv", 0)):
+            got = readers.read_measurements(spark, str(tmp_path / name))
+            assert got.columns == ["factor", "vol_all", "row_no"]
+            assert sorted((r.row_no, r.factor, r.vol_all) for r in got.collect()) == [(i, f"f{i}", str(i)) for i in range(n)]
+    finally:
+        for c, value in zip(names, before):
+            spark.conf.set(c, value)
+
+
 def test_round_trips(spark, tmp_path):
     track = spark.createDataFrame([("IP_a", "X", 0, 10, 0.25), ("IP_a", "II", 10, 20, 1 / 3), ("IP_b", "I", 0, 10, 2.0)], "sample string, chrom string, bin_start long, bin_end long, signal double")
     writers.write_bedgraph(track, str(tmp_path / "t"), digits=20)
