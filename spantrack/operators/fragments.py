@@ -48,16 +48,16 @@ def on_spike(tg: bool = False, mtr: bool = False, mito: bool = False) -> Column:
 
 
 def usable(allow_secondary: bool = True, allow_supplementary: bool = False, allow_duplicate: bool = True) -> Column:
-    """Records that may make a fragment."""
-    out = ~has(UNMAPPED) & F.col("chrom").isNotNull()
+    """Records that may make a fragment; the flag is asked once, as a filter repeats what a column is made of."""
+    dropped = UNMAPPED
     for allowed, bits in ((allow_secondary, SECONDARY), (allow_supplementary, SUPPLEMENTARY), (allow_duplicate, DUPLICATE)):
-        out = out if allowed else out & ~has(bits)
-    return out
+        dropped |= 0 if allowed else bits
+    return (F.col("flag").bitwiseAND(F.lit(dropped)) == 0) & F.col("chrom").isNotNull()
 
 
 def anchors() -> Column:
     """The leftmost record of a proper pair on one contig."""
-    return has(PAIRED) & has(PROPER) & (F.col("chrom") == F.col("mate_chrom")) & (F.col("tlen") > 0)
+    return has(PAIRED | PROPER) & (F.col("chrom") == F.col("mate_chrom")) & (F.col("tlen") > 0)
 
 
 def bounds(length: int | Column | None = None) -> dict[str, Column]:

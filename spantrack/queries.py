@@ -112,10 +112,7 @@ def frag_clamped(spark, sf_dir):
 @query(f"""WITH {_frags(where="flag & 2048 = 0 AND flag & 256 = 0").replace("% 10 + 1] AS flag", "% 10 + 1] | CASE WHEN (l_orderkey + l_partkey) % 4 = 0 THEN 256 ELSE 0 END AS flag")} SELECT {FRAG_COLUMNS} FROM frags""")
 def frag_primary(spark, sf_dir):
     """Fragments of primary records only, where every fourth or so is a secondary one."""
-    part = F.split("qname", "-")
-    secondary = (part[0].cast("long") + part[2].cast("long")) % 4 == 0
-    aligned = _aligned(spark, sf_dir).withColumn("flag", F.when(secondary, F.col("flag").bitwiseOR(F.lit(256))).otherwise(F.col("flag")))
-    return _places(fragments.fragments(aligned, views.contigs(spark), allow_secondary=False))
+    return _places(fragments.fragments(views.alignments(spark, sf_dir, secondary=True), views.contigs(spark), allow_secondary=False))
 
 
 MATES = f"""{RAW}, mates AS (

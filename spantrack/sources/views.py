@@ -37,15 +37,16 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("l_partkey") * 31 + F.col("l_orderkey")) % 19).alias("cidx"),
         ((F.col("l_partkey") * 7919 + F.col("l_orderkey") * 104729 + F.col("l_linenumber").cast("long") * 1299709) % CONTIG_LENGTH).alias("pos"),
         (F.col("l_quantity").cast("int") * 4 + 50).alias("tlen"), ((F.col("l_orderkey") + F.col("l_linenumber")) % 10).alias("kind"),
-        F.round(F.col("l_discount") * 100).cast("int").alias("mapq"),
+        F.round(F.col("l_discount") * 100).cast("int").alias("mapq"), ((F.col("l_orderkey") + F.col("l_partkey")) % 4 == 0).alias("fourth"),
     )
 
 
-def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One alignment per lineitem in six samples, IP and input of three groups."""
-    chrom = _pick(CONTIGS, F.col("cidx"))
+def alignments(spark: SparkSession, sf_dir: str, secondary: bool = False) -> DataFrame:
+    """One alignment per lineitem in six samples, IP and input of three groups; with ``secondary`` every fourth or so is a secondary one."""
+    chrom, flag = _pick(CONTIGS, F.col("cidx")), _pick(FLAGS, F.col("kind"))
+    flag = F.when(F.col("fourth"), flag.bitwiseOR(F.lit(256))).otherwise(flag) if secondary else flag
     return _lines(spark, sf_dir).select(
-        F.concat_ws("_", "assay", "grp").alias("sample"), "grp", "assay", "qname", _pick(FLAGS, F.col("kind")).alias("flag"), chrom.alias("chrom"), "pos",
+        F.concat_ws("_", "assay", "grp").alias("sample"), "grp", "assay", "qname", flag.alias("flag"), chrom.alias("chrom"), "pos",
         (F.col("pos") + 50).alias("ref_end"), chrom.alias("mate_chrom"), "tlen", F.lit(50).alias("aln_len"), "mapq",
     )
 

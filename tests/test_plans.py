@@ -123,6 +123,20 @@ def test_duplicates_in_one_scan(spark):
     assert plan.count("FileScan") == 1 and "SortMergeJoin" not in plan
 
 
+@pytest.mark.parametrize("name", ["frag_pe", "frag_fixed_len", "frag_primary"])
+def test_fragments_are_compiled(spark, name):
+    """No method of the generated code is above the 8,000 bytes from which the JVM doesn't compile it, and no filter takes names apart."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = queries.queries()[name](spark, DATA)._jdf.queryExecution()
+        code = spark._jvm.PythonSQLUtils.explainString(plan, "codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:([0-9]+)", code)]
+    assert sizes and max(sizes) < 8000, sizes
+    assert "split(" not in plan.executedPlan().toString()
+
+
 def test_lines_before_a_marker_stay(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
