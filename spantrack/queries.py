@@ -694,10 +694,14 @@ def coverage_stats(spark, sf_dir):
 
 @query(f"WITH {_track(30, 'norm')} SELECT {TRACK}, round(signal * 1e6, 3) AS signal FROM track")
 def signal_streamed(spark, sf_dir):
-    """A normalised track over alignments that arrive in files, a few a batch, as sums of the batches' bins."""
+    """A normalised track over alignments that arrive in files, a few a batch, as sums of the batches' bins.
+
+    A task that reads lineitems writes what it read, so that files get more with the
+    table, not larger; few tasks cut theirs, so that there are two batches at least.
+    """
     path = _written(spark, "stream")
-    aligned = _aligned(spark, sf_dir)
-    aligned.repartition(9).write.parquet(f"{path}/in")
+    aligned, rows = _aligned(spark, sf_dir), views.table(spark, sf_dir, "lineitem").count()
+    aligned.write.option("maxRecordsPerFile", rows // 4 + 1).parquet(f"{path}/in")
     stream = spark.readStream.schema(aligned.schema).option("maxFilesPerTrigger", 3).parquet(f"{path}/in")
     streamed.start(stream, views.contigs(spark), f"{path}/out", f"{path}/state", 30, until_done=True).awaitTermination()
     return streamed.track(spark, f"{path}/out", normalised=True).withColumn("signal", F.round(F.col("signal") * 1e6, 3))

@@ -21,7 +21,7 @@ def start(alignments: DataFrame, contigs: DataFrame, path: str, checkpoint: str,
         raise ValueError("a stream keeps sums: write unadj or frag and read with normalised=True")
 
     def add(batch: DataFrame, number: int) -> None:
-        frags = fragments(batch, contigs).persist()
+        frags = fragments(batch, contigs).select("sample", "chrom", "frg_start", "frg_end", "frg_len").persist()  # what bins are made of, without names
         bin_signal(frags, width, method).write.mode("overwrite").parquet(f"{path}/bins/batch={number}")
         frags.groupBy("sample").agg(F.count("*").alias("frg_tot")).write.mode("overwrite").parquet(f"{path}/totals/batch={number}")
         frags.unpersist()

@@ -137,6 +137,20 @@ def test_fragments_are_compiled(spark, name):
     assert "split(" not in plan.executedPlan().toString()
 
 
+def test_streamed_files_get_more_with_the_table(spark, tmp_path, monkeypatch):
+    """Twenty tasks read the table, so that twenty files arrive, three a batch: no fixed number of tasks takes all rows."""
+    views.table(spark, "/root/testdata/sf0.001", "lineitem").repartition(20).write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(queries, "_written", lambda spark, name: str(tmp_path / name))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(max(p.stat().st_size for p in tmp_path.glob("lineitem.parquet/*.parquet"))))
+    try:
+        got = queries.queries()["signal_streamed"](spark, str(tmp_path)).count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == signal.bin_signal(fragments.fragments(views.alignments(spark, str(tmp_path)), views.contigs(spark)), 30, "norm").count()
+    assert len(list(tmp_path.glob("stream/in/*.parquet"))) == 20 and len(list(tmp_path.glob("stream/out/bins/batch=*"))) == 7
+
+
 def test_lines_before_a_marker_stay(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
